@@ -36,3 +36,24 @@ def missing(x: Column, data_type: str) -> Column:
 def quoted(name: str) -> Column:
     """Column by its exact name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def round_half_even(x: Column, digits: int) -> Column:
+    """Decimal rounding of the exact binary value, halves to even.
+
+    Spark's own rounding works on the shortest decimal text of a double, which takes many values
+    for halves that lie next to one. The scaled value is split into a product and its exact error.
+    """
+    scale = F.lit(float(10**digits))
+    x = x.cast("double")
+    product = x * scale
+    c = x * F.lit(134217729.0)
+    high = c - (c - x)
+    error = (high * scale - product) + (x - high) * scale
+    below = F.floor(product).cast("double")
+    fraction = product - below
+    odd = F.pmod(below, F.lit(2.0)) == 1
+    up = (fraction > 0.5) | ((fraction == 0.5) & ((error > 0) | ((error == 0) & odd)))
+    rounded = (below + F.when(up, 1.0).otherwise(0.0)) / scale
+    # beyond this no decimals are left to round
+    return F.when(F.abs(product) < F.lit(2.0**52), rounded).otherwise(x)

@@ -53,6 +53,8 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
 def manifest_numeric(df: DataFrame, schema: RoleSchema, truncate: bool = False) -> DataFrame:
     """(name, type, min, max) of the numerical inputs; `truncate` cuts the bounds to whole numbers."""
     columns = [c for c in schema.columns if c in df.columns and c in schema.numerical and c != schema.target]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "name string, type string, min double, max double")
     out = _one_row_per_column(df, columns, {"min": F.min, "max": F.max})
     cut = (lambda c: F.when(F.col(c) < 0, F.ceil(c)).otherwise(F.floor(c)).cast("double")) if truncate else F.col
     return out.select(
@@ -63,6 +65,8 @@ def manifest_numeric(df: DataFrame, schema: RoleSchema, truncate: bool = False)
 def manifest_categorical(df: DataFrame, schema: RoleSchema) -> DataFrame:
     """(name, value) of the categorical inputs, one row per distinct value."""
     columns = [c for c in schema.columns if c in df.columns and c in schema.categorical]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "name string, value string")
     return cells(df, columns).distinct().select(F.col("column").alias("name"), "value")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_min_before
+from ..functions.scalar import round_half_even
 from .profile import MANIFEST
 
 PUBLISHED, RETRACTED, INFERIOR = "published", "retracted", "inferior"
@@ -33,7 +34,7 @@ def first(entries: DataFrame, by=("run_id", "key"), value: str = "value") -> Dat
 
 def round_metrics(metrics: DataFrame) -> DataFrame:
     """Metric values as they are stored: three decimals, halves to even."""
-    return metrics.withColumn("value", F.bround("value", 3))
+    return metrics.withColumn("value", round_half_even(F.col("value"), 3))
 
 
 def current_tags(tags: DataFrame, updates: DataFrame | None = None) -> DataFrame:
