@@ -190,16 +190,20 @@ def first_rows(df: DataFrame, key: str, n: int, small: int = SMALL) -> DataFrame
     return df.where((F.col(key) < F.lit(bound.value)) | tied)
 
 
-def exact_quantiles(df: DataFrame, columns, probabilities, finish: int = SMALL, accuracy: int = 10_000) -> dict:
+def exact_quantiles(
+    df: DataFrame, columns, probabilities, sizes: dict | None = None, finish: int = SMALL, direct: int = 200_000, accuracy: int = 10_000
+) -> dict:
     """Interpolated quantiles {(column, p): value}, exact at any size.
 
     A bounded sketch brackets each rank, one aggregate counts the bracket, and the pass repeats
     inside the bracket until few enough values are left to be sorted. All columns share each pass.
+    Up to `direct` rows one plain aggregate does it. `sizes` are the counts of values, if known.
     """
     values = {c: skip_nan(F.col(c).cast("double")) for c in columns}
-    sizes = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    size = {c: sizes[f"n{i}"] for i, c in enumerate(columns)}
-    if max(size.values(), default=0) <= finish:
+    if sizes is None:
+        row = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+        sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    if max(sizes.values(), default=0) <= direct:
         row = df.agg(*[F.percentile(values[c], list(probabilities)).alias(f"q{i}") for i, c in enumerate(columns)]).first()
         return {
             (c, p): (None if row[f"q{i}"] is None else row[f"q{i}"][j])
@@ -207,55 +211,60 @@ def exact_quantiles(df: DataFrame, columns, probabilities, finish: int = SMALL,
             for j, p in enumerate(probabilities)
         }
 
+    def ranks(c, p):
+        at = p * (sizes[c] - 1)
+        return math.floor(at) + 1, math.ceil(at) + 1
+
     # order statistics needed: (column, rank from 1)
-    wanted = set()
-    for c in columns:
-        for p in probabilities:
-            if size[c]:
-                at = p * (size[c] - 1)
-                wanted |= {(c, math.floor(at) + 1), (c, math.ceil(at) + 1)}
+    wanted = {(c, r) for c in columns if sizes[c] for p in probabilities for r in ranks(c, p)}
+    # where each one lies: values in [lo, hi], the rows below lo and the rows inside
+    scope = {t: (-math.inf, math.inf, 0, sizes[t[0]]) for t in wanted}
     found: dict = {}
-    # scope of each open target: values in [lo, hi], and the rows below lo
-    scope = {t: (-math.inf, math.inf, 0, size[t[0]]) for t in wanted}
     while scope:
-        targets = sorted(scope)
-        inside = {}
-        for c, rank in targets:
-            lo, hi, _, _ = scope[c, rank]
-            inside[c, rank] = F.when((values[c] >= F.lit(lo)) & (values[c] <= F.lit(hi)), values[c])
-        ready = [t for t in targets if scope[t][3] <= finish]
+        # targets in the same interval share its aggregates
+        groups: dict[tuple, list] = {}
+        for t in sorted(scope):
+            groups.setdefault((t[0], *scope[t]), []).append(t)
+        inside = {
+            g: F.when((values[g[0]] >= F.lit(g[1])) & (values[g[0]] <= F.lit(g[2])), values[g[0]]) for g in groups
+        }
+        ready = [g for g in groups if g[4] <= finish]
         if ready:
-            row = df.agg(
-                *[
-                    F.sort_array(F.collect_list(inside[t]))[t[1] - scope[t][2] - 1].alias(f"v{i}")
-                    for i, t in enumerate(ready)
-                ]
-            ).first()
-            for i, t in enumerate(ready):
-                found[t] = row[f"v{i}"]
-                del scope[t]
+            row = df.agg(*[F.sort_array(F.collect_list(inside[g])).alias(f"v{i}") for i, g in enumerate(ready)]).first()
+            for i, g in enumerate(ready):
+                for t in groups[g]:
+                    found[t] = row[f"v{i}"][t[1] - g[3] - 1]
+                    del scope[t]
             continue
-        marks = []
-        for i, t in enumerate(targets):
-            p = (t[1] - scope[t][2]) / scope[t][3]
-            around = [max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy)]
-            marks.append(F.percentile_approx(inside[t], around, accuracy).alias(f"m{i}"))
-        row = df.agg(*marks).first()
-        bracket = {t: (row[f"m{i}"][0], row[f"m{i}"][1]) for i, t in enumerate(targets)}
+        # neighbouring ranks fall into one bracket
+        brackets: list[tuple] = []
+        for g, targets in groups.items():
+            last = None
+            for t in targets:
+                p = (t[1] - g[3]) / g[4]
+                if last is None or p - last > 1 / accuracy:
+                    brackets.append((g, [max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy)], [t]))
+                    last = p
+                else:
+                    brackets[-1][2].append(t)
+        row = df.agg(
+            *[F.percentile_approx(inside[g], list(around), accuracy).alias(f"m{i}") for i, (g, around, _) in enumerate(brackets)]
+        ).first()
+        marks = [row[f"m{i}"] for i in range(len(brackets))]
         counters = []
-        for i, t in enumerate(targets):
-            lo, hi = F.lit(bracket[t][0]), F.lit(bracket[t][1])
+        for i, (g, _, _) in enumerate(brackets):
+            lo, hi = F.lit(marks[i][0]), F.lit(marks[i][1])
             for name, test in (
-                ("below", inside[t] < lo),
-                ("at_lo", inside[t] == lo),
-                ("between", (inside[t] > lo) & (inside[t] < hi)),
-                ("at_hi", inside[t] == hi),
+                ("below", inside[g] < lo),
+                ("at_lo", inside[g] == lo),
+                ("between", (inside[g] > lo) & (inside[g] < hi)),
+                ("at_hi", inside[g] == hi),
             ):
                 counters.append(F.count(F.when(test, 1)).alias(f"{name}{i}"))
         row = df.agg(*counters).first()
-        for i, t in enumerate(targets):
-            lo, hi, below, rows = scope[t]
-            low, high = bracket[t]
+        for i, (g, _, targets) in enumerate(brackets):
+            _, lo, hi, start, rows = g
+            low, high = marks[i]
             pieces = [
                 (row[f"below{i}"], (lo, math.nextafter(low, -math.inf))),
                 (row[f"at_lo{i}"], (low, low)),
@@ -263,22 +272,24 @@ def exact_quantiles(df: DataFrame, columns, probabilities, finish: int = SMALL,
                 (row[f"at_hi{i}"] if high > low else 0, (high, high)),
             ]
             pieces.append((rows - sum(n for n, _ in pieces), (math.nextafter(high, math.inf), hi)))
-            for n, (start, stop) in pieces:
-                if t[1] <= below + n:
-                    break
-                below += n
-            if start == stop:
-                found[t] = start
-                del scope[t]
-            else:
-                scope[t] = (start, stop, below, n)
+            for t in targets:
+                below = start
+                for n, (first, last) in pieces:
+                    if t[1] <= below + n:
+                        break
+                    below += n
+                if first == last:
+                    found[t] = first
+                    del scope[t]
+                else:
+                    scope[t] = (first, last, below, n)
     out = {}
     for c in columns:
         for p in probabilities:
-            if not size[c]:
+            if not sizes[c]:
                 out[c, p] = None
                 continue
-            at = p * (size[c] - 1)
-            low, high = found[c, math.floor(at) + 1], found[c, math.ceil(at) + 1]
+            at = p * (sizes[c] - 1)
+            low, high = (found[c, r] for r in ranks(c, p))
             out[c, p] = low + (high - low) * (at - math.floor(at))
     return out

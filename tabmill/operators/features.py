@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,47 +17,65 @@ def interstate(df: DataFrame, origin: str = ORIGIN, destination: str = DESTINATI
     return df.withColumn("IS_INTERSTATE", (F.col(origin) != F.col(destination)).cast("int"))
 
 
-def fit_encoding(df: DataFrame, column: str, target: str) -> DataFrame:
-    """(column, freq, mean) over the train rows, written once and then only looked up.
-
-    Rows are counted and summed before the shuffle, so a frequent key is no more work than a rare one.
-    """
-    train = df.where(F.col("stage") == "train")
-    table = train.groupBy(column).agg(
-        F.count(F.lit(1)).alias(f"{column}_FREQ"), F.avg(target).alias(f"{column}_MEAN")
-    )
-    return materialize(table, f"encoding-{column.lower()}")
+@dataclass(frozen=True)
+class Encoding:
+    """Per column a table (column, <column>_FREQ, <column>_MEAN), and the overall train mean."""
 
+    tables: dict[str, DataFrame]
+    default: float
 
-def train_mean(df: DataFrame, target: str) -> float:
-    return df.where(F.col("stage") == "train").agg(F.avg(target)).first()[0]
 
+def fit_encoding(df: DataFrame, columns, target: str) -> Encoding:
+    """Train counts and target means per value, all columns in one pass, written once and then looked up.
 
-def frequency_encode(df: DataFrame, columns, tables: dict[str, DataFrame]) -> DataFrame:
+    Rows are counted and summed before the shuffle, so a frequent value is no more work than a rare one.
+    """
+    columns = list(columns)
+    train = df.where(F.col("stage") == "train")
+    long = train.select(
+        F.col(target).alias("_y"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("cell"),
+    )
+    grouped = long.groupBy("cell.column", "cell.value").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_y").alias("with_target"), F.sum("_y").alias("total")
+    )
+    fitted = materialize(grouped, "encoding")
+    overall = fitted.where(F.col("column") == columns[0]).agg(F.sum("total") / F.sum("with_target")).first()[0]
+    types = dict(df.dtypes)
+    tables = {
+        c: fitted.where(F.col("column") == c).select(
+            F.col("value").cast(types[c]).alias(c),
+            F.col("n").alias(f"{c}_FREQ"),
+            (F.col("total") / F.col("with_target")).alias(f"{c}_MEAN"),
+        )
+        for c in columns
+    }
+    return Encoding(tables, overall)
+
+
+def frequency_encode(df: DataFrame, encoding: Encoding) -> DataFrame:
     """Add `<column>_FREQ`: train rows with that value, 0 if never seen."""
-    for c in columns:
-        df = lookup_join(df, tables[c].select(c, f"{c}_FREQ"), [c]).fillna({f"{c}_FREQ": 0})
+    for c, table in encoding.tables.items():
+        df = lookup_join(df, table.select(c, f"{c}_FREQ"), [c]).fillna({f"{c}_FREQ": 0})
     return df
 
 
-def mean_encode(df: DataFrame, columns, tables: dict[str, DataFrame], default: float) -> DataFrame:
+def mean_encode(df: DataFrame, encoding: Encoding) -> DataFrame:
     """Add `<column>_MEAN`: train mean of the target for that value, the overall mean if never seen."""
-    for c in columns:
-        df = lookup_join(df, tables[c].select(c, f"{c}_MEAN"), [c]).fillna({f"{c}_MEAN": default})
+    for c, table in encoding.tables.items():
+        df = lookup_join(df, table.select(c, f"{c}_MEAN"), [c]).fillna({f"{c}_MEAN": encoding.default})
     return df
 
 
-def encode(df: DataFrame, columns, tables: dict[str, DataFrame], default: float, drop: bool = True) -> DataFrame:
+def encode(df: DataFrame, encoding: Encoding, drop: bool = True) -> DataFrame:
     """Both encodings with one lookup per column, and the encoded columns dropped."""
-    for c in columns:
-        df = lookup_join(df, tables[c], [c]).fillna({f"{c}_FREQ": 0, f"{c}_MEAN": default})
-    return df.drop(*columns) if drop else df
+    for c, table in encoding.tables.items():
+        df = lookup_join(df, table, [c]).fillna({f"{c}_FREQ": 0, f"{c}_MEAN": encoding.default})
+    return df.drop(*encoding.tables) if drop else df
 
 
 def geo_features(
     df: DataFrame, target: str, origin: str = ORIGIN, destination: str = DESTINATION, drop: bool = True
 ) -> DataFrame:
     """Interstate flag, frequency and mean encoding of both ends."""
-    sides = [origin, destination]
-    tables = {c: fit_encoding(df, c, target) for c in sides}
-    return encode(interstate(df, origin, destination), sides, tables, train_mean(df, target), drop)
+    return encode(interstate(df, origin, destination), fit_encoding(df, [origin, destination], target), drop)

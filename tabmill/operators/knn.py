@@ -200,21 +200,23 @@ class KnnIndex:
                 out += [np.flatnonzero(row).astype("int32") for row in near]
             return pd.Series([leaves[leaves != o] for leaves, o in zip(out, own.to_numpy())])
 
-        at_home = materialize(q.withColumn("leaf", home("q")), "knn-queries")
-        first = materialize(self._nearest(at_home), "knn-home")
-        bounds = first.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far"))
-        # chunks of one leaf return k rows each: their largest distance is a valid, if wider, bound
-        radius = F.when(F.col("n") >= k, F.col("far")).otherwise(F.lit(math.inf))
-        further = (
-            at_home.join(bounds, "q", "left")
-            .withColumn("leaf", F.explode(others("q", "leaf", radius)))
-            .select("q", "leaf")
-        )
-        second = self._nearest(materialize(further, "knn-further"))
+        if len(self.rows) == 1:
+            answers = self._nearest(q.withColumn("leaf", F.lit(0)))
+        else:
+            at_home = materialize(q.withColumn("leaf", home("q")), "knn-queries")
+            near = materialize(self._nearest(at_home), "knn-home")
+            bounds = near.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far"))
+            # blocks of one leaf return k rows each: their largest distance is a valid, if wider, bound
+            radius = F.when(F.col("n") >= k, F.col("far")).otherwise(F.lit(math.inf))
+            further = (
+                at_home.join(bounds, "q", "left")
+                .withColumn("leaf", F.explode(others("q", "leaf", radius)))
+                .select("q", "leaf")
+            )
+            answers = near.unionByName(self._nearest(materialize(further, "knn-further")))
         order = Window.partitionBy("q").orderBy("dist", "key")
         return (
-            first.unionByName(second)
-            .withColumn("rank", F.row_number().over(order))
+            answers.withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= k)
             .select("q", "rank", "dist", "key", "y")
         )
@@ -264,15 +266,18 @@ def build_index(
     if total < k:
         raise ValueError(f"{k} neighbours wanted, only {total} train rows")
     leaves = min(max_leaves, max(1, math.ceil(total / leaf_rows)))
-    size = min(total, leaves * SAMPLE_PER_LEAF) if leaves > 1 else 1
-    sample = reduced.select("v").orderBy(F.rand(11)).limit(size).collect()
+    if leaves == 1:
+        edge = np.zeros((1, len(features)))
+        tree = plant(edge, 1)
+        return KnnIndex(features, reduced.withColumn("leaf", F.lit(0)), tree, edge, edge, np.array([total]), k, p, block_rows)
+    sample = reduced.select("v").orderBy(F.rand(11)).limit(leaves * SAMPLE_PER_LEAF).collect()
     tree = plant(np.array([r["v"] for r in sample], dtype=float), leaves)
 
     @F.pandas_udf("int")
     def leaf(vectors: pd.Series) -> pd.Series:
         return pd.Series(tree.leaf_of(np.stack(vectors.to_numpy())).astype("int32"))
 
-    placed = materialize(reduced.withColumn("leaf", leaf("v") if leaves > 1 else F.lit(0)), "knn-leaves")
+    placed = materialize(reduced.withColumn("leaf", leaf("v")), "knn-leaves")
     boxes = placed.groupBy("leaf").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.min(F.col("v")[i]).alias(f"lo{i}") for i in range(len(features))],

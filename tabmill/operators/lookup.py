@@ -201,13 +201,17 @@ COLUMN_LOOKUP = {
 }
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lookup_table(spark: SparkSession, name: str | None = None) -> DataFrame:
     """(lookup, code, label) rows of one or all lookups."""
     if name is not None and name not in LOOKUPS:
         raise ValueError(f"no lookup named {name!r}")
     names = LOOKUPS if name is None else [name]
-    rows = [(n, code, label) for n in names for code, label in LOOKUPS[n].items()]
-    return spark.createDataFrame(rows, "lookup string, code string, label string")
+    rows = [f"({_quoted(n)}, {_quoted(code)}, {_quoted(label)})" for n in names for code, label in LOOKUPS[n].items()]
+    return spark.sql(f"select * from values {', '.join(rows)} as t(lookup, code, label)")
 
 
 def decode(df: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:

@@ -40,6 +40,12 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol=INPUTS, handleInvalid="error").transform(df)
 
 
+def n_inputs(df: DataFrame) -> int:
+    """Width of the input vector, from the column's metadata."""
+    attributes = df.schema[INPUTS].metadata.get("ml_attr", {})
+    return attributes["num_attrs"] if "num_attrs" in attributes else len(df.select(INPUTS).first()[0])
+
+
 def expand_grid(hyperparameters: dict) -> list[dict]:
     """Every combination of the listed values, the last name (alphabetically) varying fastest."""
     names = sorted(hyperparameters)
@@ -178,9 +184,16 @@ def fit_one(candidate: Candidate, train: DataFrame, features: list[str], label:
     std = 1.0
     if candidate.model_type == "elastic_net":
         std = train.agg(F.stddev_pop(label)).first()[0] or 1.0
-    vectors = assemble(train, features)
-    width = len(vectors.select(INPUTS).first()[0])
-    return FittedModel(candidate, features, prediction, estimator(candidate, label, prediction, width, std).fit(vectors))
+    vectors = assemble(train, features).select(label, INPUTS)
+    chosen = estimator(candidate, label, prediction, n_inputs(vectors), std)
+    if isinstance(chosen, LinearRegression) and chosen.getSolver() == "normal":
+        # a single pass, nothing to keep
+        return FittedModel(candidate, features, prediction, chosen.fit(vectors))
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return FittedModel(candidate, features, prediction, chosen.fit(vectors))
+    finally:
+        vectors.unpersist()
 
 
 @dataclass
@@ -224,7 +237,7 @@ def train_grid(
         seen = vectors.where(F.col("stage") != "test")
         if plain:
             std = train.agg(F.stddev_pop(label)).first()[0] or 1.0
-            width = len(train.select(INPUTS).first()[0])
+            width = n_inputs(train)
             estimators = [estimator(c, label, c.model_id, width, std) for c in plain]
             with ThreadPoolExecutor(parallelism) as pool:
                 jobs = [pool.submit(inheritable_thread_target(spark)(e.fit), train) for e in estimators]

@@ -102,13 +102,13 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
     columns = list(columns)
     base = _one_row_per_column(
         df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    )
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
-    table = df.sparkSession.createDataFrame(
-        [(c, quartiles[c, 0.25], quartiles[c, 0.5], quartiles[c, 0.75]) for c in columns],
-        "column string, q25 double, q50 double, q75 double",
-    )
-    return base.join(F.broadcast(table), "column").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    ).collect()
+    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75), {r["column"]: r["count"] for r in base})
+    rows = [
+        (c := r["column"], r["count"], r["mean"], r["std"], r["min"], q[c, 0.25], q[c, 0.5], q[c, 0.75], r["max"]) for r in base
+    ]
+    numbers = ", ".join(f"{n} double" for n in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count bigint, {numbers}")
 
 
 def describe_categorical(df: DataFrame, columns) -> DataFrame:

@@ -18,7 +18,7 @@ from .evaluate import errors
 from .knn import KnnIndex
 from .models import INPUTS, Candidate, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
-from .validate import CategoricalInput, Manifest, NumericInput, accept, check, describe_inputs, quarantine
+from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, quarantine
 
 RAW_PREDICTION = "_raw_prediction"
 
@@ -51,12 +51,12 @@ class Scorer:
 
 def score(df: DataFrame, scorer: Scorer, keep=()) -> DataFrame:
     """Validate, keep the accepted rows, transform, predict, invert: one plan, no shuffle for MLlib models."""
-    accepted = accept(check(df, scorer.manifest), scorer.manifest, keep)
+    accepted = accept(df, scorer.manifest, keep)
     return scorer.predict(accepted).select(*keep, scorer.output)
 
 
 def score_and_quarantine(df: DataFrame, scorer: Scorer, keep=()) -> tuple[DataFrame, DataFrame]:
-    return score(df, scorer, keep), quarantine(check(df, scorer.manifest))
+    return score(df, scorer, keep), quarantine(df, scorer.manifest)
 
 
 def score_many(df: DataFrame, scorers: list[Scorer], keep=()) -> DataFrame:

@@ -148,9 +148,7 @@ def _needs_fit(step: Step) -> bool:
 
 
 def _statistics(step: Step, x: Column, i: int) -> list[Column]:
-    """Aggregates one step needs."""
-    if step.type == "one_hot_encoding":
-        return [F.approx_count_distinct(x).alias(f"width{i}")]
+    """Aggregates a scaling step needs."""
     x = skip_nan(x)
     if step.type == "min_max_transformation":
         return [F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
@@ -170,18 +168,30 @@ def _fitted(step: Step, row, i: int) -> FittedStep:
     return FittedStep(step, params)
 
 
-def _domains(train: DataFrame, columns: list[str]) -> dict[str, tuple[str, ...]]:
-    """Sorted distinct values of small-domain columns, all from one pass."""
-    long = train.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-        ).alias("cell")
-    ).select("cell.*")
-    rows = long.where(F.col("value").isNotNull()).distinct().collect()
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in rows:
-        found[row["column"]].append(row["value"])
-    return {c: tuple(sorted(v)) for c, v in found.items()}
+def _fit_one_hot(train: DataFrame, steps: dict[int, Step], max_width: int) -> dict[int, FittedStep]:
+    """Sorted distinct values of every column to encode, all from one pass over the train rows."""
+    if not steps:
+        return {}
+    columns = sorted({s.column for s in steps.values()})
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = train.select(F.explode(cells).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
+    values = materialize(long.distinct(), "values")
+    width = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
+    small = [c for c in columns if width.get(c, 0) <= max_width]
+    listed: dict[str, list[str]] = {c: [] for c in small}
+    for row in values.where(F.col("column").isin(*small)).collect() if small else []:
+        listed[row["column"]].append(row["value"])
+    large = {}
+    for c in columns:
+        if c not in listed:
+            indexed = alphabetical_index(values.where(F.col("column") == c).select("value"), "value", "index")
+            large[c] = materialize(indexed, "domain")
+    return {
+        i: FittedStep(s, categories=tuple(sorted(listed[s.column])))
+        if s.column in listed
+        else FittedStep(s, {"width": float(width[s.column])}, domain=large[s.column])
+        for i, s in steps.items()
+    }
 
 
 def fit(
@@ -204,6 +214,7 @@ def fit(
     if absent:
         raise ValueError(f"columns to transform are absent: {absent}")
     fitted: dict[int, FittedStep] = {i: FittedStep(s) for i, s in enumerate(steps) if not _needs_fit(s)}
+    fitted |= _fit_one_hot(train, {i: s for i, s in enumerate(steps) if s.type == "one_hot_encoding"}, max_width)
     while len(fitted) < len(steps):
         aggregates, ready = [], []
         current: dict[str, Column] = {}
@@ -220,21 +231,8 @@ def fit(
             elif fit_mode == "chained" and step.method == REPLACE:
                 current[step.column] = fitted[i].forward(x)
         row = train.agg(*aggregates).first()
-        small = {}
         for i in ready:
-            step = steps[i]
-            if step.type != "one_hot_encoding":
-                fitted[i] = _fitted(step, row, i)
-            elif row[f"width{i}"] <= max_width:
-                small[i] = step.column
-            else:
-                values = train.select(F.col(step.column).cast("string").alias("value")).distinct()
-                domain = materialize(alphabetical_index(materialize(values, "values"), "value", "index"), "domain")
-                fitted[i] = FittedStep(step, {"width": float(domain.count())}, domain=domain)
-        if small:
-            domains = _domains(train, sorted(set(small.values())))
-            for i, column in small.items():
-                fitted[i] = FittedStep(steps[i], categories=domains[column])
+            fitted[i] = _fitted(steps[i], row, i)
     return [fitted[i] for i in range(len(steps))]
 
 

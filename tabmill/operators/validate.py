@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import skip_nan
 from ..functions.skew import lookup_join
 from ..schema import RoleSchema
+from ..sources.workspace import materialize
 from . import profile
 
 # Up to this many values a categorical check is a literal list, beyond it is a lookup join.
@@ -45,26 +48,37 @@ def build_manifest(
 ) -> Manifest:
     """Bounds and allowed values of the inputs present in the table, in declared order."""
     present = [c for c in schema.columns if c in df.columns and c != schema.target]
-    numeric = {r["name"]: r for r in profile.manifest_numeric(df, schema, truncate).collect()}
     categorical = [c for c in present if c in schema.categorical]
-    wide = set()
+    numerical = [c for c in present if c in schema.numerical]
+    numeric: dict[str, tuple[float, float]] = {}
+    if numerical:
+        aggregates = []
+        for c in numerical:
+            x = skip_nan(F.col(c).cast("double"))
+            aggregates += [F.min(x).alias(f"min_{c}"), F.max(x).alias(f"max_{c}")]
+        found = df.agg(*aggregates).first()
+        cut = math.trunc if truncate else (lambda v: v)
+        for c in numerical:
+            if found[f"min_{c}"] is None:
+                raise ValueError(f"{c} has no values to take bounds from")
+            numeric[c] = (float(cut(found[f"min_{c}"])), float(cut(found[f"max_{c}"])))
+    listed: dict[str, list[str]] = {c: [] for c in categorical}
+    wide = {}
     if categorical:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        wide = {c for c in categorical if sizes[c] > inline_values}
-    listed: dict[str, list[str]] = {}
-    narrow = [c for c in categorical if c not in wide]
-    if narrow:
-        for r in profile.cells(df, narrow).where(F.col("value").isNotNull()).distinct().collect():
-            listed.setdefault(r["column"], []).append(r["value"])
+        # one pass over the rows; the distinct values are written and only short lists are collected
+        values = materialize(profile.cells(df, categorical).where(F.col("value").isNotNull()).distinct(), "values")
+        sizes = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
+        wide = {c: values.where(F.col("column") == c).select("value") for c in sizes if sizes[c] > inline_values}
+        for r in values.where(~F.col("column").isin(*wide)).collect() if wide else values.collect():
+            listed[r["column"]].append(r["value"])
     inputs = []
     for c in present:
         if c in numeric:
-            inputs.append(NumericInput(c, numeric[c]["min"], numeric[c]["max"]))
+            inputs.append(NumericInput(c, *numeric[c]))
         elif c in wide:
-            values = profile.cells(df, [c]).where(F.col("value").isNotNull()).select("value").distinct()
-            inputs.append(CategoricalInput(c, table=values))
+            inputs.append(CategoricalInput(c, table=wide[c]))
         elif c in categorical:
-            inputs.append(CategoricalInput(c, values=tuple(sorted(listed.get(c, [])))))
+            inputs.append(CategoricalInput(c, values=tuple(sorted(listed[c]))))
     return Manifest(tuple(inputs))
 
 
@@ -97,17 +111,26 @@ def _error(name: str, rule: str, value: Column) -> Column:
     return F.struct(F.lit(name).alias("column"), F.lit(rule).alias("rule"), value.cast("string").alias("value"))
 
 
-def check(df: DataFrame, manifest: Manifest) -> DataFrame:
-    """Add `errors`, an array of (column, rule, value). Rules: missing, not_a_number, range, unknown_value."""
+def _complete(df: DataFrame, manifest: Manifest) -> None:
     absent = [n for n in manifest.names if n not in df.columns]
     if absent:
         raise ValueError(f"incomplete input data, missing columns: {absent}")
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """The input as a double, null where its text is not a number."""
+    return F.col(name).try_cast("double") if dict(df.dtypes)[name] == "string" else F.col(name).cast("double")
+
+
+def check(df: DataFrame, manifest: Manifest) -> DataFrame:
+    """Add `errors`, an array of (column, rule, value). Rules: missing, not_a_number, range, unknown_value."""
+    _complete(df, manifest)
     found = []
     marks = []
     for i in manifest.inputs:
         x = F.col(i.name)
         if isinstance(i, NumericInput):
-            number = x.cast("string").try_cast("double") if df.schema[i.name].dataType.simpleString() == "string" else x.cast("double")
+            number = _number(df, i.name)
             found.append(
                 F.when(x.isNull(), _error(i.name, "missing", x))
                 .when(number.isNull() | F.isnan(number), _error(i.name, "not_a_number", x))
@@ -133,22 +156,32 @@ def check(df: DataFrame, manifest: Manifest) -> DataFrame:
     return df.withColumn("errors", errors).drop(*marks)
 
 
-def accept(checked: DataFrame, manifest: Manifest, keep=()) -> DataFrame:
-    """Rows without errors, reduced to the inputs of the model and the columns in `keep`, numbers typed."""
-    good = checked.where(F.size("errors") == 0)
+def accept(df: DataFrame, manifest: Manifest, keep=()) -> DataFrame:
+    """Rows without errors, reduced to the inputs of the model and the columns in `keep`, numbers typed.
+
+    The complement of `quarantine`, as plain predicates that reach the scan where they can.
+    """
+    _complete(df, manifest)
+    for i in manifest.inputs:
+        x = F.col(i.name)
+        if isinstance(i, NumericInput):
+            # null, unreadable text and NaN all fail the comparison
+            df = df.where(_number(df, i.name).between(F.lit(i.min), F.lit(i.max)))
+        elif i.values is not None:
+            df = df.where(x.cast("string").isin(*i.values) if i.values else F.lit(False))
+        else:
+            mark = f"_value_{i.name}"
+            df = lookup_join(df.withColumn(mark, x.cast("string")), i.table.select(F.col("value").alias(mark)), [mark], "left_semi")
     numeric = {i.name for i in manifest.inputs if isinstance(i, NumericInput)}
-    return good.select(
+    return df.select(
         *[c for c in keep if c not in manifest.names],
-        *[
-            F.col(n).try_cast("double").alias(n) if n in numeric else F.col(n).cast("string").alias(n)
-            for n in manifest.names
-        ],
+        *[_number(df, n).alias(n) if n in numeric else F.col(n).cast("string").alias(n) for n in manifest.names],
     )
 
 
-def quarantine(checked: DataFrame) -> DataFrame:
+def quarantine(df: DataFrame, manifest: Manifest) -> DataFrame:
     """Rows with errors, all their columns and the reasons."""
-    return checked.where(F.size("errors") > 0)
+    return check(df, manifest).where(F.size("errors") > 0)
 
 
 def reasons(checked: DataFrame) -> DataFrame:

@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, *by: str) -> DataFrame:
+    """Use all cores on a file that is a single split. A table of many splits is left as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _text(name: str):
     return F.col(name).cast("string")
 
@@ -34,7 +40,7 @@ def shipment_id():
         _text("l_linenumber"),
         _text("l_partkey"),
         _text("l_suppkey"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("string"),
     )
 
 
@@ -75,7 +81,8 @@ def _shipment_columns() -> dict:
 def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One row per lineitem under the 20 shipment columns, or those asked for."""
     wanted = columns or COMMODITY_FLOW.columns
-    return shipments_from(table(spark, sf_dir, "lineitem"), spark, sf_dir, *wanted)
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return shipments_from(lineitem, spark, sf_dir, *wanted)
 
 
 def shipments_from(lineitem: DataFrame, spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -8,7 +8,7 @@ from ...operators import clean, lookup, profile
 from ...operators.split import split, stage_sizes
 from ...schema import COMMODITY_FLOW as SCHEMA
 from ...sources import tables
-from ...sources.workspace import new_path
+from ...sources.workspace import materialize, new_path
 from ..derived import shipments, table
 from . import sql
 
@@ -142,7 +142,9 @@ def manifest_json_roundtrip(spark, sf_dir):
 
 
 def describe_numeric(spark, sf_dir):
-    out = profile.describe_numeric(shipments(spark, sf_dir, *sql.NUMERICAL), sql.NUMERICAL)
+    # several passes over five columns: join once, not per pass
+    rows = materialize(shipments(spark, sf_dir, *sql.NUMERICAL), "numbers")
+    out = profile.describe_numeric(rows, sql.NUMERICAL)
     return out.select("column", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
 

@@ -38,18 +38,17 @@ def _manifest(spark, sf_dir):
     return validate.build_manifest(train.select(WEIGHT, "NAICS"), SCHEMA)
 
 
-def _checked(spark, sf_dir, **options):
-    return validate.check(_incoming(shipments(spark, sf_dir, *_ARRIVING)), _manifest(spark, sf_dir, **options))
+def _checked(spark, sf_dir):
+    return validate.check(_incoming(shipments(spark, sf_dir, *_ARRIVING)), _manifest(spark, sf_dir))
 
 
 def v_accept(spark, sf_dir):
     manifest = _manifest(spark, sf_dir)
-    checked = validate.check(_incoming(shipments(spark, sf_dir, *_ARRIVING)), manifest)
-    return validate.accept(checked, manifest, keep=(ID,))
+    return validate.accept(_incoming(shipments(spark, sf_dir, *_ARRIVING)), manifest, keep=(ID,))
 
 
 def v_quarantine(spark, sf_dir):
-    bad = validate.quarantine(_checked(spark, sf_dir))
+    bad = validate.quarantine(_incoming(shipments(spark, sf_dir, *_ARRIVING)), _manifest(spark, sf_dir))
     text = F.transform("errors", lambda e: F.concat_ws(":", e["column"], e["rule"], F.coalesce(e["value"], F.lit("-"))))
     return bad.select(ID, F.array_join(text, ";").alias("errors"))
 

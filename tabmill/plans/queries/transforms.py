@@ -173,18 +173,14 @@ def f_interstate(spark, sf_dir):
     return features.interstate(shipments(spark, sf_dir, ID, *_ENDS))
 
 
-def _tables(rows):
-    return {c: features.fit_encoding(rows, c, VALUE) for c in _ENDS}
-
-
 def f_freq_encode(spark, sf_dir):
     rows = _split(spark, sf_dir, VALUE, *_ENDS)
-    return features.frequency_encode(rows, _ENDS, _tables(rows)).drop(VALUE)
+    return features.frequency_encode(rows, features.fit_encoding(rows, _ENDS, VALUE)).drop(VALUE)
 
 
 def f_mean_encode(spark, sf_dir):
     rows = _split(spark, sf_dir, VALUE, *_ENDS)
-    out = features.mean_encode(rows, _ENDS, _tables(rows), features.train_mean(rows, VALUE)).drop(VALUE)
+    out = features.mean_encode(rows, features.fit_encoding(rows, _ENDS, VALUE)).drop(VALUE)
     return _rounded(out, *[f"{c}_MEAN" for c in _ENDS])
 
 
