@@ -27,7 +27,7 @@ from ..operators.transform import FittedStep, apply_steps, fit, save_steps, tran
 from ..operators.validate import Manifest, build_manifest, describe_inputs
 from ..schema import RoleSchema, schema_named
 from ..sources.runlog_store import Recorder, read
-from ..sources.tables import audited, read_csv
+from ..sources.tables import audited, read_csv, stored_splits
 from ..sources.workspace import materialize
 
 STEP_TYPES = ("data_io", "data_cleaner", "data_transformer", "model_trainer", "post_test")
@@ -35,8 +35,9 @@ STEP_TYPES = ("data_io", "data_cleaner", "data_transformer", "model_trainer", "p
 
 @dataclass
 class Prepared:
-    """Split and transformed rows with the steps that made them."""
+    """The split rows, and the same rows transformed, with the steps that made them."""
 
+    parts: DataFrame
     rows: DataFrame
     schema: RoleSchema
     steps: list[FittedStep]
@@ -81,12 +82,17 @@ def cleaned(df: DataFrame, config: dict) -> DataFrame:
 
 
 def prepare(df: DataFrame, config: dict, fit_mode: str = "chained", exact: bool = False) -> Prepared:
-    """Split the cleaned rows, fit on train, transform all."""
+    """Split the cleaned rows, fit on train, transform all.
+
+    The split rows are written once: manifest, fit, sizes and training all read them.
+    """
     spec, schema = step_of(config, "data_transformer"), reference(config)
-    parts = split(df, schema, exact=exact)
+    if exact:
+        df = materialize(df, "cleaned")
+    parts = stored_splits(split(df, schema, exact=exact))
     steps = fit(parts, spec.get("call", []) if spec else [], schema, fit_mode)
     rows = apply_steps(parts, steps)
-    return Prepared(rows, schema, steps, transformed_features(schema, df.columns, steps), schema.label)
+    return Prepared(parts, rows, schema, steps, transformed_features(schema, df.columns, steps), schema.label)
 
 
 @dataclass
@@ -125,25 +131,28 @@ def run_scenario(
     log.prop(run_id, "size.load.column", len(raw.columns))
     log.prop(run_id, "name.dataset", step_of(config, "data_io")["properties"].get("file", ""))
 
-    # the cleaned rows feed the fit, the split sizes and the training, so they are written once
-    since = time.time()
-    rows = materialize(cleaned(seen, config), "cleaned")
-    timed("cleaning", since)
+    rows = cleaned(seen, config)
     chosen = [c for c in rows.columns if c != schema.primary_id]
-    log.prop(run_id, "size.load.row", loaded.get["rows"])
-    log.prop(run_id, "size.clean.row", rows.count())
-    log.prop(run_id, "size.clean.column", len(chosen))
-
     prepared = grid = scorer = None
     post_tests: list[dict] = []
+    since = time.time()
     if step_of(config, "data_transformer"):
-        since = time.time()
-        manifest = build_manifest(rows.select(*chosen), schema)
         prepared = prepare(rows, config, fit_mode, exact)
-        for r in stage_sizes(prepared.rows).collect():
-            log.prop(run_id, f"size.split.{r['stage']}.row", r["n_rows"])
-            log.prop(run_id, f"size.split.{r['stage']}.column", len(prepared.features))
         timed("transforming.all", since)
+        manifest = build_manifest(prepared.parts.select(*chosen), schema)
+        sizes = {r["stage"]: r["n_rows"] for r in stage_sizes(prepared.parts).collect()}
+        for stage, n in sizes.items():
+            log.prop(run_id, f"size.split.{stage}.row", n)
+            log.prop(run_id, f"size.split.{stage}.column", len(prepared.features))
+        cleaned_rows = sum(sizes.values())
+    else:
+        cleaned_rows = materialize(rows, "cleaned").count()
+        timed("cleaning", since)
+    # reading and cleaning ran within the first action above
+    log.prop(run_id, "size.load.row", loaded.get["rows"])
+    log.prop(run_id, "size.clean.row", cleaned_rows)
+    log.prop(run_id, "size.clean.column", len(chosen))
+    if prepared:
         if log_path:
             stored = f"{log_path}/steps/{run_id}"
             save_steps(spark, prepared.steps, stored)

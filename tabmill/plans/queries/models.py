@@ -10,6 +10,7 @@ from ...operators.models import Candidate, fit_one, train_grid
 from ...operators.split import hash_stage, split
 from ...operators.transform import apply_steps, fit, invert_target, transformed_features
 from ...schema import COMMODITY_FLOW as SCHEMA
+from ...sources.tables import stored_splits
 from ..derived import shipments, table
 from . import sql
 
@@ -18,8 +19,8 @@ ROUTE = "SHIPMENT_DISTANCE_ROUTE"
 
 
 def rows_for(spark, sf_dir, *columns):
-    """Split shipments with these columns."""
-    return split(typed(shipments(spark, sf_dir, ID, VALUE, *columns), SCHEMA), SCHEMA)
+    """Split shipments with these columns, written once as every model reads them several times."""
+    return stored_splits(split(typed(shipments(spark, sf_dir, ID, VALUE, *columns), SCHEMA), SCHEMA))
 
 
 def _train(df):

@@ -33,11 +33,11 @@ def head_n_by_key(spark, sf_dir):
 
 
 def head_n_large(spark, sf_dir):
-    return tables.head(shipments(spark, sf_dir, ID, WEIGHT, VALUE), SCHEMA, 25_000)
+    return tables.head(materialize(shipments(spark, sf_dir, ID, WEIGHT, VALUE), "rows"), SCHEMA, 25_000)
 
 
 def random_sample_exact(spark, sf_dir):
-    return tables.sample_rows(shipments(spark, sf_dir, ID, WEIGHT, VALUE), SCHEMA, 1_000, seed=42)
+    return tables.sample_rows(materialize(shipments(spark, sf_dir, ID, WEIGHT, VALUE), "rows"), SCHEMA, 1_000, seed=42)
 
 
 def split_parquet_roundtrip(spark, sf_dir):
@@ -193,7 +193,7 @@ def split_hash_rows(spark, sf_dir):
 
 
 def split_exact_sizes(spark, sf_dir):
-    rows = split(shipments(spark, sf_dir, ID, WEIGHT), SCHEMA, exact=True)
+    rows = split(materialize(shipments(spark, sf_dir, ID, WEIGHT), "rows"), SCHEMA, exact=True)
     return rows.groupBy("stage").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(ID).alias("first_id"), F.max(ID).alias("last_id"), F.round(F.sum(WEIGHT), 2).alias("weight")
     )

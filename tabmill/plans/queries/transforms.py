@@ -18,6 +18,7 @@ from ...operators.transform import (
     save_steps,
 )
 from ...schema import COMMODITY_FLOW as SCHEMA
+from ...sources.tables import stored_splits
 from ...sources.workspace import new_path
 from ..derived import shipments
 from . import sql
@@ -32,6 +33,11 @@ def _split(spark, sf_dir, *columns):
     return split(shipments(spark, sf_dir, ID, *columns), SCHEMA)
 
 
+def _stored(spark, sf_dir, *columns):
+    """As `_split`, written once because fitting and applying both read it."""
+    return stored_splits(_split(spark, sf_dir, *columns))
+
+
 def _step(kind, *columns, condition="replace"):
     return {"type": kind, "columns": [c.lower() for c in columns], "condition": condition}
 
@@ -70,7 +76,7 @@ def t_sign(spark, sf_dir):
 
 
 def t_minmax(spark, sf_dir):
-    out = _run(_split(spark, sf_dir, WEIGHT, ROUTE), [_step("min_max_transformation", WEIGHT, ROUTE)])
+    out = _run(_stored(spark, sf_dir, WEIGHT, ROUTE), [_step("min_max_transformation", WEIGHT, ROUTE)])
     return _rounded(out, WEIGHT, ROUTE)
 
 
@@ -81,16 +87,16 @@ def t_minmax_constant_column(spark, sf_dir):
 
 
 def t_standardize(spark, sf_dir):
-    out = _run(_split(spark, sf_dir, WEIGHT, ROUTE), [_step("standardization", WEIGHT, ROUTE)])
+    out = _run(_stored(spark, sf_dir, WEIGHT, ROUTE), [_step("standardization", WEIGHT, ROUTE)])
     return _rounded(out, WEIGHT, ROUTE)
 
 
 def t_onehot(spark, sf_dir):
-    return _run(_split(spark, sf_dir, "NAICS", "QUARTER", "HAZMAT"), [_step("one_hot_encoding", "NAICS", "QUARTER", "HAZMAT")])
+    return _run(_stored(spark, sf_dir, "NAICS", "QUARTER", "HAZMAT"), [_step("one_hot_encoding", "NAICS", "QUARTER", "HAZMAT")])
 
 
 def t_onehot_unseen(spark, sf_dir):
-    rows = _split(spark, sf_dir, "QUARTER", "HAZMAT")
+    rows = _stored(spark, sf_dir, "QUARTER", "HAZMAT")
     late = (F.col("stage") != "train") & (F.col("QUARTER") == "4")
     out = _run(rows.withColumn("HAZMAT", F.when(late, "X").otherwise(F.col("HAZMAT"))), [_step("one_hot_encoding", "HAZMAT")])
     hot = sum((F.col(c) for c in out.columns if c.startswith("HAZMAT_")), F.lit(0))
@@ -100,7 +106,7 @@ def t_onehot_unseen(spark, sf_dir):
 
 
 def t_onehot_wide(spark, sf_dir):
-    rows = _split(spark, sf_dir, "DESTINATION_CFS_AREA")
+    rows = _stored(spark, sf_dir, "DESTINATION_CFS_AREA")
     rows = rows.withColumn("area", F.col("DESTINATION_CFS_AREA"))
     out = _run(rows, [_step("one_hot_encoding", "DESTINATION_CFS_AREA")], max_width=50)
     hot = vector_to_array("DESTINATION_CFS_AREA_vector")
@@ -116,18 +122,18 @@ _LOG_STD = [_step("log_transformation", WEIGHT), _step("standardization", WEIGHT
 
 
 def t_log_then_std_raw(spark, sf_dir):
-    return _rounded(_run(_split(spark, sf_dir, WEIGHT), _LOG_STD, fit_mode="raw"), WEIGHT)
+    return _rounded(_run(_stored(spark, sf_dir, WEIGHT), _LOG_STD, fit_mode="raw"), WEIGHT)
 
 
 def t_log_then_std_chained(spark, sf_dir):
-    return _rounded(_run(_split(spark, sf_dir, WEIGHT), _LOG_STD), WEIGHT)
+    return _rounded(_run(_stored(spark, sf_dir, WEIGHT), _LOG_STD), WEIGHT)
 
 
 _TARGET_CHAIN = [_step("log_transformation", VALUE), _step("standardization", VALUE), _step("min_max_transformation", VALUE)]
 
 
 def t_inverse_roundtrip(spark, sf_dir):
-    rows = _split(spark, sf_dir, VALUE)
+    rows = _stored(spark, sf_dir, VALUE)
     steps = fit(rows, _TARGET_CHAIN, SCHEMA)
     out = apply_steps(rows, steps)
     return out.select(ID, F.round(VALUE, 4).alias("scaled"), F.round(invert_target(F.col(VALUE), steps), 2).alias("restored"))
@@ -143,7 +149,7 @@ _REPLAYED = [
 
 def t_params_table(spark, sf_dir):
     path = new_path(spark, "steps")
-    save_steps(spark, fit(_split(spark, sf_dir, WEIGHT, ROUTE, "HAZMAT"), _REPLAYED, SCHEMA), path)
+    save_steps(spark, fit(_stored(spark, sf_dir, WEIGHT, ROUTE, "HAZMAT"), _REPLAYED, SCHEMA), path)
     saved = spark.read.parquet(path)
     return saved.select(
         "position", "ordinal", "id", "name", "column", "method", "is_target",
@@ -154,7 +160,7 @@ def t_params_table(spark, sf_dir):
 
 def t_params_replay(spark, sf_dir):
     path = new_path(spark, "steps")
-    rows = _split(spark, sf_dir, WEIGHT, ROUTE, "HAZMAT")
+    rows = _stored(spark, sf_dir, WEIGHT, ROUTE, "HAZMAT")
     save_steps(spark, fit(rows, _REPLAYED, SCHEMA), path)
     return _rounded(apply_steps(rows, load_steps(spark, path)), WEIGHT, ROUTE)
 
@@ -174,18 +180,18 @@ def f_interstate(spark, sf_dir):
 
 
 def f_freq_encode(spark, sf_dir):
-    rows = _split(spark, sf_dir, VALUE, *_ENDS)
+    rows = _stored(spark, sf_dir, VALUE, *_ENDS)
     return features.frequency_encode(rows, features.fit_encoding(rows, _ENDS, VALUE)).drop(VALUE)
 
 
 def f_mean_encode(spark, sf_dir):
-    rows = _split(spark, sf_dir, VALUE, *_ENDS)
+    rows = _stored(spark, sf_dir, VALUE, *_ENDS)
     out = features.mean_encode(rows, features.fit_encoding(rows, _ENDS, VALUE)).drop(VALUE)
     return _rounded(out, *[f"{c}_MEAN" for c in _ENDS])
 
 
 def f_geo_all(spark, sf_dir):
-    rows = _split(spark, sf_dir, WEIGHT, VALUE, *_ENDS)
+    rows = _stored(spark, sf_dir, WEIGHT, VALUE, *_ENDS)
     # two states of the held-out rows were never seen in training
     unseen = (F.col("stage") != "train") & F.col("ORIGIN_STATE").isin("03", "07")
     rows = rows.withColumn("ORIGIN_STATE", F.when(unseen, F.concat(F.lit("9"), "ORIGIN_STATE")).otherwise(F.col("ORIGIN_STATE")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.selection import first_rows, random_rows
 from ..schema import RoleSchema
+from .workspace import new_path
 
 # Texts that a pandas CSV reader takes for a missing value by default.
 NA_TOKENS = (
@@ -88,6 +89,17 @@ def load_splits(spark: SparkSession, path: str, stage: str | None = None) -> Dat
     return df if stage is None else df.where(F.col("stage") == stage)
 
 
+def stored_splits(df: DataFrame) -> DataFrame:
+    """Split rows written to the shared folder once, a folder per stage.
+
+    Worth it wherever several passes follow: they read narrow columns instead of joining and
+    hashing again, and a pass over the train rows reads nothing else.
+    """
+    path = new_path(df.sparkSession, "splits")
+    save_splits(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def same_columns(*frames: DataFrame) -> None:
     """Split sets read from separate places must agree on their columns."""
     first = frames[0].dtypes
