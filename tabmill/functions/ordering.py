@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .selection import interval_of, sample_splitters
 
 
-def running_min_before(df: DataFrame, group: list[str], order: list[str], value: str, piece: Column, out: str) -> DataFrame:
+def order_pieces(df: DataFrame, order: list[str], fanout: int = 64) -> Column:
+    """Interval number along the order columns, with about as many rows in each interval.
+
+    The intervals cut through groups, so even a group with most of the rows is spread over them.
+    """
+    kinds = dict(df.dtypes)
+    # timestamps as texts that sort alike, which survive the way to the driver in any time zone
+    parts = [
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kinds[c].startswith("timestamp") else F.col(c) for c in order
+    ]
+    key = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
+    picked = df.select(key.alias("k"), F.rand(7).alias("r")).orderBy("r").limit(fanout * 4).collect()
+    keys = sorted({tuple(row["k"]) for row in picked}, key=lambda k: [(v is not None, v) for v in k])
+    step = max(1, math.ceil(len(keys) / fanout))
+    schema = df.select(key.alias("k")).schema["k"].dataType
+    splitters = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(k, schema.fields)]) for k in keys[step - 1 :: step]
+    ]
+    return interval_of(key, splitters)
+
+
+def running_min_before(
+    df: DataFrame, group: list[str], order: list[str], value: str, out: str, piece: Column | None = None
+) -> DataFrame:
     """Minimum of the earlier rows of the group, null for the first, plus `group_<out>` over all rows.
 
     `piece` cuts each group along its order (for instance a day for a timestamp) and must not
-    decrease along it. Pieces are reduced to one row each before the running minimum is carried
-    across them, and the row-level window only runs inside a piece.
+    decrease along it; without it the cuts are sampled. Pieces are reduced to one row each before the
+    running minimum is carried across them, and the row-level window only runs inside a piece.
     """
+    if piece is None:
+        piece = order_pieces(df, order)
     cut = df.withColumn("_piece", piece)
     pieces = cut.groupBy(*group, "_piece").agg(F.min(value).alias("_low"))
     along = Window.partitionBy(*group).orderBy("_piece")

@@ -9,14 +9,16 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.workspace import new_path
 from .evaluate import best_model, known_metrics, metrics_by_stage
 from .knn import KnnIndex, build_index
 
@@ -71,25 +73,29 @@ def candidates(calls: list[dict], grid_type: str = "exhaustive") -> list[Candida
     return out
 
 
+class Unsupported(ValueError):
+    """A hyper-parameter value that MLlib cannot express."""
+
+
 def _take(hp: dict, allowed: dict) -> dict:
     """Hyper-parameters by their MLlib names; anything without a twin raises."""
     unknown = sorted(set(hp) - set(allowed))
     if unknown:
-        raise ValueError(f"hyper-parameters without a counterpart: {unknown}")
+        raise Unsupported(f"hyper-parameters without a counterpart: {unknown}")
     return {allowed[k]: v for k, v in hp.items() if allowed[k] is not None and v is not None}
 
 
-def _tree_options(hp: dict) -> dict:
+def _tree_options(hp: dict, single: bool = False) -> dict:
     """Checks the options MLlib trees cannot express instead of ignoring them."""
     hp = dict(hp)
     criterion = hp.pop("criterion", "squared_error")
     # with one output both rank splits by the reduction of variance
     if criterion not in ("squared_error", "friedman_mse"):
-        raise ValueError(f"criterion {criterion!r} is not available, trees minimise the variance")
+        raise Unsupported(f"criterion {criterion!r} is not available, trees minimise the variance")
     smallest = hp.pop("min_samples_split", 2)
     leaf = hp.get("min_samples_leaf", 1)
-    if smallest > 2 * leaf:
-        raise ValueError(f"min_samples_split={smallest} is only available up to twice min_samples_leaf={leaf}")
+    if smallest > 2 * leaf and not single:
+        raise Unsupported(f"min_samples_split={smallest} above twice min_samples_leaf={leaf} is for single trees only")
     hp.setdefault("max_depth", 30)
     if hp["max_depth"] is None or hp["max_depth"] > 30:
         hp["max_depth"] = 30
@@ -117,7 +123,7 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
         return LinearRegression(regParam=reg, elasticNetParam=lasso_part / reg if reg else 0.0, **linear, **options)
     if kind == "decision_tree_regressor":
         options = _take(
-            _tree_options(hp),
+            _tree_options(hp, single=True),
             {"max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "random_state": "seed"},
         )
         return DecisionTreeRegressor(**common, **options)
@@ -150,13 +156,38 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
     raise ValueError(f"{kind} is not an MLlib estimator")
 
 
+def cut_small_nodes(spark: SparkSession, model: DecisionTreeRegressionModel, smallest: int) -> DecisionTreeRegressionModel:
+    """Turn every node with fewer train rows into a leaf: the tree that `min_samples_split` would have grown.
+
+    A split does not depend on the splits below it, so cutting afterwards gives the same tree. It is
+    done on the node table of MLlib's own model format.
+    """
+    grown, cut = new_path(spark, "tree"), new_path(spark, "tree-cut")
+    model.write().save(grown)
+    too_small = F.col("rawCount") < smallest
+    nodes = spark.read.parquet(f"{grown}/data")
+    for child in ("leftChild", "rightChild"):
+        nodes = nodes.withColumn(child, F.when(too_small, F.lit(-1)).otherwise(F.col(child)))
+    nodes.write.parquet(f"{cut}/data")
+    spark.read.text(f"{grown}/metadata").write.text(f"{cut}/metadata")
+    return DecisionTreeRegressionModel.load(cut)
+
+
+def _fit_mllib(candidate: Candidate, chosen, rows: DataFrame):
+    model = chosen.fit(rows)
+    hp = candidate.hyperparameters
+    if candidate.model_type == "decision_tree_regressor" and hp.get("min_samples_split", 2) > 2 * hp.get("min_samples_leaf", 1):
+        return cut_small_nodes(rows.sparkSession, model, hp["min_samples_split"])
+    return model
+
+
 def knn_setting(candidate: Candidate) -> tuple[int, str, int]:
     """(k, weights, p); `algorithm` only chooses an index, the neighbours are the same."""
     hp = dict(candidate.hyperparameters)
     hp.pop("algorithm", None)
     unknown = sorted(set(hp) - {"n_neighbors", "weights", "p"})
     if unknown:
-        raise ValueError(f"hyper-parameters without a counterpart: {unknown}")
+        raise Unsupported(f"hyper-parameters without a counterpart: {unknown}")
     return hp.get("n_neighbors", 5), hp.get("weights", "uniform"), hp.get("p", 2)
 
 
@@ -188,10 +219,10 @@ def fit_one(candidate: Candidate, train: DataFrame, features: list[str], label:
     chosen = estimator(candidate, label, prediction, n_inputs(vectors), std)
     if isinstance(chosen, LinearRegression) and chosen.getSolver() == "normal":
         # a single pass, nothing to keep
-        return FittedModel(candidate, features, prediction, chosen.fit(vectors))
+        return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return FittedModel(candidate, features, prediction, chosen.fit(vectors))
+        return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
     finally:
         vectors.unpersist()
 
@@ -201,6 +232,26 @@ class GridResult:
     models: dict[str, FittedModel]
     metrics: DataFrame  # (model_id, stage, metric, value): train and valid of all, test of the best
     best: FittedModel
+    skipped: dict[str, str] = field(default_factory=dict)  # model_id -> why it was not fitted
+
+
+def _possible(todo: list[Candidate], label: str, unsupported: str) -> tuple[list[Candidate], dict[str, str]]:
+    """Candidates that can be fitted, and the reasons for the others."""
+    if unsupported not in ("raise", "skip"):
+        raise ValueError(f"unsupported candidates can be raised or skipped, not {unsupported!r}")
+    good, skipped = [], {}
+    for c in todo:
+        try:
+            if c.model_type == "k_nearest_neighbors_regressor":
+                knn_setting(c)
+            else:
+                estimator(c, label, c.model_id, 1)
+            good.append(c)
+        except Unsupported as e:
+            if unsupported == "raise":
+                raise
+            skipped[c.model_id] = str(e)
+    return good, skipped
 
 
 def train_grid(
@@ -213,16 +264,20 @@ def train_grid(
     primary: str,
     grid_type: str = "exhaustive",
     objective: str = "best_model",
+    unsupported: str = "raise",
     parallelism: int = 4,
     per_pass: int = 16,
 ) -> GridResult:
-    """Fit every candidate on train, measure on train and valid, and the winner alone on test."""
+    """Fit every candidate on train, measure on train and valid, and the winner alone on test.
+
+    Candidates with options that MLlib cannot express raise, or are skipped and reported.
+    """
     metrics = known_metrics(metrics)
     if primary not in metrics:
         raise ValueError("the primary metric must be one of the metrics")
     if objective not in ("best_model", "first_model"):
         raise ValueError(f"unknown objective {objective!r}")
-    todo = candidates(calls, grid_type)
+    todo, skipped = _possible(candidates(calls, grid_type), label, unsupported)
     if not todo:
         raise ValueError("no model to compare")
     spark = df.sparkSession
@@ -240,7 +295,8 @@ def train_grid(
             width = n_inputs(train)
             estimators = [estimator(c, label, c.model_id, width, std) for c in plain]
             with ThreadPoolExecutor(parallelism) as pool:
-                jobs = [pool.submit(inheritable_thread_target(spark)(e.fit), train) for e in estimators]
+                fit_in_thread = inheritable_thread_target(spark)(_fit_mllib)
+                jobs = [pool.submit(fit_in_thread, c, e, train) for c, e in zip(plain, estimators)]
                 for c, job in zip(plain, jobs):
                     models[c.model_id] = FittedModel(c, features, c.model_id, job.result())
             for start in range(0, len(plain), per_pass):
@@ -268,6 +324,6 @@ def train_grid(
         test = df.where(F.col("stage") == "test")
         final = metrics_by_stage(best.transform(test), label, {best.candidate.model_id: best.prediction}, metrics)
         collected += [tuple(r) for r in final.collect()]
-        return GridResult(models, spark.createDataFrame(collected, columns), best)
+        return GridResult(models, spark.createDataFrame(collected, columns), best, skipped)
     finally:
         vectors.unpersist()

@@ -180,13 +180,16 @@ def stored_manifest(objects: DataFrame) -> DataFrame:
     return stored.select("run_id", F.inline(F.from_json("url", MANIFEST)))
 
 
-def nomination_history(runs: DataFrame, piece: Column, group=("experiment_id", "intent"), order=("written_at", "id")) -> DataFrame:
+def nomination_history(
+    runs: DataFrame, piece: Column | None = None, group=("experiment_id", "intent"), order=("written_at", "id")
+) -> DataFrame:
     """Status of every nomination after the whole history.
 
     The first score of a group is published, and so is every score strictly below all earlier ones,
-    which retracts the one before; the others are inferior. `piece` cuts the history along its order.
+    which retracts the one before; the others are inferior. `piece` cuts the history along its order
+    (see `running_min_before`).
     """
-    seen = running_min_before(runs, list(group), list(order), "score", piece, "best_before")
+    seen = running_min_before(runs, list(group), list(order), "score", "best_before", piece)
     promoted = F.col("best_before").isNull() | (F.col("score") < F.col("best_before"))
     status = (
         F.when(~promoted, INFERIOR).when(F.col("group_best_before") < F.col("score"), RETRACTED).otherwise(PUBLISHED)

@@ -7,12 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schema import COMMODITY_FLOW
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table. Its schema is read from a file once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def spread(scan: DataFrame, *by: str) -> DataFrame:

@@ -172,7 +172,10 @@ def run_scenario(
             options["primary_metric"],
             options.get("parameter_grid", {}).get("type", "exhaustive"),
             options.get("objective", "best_model"),
+            options.get("unsupported", "raise"),
         )
+        for model_id, reason in grid.skipped.items():
+            log.prop(run_id, f"skipped.{model_id}", reason)
         timed("train", since)
         scorer = Scorer(run_id, schema, manifest, prepared.steps, grid.best, config["name"])
         _log_models(log, run_id, grid)

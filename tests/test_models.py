@@ -63,7 +63,7 @@ def test_trees_beat_the_mean(linear, kind):
 def test_unsupported_options_raise():
     for kind, hp in [
         ("decision_tree_regressor", {"criterion": "absolute_error"}),
-        ("decision_tree_regressor", {"min_samples_split": 10, "min_samples_leaf": 2}),
+        ("random_forest_regressor", {"min_samples_split": 10, "min_samples_leaf": 2}),
         ("linear_regression", {"alpha": 1}),
         ("random_forest_regressor", {"oob_score": True}),
     ]:
@@ -75,6 +75,32 @@ def test_unsupported_options_raise():
         models.candidates([], "random")
 
 
+def test_min_samples_split_cuts_small_nodes(spark, linear):
+    train = linear.where("stage = 'train'")
+    hp = {"max_depth": 6, "min_samples_leaf": 1, "random_state": 1}
+    full = models.fit_one(models.Candidate("m", "decision_tree_regressor", hp), train, ["x", "z"], "y", "id")
+    cut = models.fit_one(models.Candidate("m", "decision_tree_regressor", {**hp, "min_samples_split": 60}), train, ["x", "z"], "y", "id")
+    assert cut.model.numNodes < full.model.numNodes
+    # every leaf is the mean of its rows, and each inner node of the cut tree had 60 rows at least
+    out = cut.transform(train).groupBy("prediction").agg(F.count("y").alias("n"), F.avg("y").alias("mean")).collect()
+    assert all(r["prediction"] == pytest.approx(r["mean"]) for r in out)
+    grown = full.transform(train).groupBy("prediction").count().collect()
+    assert len(out) < len(grown)
+    same = full.transform(cut.transform(train).withColumnRenamed("prediction", "p")).groupBy("p").agg(F.countDistinct("prediction").alias("leaves"), F.count("y").alias("n"))
+    assert all(r["n"] < 60 for r in same.collect() if r["leaves"] > 1)
+
+
+def test_skipped_candidates_are_reported(linear):
+    calls = [
+        {"model_type": "decision_tree_regressor", "hyperparameters": {"criterion": ["friedman_mse", "absolute_error"], "max_depth": [2]}},
+        {"model_type": "linear_regression", "hyperparameters": {}},
+    ]
+    with pytest.raises(models.Unsupported):
+        models.train_grid(linear, ["x"], "y", "id", calls, ("mae",), "mae")
+    out = models.train_grid(linear, ["x"], "y", "id", calls, ("mae",), "mae", unsupported="skip")
+    assert len(out.models) == 2 and list(out.skipped) == ["m001-decision_tree_regressor"]
+
+
 def test_grid_size_of_the_baseline_job():
     calls = [
         {"model_type": "linear_regression", "hyperparameters": {}},

@@ -111,9 +111,10 @@ def test_nomination_history_equals_one_by_one(spark):
     groups = {g: [float(random.randint(0, 60)) for _ in range(n)] for g, n in (("hot", 400), ("a", 1), ("b", 37))}
     data = [("e", g, f"{i:05d}", at(1) + dt.timedelta(hours=i), s) for g, scores in groups.items() for i, s in enumerate(scores)]
     df = spark.createDataFrame(data, "experiment_id string, intent string, id string, written_at timestamp, score double")
-    out = runlog.nomination_history(df, F.to_date("written_at")).orderBy("id").collect()
-    for g, scores in groups.items():
-        assert [r["status"] for r in out if r["intent"] == g] == _replay(scores)
+    for piece in (F.to_date("written_at"), None):
+        out = runlog.nomination_history(df, piece).orderBy("id").collect()
+        for g, scores in groups.items():
+            assert [r["status"] for r in out if r["intent"] == g] == _replay(scores)
 
 
 def test_store_appends_and_rounds(spark, tmp_path):

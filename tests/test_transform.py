@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabmill.functions.ordering import alphabetical_index, running_min_before
+from tabmill.functions.ordering import alphabetical_index, order_pieces, running_min_before
 from tabmill.functions.scalar import natural_log, round_half_even
 from tabmill.functions.skew import lookup_join
 from tabmill.operators import features, transform
@@ -254,11 +254,22 @@ def test_running_min_across_pieces(spark):
     random.seed(5)
     rows = [("hot" if i % 3 == 0 else f"g{i % 5}", i, float(random.randint(0, 1000))) for i in range(900)]
     df = spark.createDataFrame(rows, "g string, t int, v double")
-    out = running_min_before(df, ["g"], ["t"], "v", F.floor(F.col("t") / 37), "before").collect()
-    for r in out:
-        earlier = [v for g, t, v in rows if g == r["g"] and t < r["t"]]
-        assert r["before"] == (min(earlier) if earlier else None)
-        assert r["group_before"] == min(v for g, _, v in rows if g == r["g"])
+    for piece in (F.floor(F.col("t") / 37), None):
+        out = running_min_before(df, ["g"], ["t"], "v", "before", piece).collect()
+        assert len(out) == 900
+        for r in out:
+            earlier = [v for g, t, v in rows if g == r["g"] and t < r["t"]]
+            assert r["before"] == (min(earlier) if earlier else None)
+            assert r["group_before"] == min(v for g, _, v in rows if g == r["g"])
+
+
+def test_sampled_pieces_cut_through_a_hot_group(spark):
+    df = spark.range(4000).select((F.col("id") // 3000).alias("g"), F.timestamp_seconds(F.col("id") // 2).alias("t"), "id")
+    pieced = df.withColumn("piece", order_pieces(df, ["t", "id"], fanout=16))
+    sizes = [r["count"] for r in pieced.groupBy("g", "piece").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1500
+    ordered = [r["piece"] for r in pieced.orderBy("t", "id").collect()]
+    assert ordered == sorted(ordered)
 
 
 def test_alphabetical_index(spark):
