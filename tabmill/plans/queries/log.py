@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...operators import profile, runlog
 from ...sources import runlog_store
-from ...sources.workspace import new_path
+from ...sources.workspace import materialize, new_path
 from .. import derived
 
 VALID, TEST = derived.METRIC_KEYS["N"], derived.METRIC_KEYS["R"]
@@ -83,7 +83,8 @@ def r_run_by_name(spark, sf_dir):
 
 
 def r_nominate_history(spark, sf_dir):
-    runs = derived.nominations(spark, sf_dir)
+    # read twice, by row and by day: join once
+    runs = materialize(derived.nominations(spark, sf_dir), "nominations")
     return runlog.nomination_history(runs, F.to_date("written_at")).select("experiment_id", "intent", "id", "score", "status")
 
 

@@ -258,3 +258,20 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     stream = score_stream.read_stream(spark, str(source), data.schema)
     score_stream.project_stream(stream, lambda df: validate.quarantine(df, scorer.manifest), bad, state).awaitTermination()
     assert spark.read.parquet(bad).count() + spark.read.parquet(out).count() == 400
+
+
+def test_jobs_from_files(spark, sample_csv, tmp_path, capsys):
+    import json
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    import run_job
+
+    train = {**TRAIN, "properties": {**TRAIN["properties"], "objective": "best_model"}, "call": TRAIN["call"][1:]}
+    for name in ("one", "two"):
+        config = {**sample_job(sample_csv, CLEAN, TRANSFORM, train), "name": name}
+        (tmp_path / f"{name}.json").write_text(json.dumps(config))
+    run_job.main([str(tmp_path / "one.json"), str(tmp_path / "two.json"), "--log", str(tmp_path / "log"), "--exact-split"])
+    shown = capsys.readouterr().out
+    assert "one" in shown and "two" in shown and "validation.test.rmse" in shown

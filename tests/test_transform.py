@@ -264,7 +264,7 @@ def test_running_min_across_pieces(spark):
 
 
 def test_sampled_pieces_cut_through_a_hot_group(spark):
-    df = spark.range(4000).select((F.col("id") // 3000).alias("g"), F.timestamp_seconds(F.col("id") // 2).alias("t"), "id")
+    df = spark.range(4000).select(F.floor(F.col("id") / 3000).alias("g"), F.timestamp_seconds(F.floor(F.col("id") / 2)).alias("t"), "id")
     pieced = df.withColumn("piece", order_pieces(df, ["t", "id"], fanout=16))
     sizes = [r["count"] for r in pieced.groupBy("g", "piece").count().collect()]
     assert len(sizes) >= 12 and max(sizes) < 1500
