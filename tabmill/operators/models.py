@@ -132,6 +132,7 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
             _tree_options(hp),
             {
                 "n_estimators": "numTrees",
+                "bootstrap": "bootstrap",
                 "max_depth": "maxDepth",
                 "min_samples_leaf": "minInstancesPerNode",
                 "random_state": "seed",

@@ -26,7 +26,7 @@ from ..operators.split import split, stage_sizes
 from ..operators.transform import FittedStep, apply_steps, fit, save_steps, transformed_features
 from ..operators.validate import Manifest, build_manifest, describe_inputs
 from ..schema import RoleSchema, schema_named
-from ..sources.runlog_store import Recorder, read
+from ..sources.runlog_store import Recorder, create, read
 from ..sources.tables import audited, read_csv, stored_splits
 from ..sources.workspace import materialize
 
@@ -112,8 +112,12 @@ def run_scenario(
     table: DataFrame | None = None,
     fit_mode: str = "chained",
     exact: bool = False,
+    unsupported: str = "raise",
 ) -> JobResult:
-    """Run a declared job. With `log_path`, its run, sizes, timings, metrics and status are appended there."""
+    """Run a declared job. With `log_path`, its run, sizes, timings, metrics and status are appended there.
+
+    `unsupported` tells what happens to candidates with options that MLlib cannot express: raise or skip.
+    """
     check_config(config)
     started = time.time()
     schema = reference(config)
@@ -172,7 +176,7 @@ def run_scenario(
             options["primary_metric"],
             options.get("parameter_grid", {}).get("type", "exhaustive"),
             options.get("objective", "best_model"),
-            options.get("unsupported", "raise"),
+            options.get("unsupported", unsupported),
         )
         for model_id, reason in grid.skipped.items():
             log.prop(run_id, f"skipped.{model_id}", reason)
@@ -226,6 +230,7 @@ def _log_nomination(spark, log: Recorder, log_path, run_id: str, intent: str, gr
     score = grid.metrics.where((F.col("stage") == "test") & (F.col("metric") == primary)).first()["value"]
     before = None
     if log_path:
+        create(spark, log_path)
         tables = {t: read(spark, log_path, t) for t in ("runs", "tags", "properties", "metrics")}
         before = (
             previously_published(tables["runs"], tables["tags"], tables["properties"], tables["metrics"], primary)

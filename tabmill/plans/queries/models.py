@@ -91,6 +91,29 @@ def m_gbt(spark, sf_dir):
     return _errors(rows, _fit(rows, features, "gradient_boosting_regressor", n_estimators=5, learning_rate=0.1, max_depth=3, random_state=42))
 
 
+def _quarter_means(spark, sf_dir, kind, **hyperparameters):
+    """Trees deep enough to tell the four quarters apart predict the train mean of each."""
+    rows = rows_for(spark, sf_dir, "QUARTER")
+    steps = fit(rows, [{"type": "one_hot_encoding", "columns": ["quarter"]}], SCHEMA)
+    prepared = apply_steps(rows, steps)
+    model = _fit(prepared, transformed_features(SCHEMA, rows.columns, steps), kind, random_state=42, **hyperparameters)
+    return model.transform(prepared).select(ID, F.round(model.prediction, 3).alias("prediction"))
+
+
+def m_tree_quarters(spark, sf_dir):
+    return _quarter_means(spark, sf_dir, "decision_tree_regressor", max_depth=4)
+
+
+def m_forest_quarters(spark, sf_dir):
+    """Without resampling every tree of the forest is the same."""
+    return _quarter_means(spark, sf_dir, "random_forest_regressor", n_estimators=3, max_depth=4, bootstrap=False)
+
+
+def m_gbt_quarters(spark, sf_dir):
+    """Later trees find no residual left."""
+    return _quarter_means(spark, sf_dir, "gradient_boosting_regressor", n_estimators=3, max_depth=4)
+
+
 def m_knn_uniform(spark, sf_dir):
     """Five nearest by weight, as in the baseline job; held-out rows are predicted."""
     rows = rows_for(spark, sf_dir, WEIGHT)
@@ -167,7 +190,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         m_mean_baseline_metrics, m_linear_one_feature, m_linear_coefficients, m_elastic_net, m_lasso, m_tree, m_forest,
-        m_gbt, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_grid_best, m_metrics_original_scale, m_best_model,
+        m_gbt, m_tree_quarters, m_forest_quarters, m_gbt_quarters, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_grid_best, m_metrics_original_scale, m_best_model,
     )
 }
 
@@ -194,7 +217,13 @@ def _knn_parts(k, distance, answer):
         select q as p_partkey, round({answer}, 4) as prediction from near group by q"""
 
 
+_QUARTER_MEANS = f"""with {sql.STAGED}, m as (select QUARTER as q, avg(SHIPMENT_VALUE) as p from staged where stage = 'train' group by 1)
+        select SHIPMENT_ID, round(p, 3) as prediction from staged join m on q = QUARTER"""
+
 ORACLE = {
+    "m_tree_quarters": _QUARTER_MEANS,
+    "m_forest_quarters": _QUARTER_MEANS,
+    "m_gbt_quarters": _QUARTER_MEANS,
     "m_mean_baseline_metrics": f"""with {sql.STAGED}, m as (select avg(SHIPMENT_VALUE) as p from staged where stage = 'train'),
         e as (select stage, avg((SHIPMENT_VALUE - p) * (SHIPMENT_VALUE - p)) as mse, avg(abs(SHIPMENT_VALUE - p)) as mae from staged, m group by stage)
         select 'mean' as model_id, stage, 'mse' as metric, round(mse, 2) as value from e

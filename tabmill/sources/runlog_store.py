@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,15 @@ TABLES = {
 }
 
 
+def create(spark: SparkSession, path: str) -> None:
+    """Create the tables that are not there yet."""
+    for table, columns in TABLES.items():
+        spark.createDataFrame([], columns).coalesce(1).write.mode("ignore").parquet(f"{path}/{table}")
+
+
 def read(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One table of the log; empty if nothing was written to it."""
-    folder = f"{path}/{table}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], TABLES[table])
-    return spark.read.schema(TABLES[table]).parquet(folder)
+    """One table of the log."""
+    return spark.read.schema(TABLES[table]).parquet(f"{path}/{table}")
 
 
 def append(df: DataFrame, path: str, table: str) -> None:
@@ -82,8 +85,7 @@ class Recorder:
         self._entry("objects", run_id, kind, url)
 
     def flush(self, spark: SparkSession, path: str) -> None:
-        from datetime import datetime, timezone
-
+        create(spark, path)
         for table, rows in self.rows.items():
             if not rows:
                 continue

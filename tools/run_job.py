@@ -1,6 +1,6 @@
 """Run declared jobs with spark-submit or python.
 
-    python tools/run_job.py --log PATH [--fit-mode raw] [--exact-split] config.json [config.json ...]
+    python tools/run_job.py --log PATH [--fit-mode raw] [--exact-split] [--skip-unsupported] config.json [config.json ...]
 
 Several configurations go into the same log and are compared at the end.
 """
@@ -25,13 +25,15 @@ def main(argv=None) -> None:
     parser.add_argument("--log", required=True, help="folder of the run log")
     parser.add_argument("--fit-mode", choices=("chained", "raw"), default="chained")
     parser.add_argument("--exact-split", action="store_true")
+    parser.add_argument("--skip-unsupported", action="store_true", help="go on without models MLlib cannot express")
     args = parser.parse_args(argv)
     configs = []
     for path in args.configs:
         with open(path) as f:
             configs.append(json.load(f))
     spark = SparkSession.builder.appName("tabmill-job").getOrCreate()
-    out = job.run_sweep(spark, configs, args.log, fit_mode=args.fit_mode, exact=args.exact_split)
+    unsupported = "skip" if args.skip_unsupported else "raise"
+    out = job.run_sweep(spark, configs, args.log, fit_mode=args.fit_mode, exact=args.exact_split, unsupported=unsupported)
     out.orderBy("key", "value", "intent").show(1000, truncate=False)
 
 
