@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, near_dedup, substring_dedup
+from . import language_model, near_dedup, packing, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    held = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "text")
+    out = toxicity.score(held, model, ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeated_passages(_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -21,13 +35,20 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenize(_table(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack(pieces.drop("ids"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.held_out_scores(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_lm_scoring": op7_lm_scoring,
 }
 
