@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, near_dedup, packing, substring_dedup, toxicity
+from . import language_model, near_dedup, packing, personal_data, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +44,17 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.held_out_scores(_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_lm_scoring": op7_lm_scoring,
+    "op9_pii": op9_pii,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
