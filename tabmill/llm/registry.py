@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, near_dedup, packing, personal_data, substring_dedup, toxicity
+from . import language_model, mixing, near_dedup, packing, personal_data, substring_dedup, top_k, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,19 +44,80 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.held_out_scores(_table(spark, sf_dir, "documents"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), top_k.whole(F.col("embedding")).alias("vector"))
+    return top_k.top_k(rows, rows.where("id % 100 = 0"), 10)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(_table(spark, sf_dir, "documents"))
 
 
+# Every source belongs to one of three made-up domains; some nodes of the tree weigh more than others.
+DOMAIN = "concat('d', cast(coalesce(length(source), 0) % 3 as string))"
+MIX_WEIGHTS = {("d0",): 3, ("d1",): 2, ("d0", "en"): 5, ("d1", "de"): 4, ("d0", "en", "src0"): 2}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 17
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+    mixed = mixing.select(_table(spark, sf_dir, "documents"), levels, MIX_SHARE, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED)
+    return mixed.select("doc_id", "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("n_tokens"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_pii": op9_pii,
+    "op10_mixing": op10_mixing,
 }
 
+
+
+def _mix_sql() -> str:
+    """The same budgets by window functions on exact integers, and prefixes by one running sum per leaf."""
+    levels = ("domain", "lang", "source")
+    parts = []
+    for i, _ in enumerate(levels):
+        node, parent = ", ".join(levels[: i + 1]), ", ".join(levels[:i])
+        cases = [(path, w) for path, w in MIX_WEIGHTS.items() if len(path) == i + 1]
+        weight = "1" if not cases else "case " + " ".join(f"when ({node}) = ({', '.join(map(repr, p))}) then {w}" for p, w in cases) + " else 1 end"
+        by = f"partition by {parent}" if parent else ""
+        up = f"join g{i} using ({parent})" if parent else "cross join goal"
+        budget = "given" if parent else "goal.budget"
+        parts.append(f"""
+c{i + 1} as (select {node}, cast(cap as hugeint) as cap, cast({weight} as hugeint) as w, cast({budget} as hugeint) as budget
+             from (select {node}, sum(tokens) * {MIX_EPOCHS} as cap from leaves group by {node}) {up}),
+o{i + 1} as (select *, budget - coalesce(sum(cap) over (win rows between unbounded preceding and 1 preceding), 0) as rest,
+             sum(w) over (win rows between current row and unbounded following) as weight
+             from c{i + 1} window win as ({by} order by cap / w, {node})),
+f{i + 1} as (select *, rest > 0 and cap * weight <= rest * w as filled from o{i + 1}),
+p{i + 1} as (select *, first_value(case when not filled then rest end ignore nulls) over (win rows between unbounded preceding and unbounded following) as r,
+             first_value(case when not filled then weight end ignore nulls) over (win rows between unbounded preceding and unbounded following) as ww
+             from f{i + 1} window win as ({by} order by cap / w, {node})),
+s{i + 1} as (select *, case when filled then cap else least(cap, greatest(r, 0) * w // ww) end as share from p{i + 1}),
+g{i + 1} as (select {node}, share + case when not filled and share < cap and
+             sum(case when not filled and share < cap then 1 else 0 end) over ({by} order by cap / w, {node} rows unbounded preceding)
+             <= budget - sum(share) over ({by}) then 1 else 0 end as given from s{i + 1})""")
+    return rf"""
+with d as (select *, 'd' || (coalesce(length(source), 0) % 3) as domain, len(coalesce({_WORDS.format("text")}, [])) as n from documents),
+leaves as (select domain, lang, source, sum(n) as tokens from d group by all),
+goal as (select cast(floor({MIX_SHARE} * sum(n)) as bigint) as budget from d), {",".join(parts)},
+cut as (select domain, lang, source, cast(given as bigint) as given, cast(case when tokens > 0 then given // tokens else {MIX_EPOCHS} end as bigint) as whole, tokens
+        from g3 join leaves using (domain, lang, source)),
+run as (select d.doc_id, d.lang, d.source, n, whole, given - whole * tokens as rest,
+        sum(n) over (partition by domain, lang, source order by md5('{MIX_SEED}-' || whole || '-' || doc_id)) as upto
+        from d join cut using (domain, lang, source)),
+every as (select doc_id, lang, source, e as epoch, n from run join (select unnest(range(0, {MIX_EPOCHS})) as e) on e < whole
+         union all select doc_id, lang, source, whole, n from run where whole < {MIX_EPOCHS} and upto <= rest)
+select doc_id, lang, source, cast(epoch as int) as epoch, cast(n as bigint) as n_tokens from every
+"""
+
+
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -88,4 +149,13 @@ select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(d.doc_id,
        least(d.doc_id, coalesce(c, d.doc_id)) = d.doc_id as kept
 from d left join n using (doc_id) left join low using (doc_id)
 """,
+    "op8_exact_top_k": """
+with e as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as v from embeddings
+           where embedding is not null and vec_id is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum([a[1] * a[2] for a in list_zip(q.v, c.v)]) as bigint) as score
+      from e q join e c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from s)
+select * from r where rank <= 10
+""",
+    "op10_mixing": _mix_sql(),
 }
