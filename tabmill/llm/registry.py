@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_model, mixing, near_dedup, packing, personal_data, substring_dedup, top_k, toxicity
+from . import embedding_dedup, language_model, licenses, mixing, near_dedup, packing, personal_data, substring_dedup, top_k, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.builtin_templates(spark))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(_table(spark, sf_dir, "documents"), _tokenizer())
     return packing.pack(pieces.drop("ids"))
@@ -69,6 +77,8 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_exact_top_k": op8_exact_top_k,
@@ -148,6 +158,19 @@ low as (select doc_id, min(seen) as c from walk group by doc_id)
 select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(c, d.doc_id)) as component_id,
        least(d.doc_id, coalesce(c, d.doc_id)) = d.doc_id as kept
 from d left join n using (doc_id) left join low using (doc_id)
+""",
+    "op4_license_scan": rf"""
+with t as (select * from (values {", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())}) v(template_id, text)),
+tw as (select template_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') as w from t),
+ts as (select distinct template_id, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select *, unnest(range(1, len(w) - 3)) as i from tw)),
+tn as (select template_id, greatest(len(w) // 4, 1) as every, len(w) - 5 + greatest(len(w) // 4, 1) as width,
+       (select count(*) from ts where ts.template_id = tw.template_id) as size from tw),
+d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') as w from documents),
+s as (select doc_id, i - 1 as pos, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select *, unnest(range(1, len(w) - 3)) as i from d)),
+hit as (select doc_id, template_id, pos, g, every, width, size from s join ts using (g) join tn using (template_id)),
+win as (select *, unnest(range(greatest(0, cast(ceil((pos - width + 1) / every) as bigint)), pos // every + 1)) * every as start from hit),
+met as (select doc_id, template_id, start, size, count(distinct g) as n from win where start + width > pos group by all having 100 * count(distinct g) >= 80 * size)
+select doc_id, template_id, max(n / size) as containment, cast(min(start) as bigint) as first_word, count(*) as n_windows from met group by all
 """,
     "op8_exact_top_k": """
 with e as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as v from embeddings
