@@ -71,12 +71,23 @@ def _owners(shards: int):
         first[1:] = hashes[1:] != hashes[:-1]
         owner = docs[first][np.cumsum(first) - 1]
         later = owner != docs
-        pairs = np.unique(np.stack([_shard(docs[later], shards), owner[later]]), axis=1)
-        return pa.table({"shard": pa.array(pairs[0], pa.int64()), "owner": pa.array(pairs[1], pa.int64())})
+        shard, owner = _shard(docs[later], shards), owner[later]
+        order = np.lexsort((owner, shard))
+        shard, owner = shard[order], owner[order]
+        parts = [p for p in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1) if len(p)]
+        owners = [np.unique(owner[p]).tobytes() for p in parts]
+        return pa.table({"shard": pa.array([shard[p[0]] for p in parts], pa.int64()), "owners": pa.array(owners, pa.binary())})
 
     return run
 
 
+def _together(table):
+    """The different owners that a shard needs."""
+    shard = table.column("shard")[0].as_py()
+    owners = np.unique(np.concatenate([np.frombuffer(o, np.int64) for o in table.column("owners").to_pylist()]))
+    return pa.table({"shard": pa.array(np.full(len(owners), shard), pa.int64()), "owner": pa.array(owners, pa.int64())})
+
+
 def _shard(doc_id, shards: int):
     """The shard of document ids, alike for numpy arrays and columns."""
     if isinstance(doc_id, Column):
@@ -238,7 +249,8 @@ def remove_repeated_passages(docs: DataFrame, size: int = SIZE) -> DataFrame:
     buckets, shards = total // BUCKET_BYTES + 1, total // SHARD_BYTES + 1
     known = docs.where("doc_id is not null and text is not null")
     windows = known.mapInArrow(_windows(size, buckets), "bucket int, low binary, docs binary, counts binary")
-    owners = windows.groupBy("bucket").applyInArrow(_owners(shards), "shard bigint, owner bigint").distinct()
+    owners = windows.groupBy("bucket").applyInArrow(_owners(shards), "shard bigint, owners binary")
+    owners = owners.groupBy("shard").applyInArrow(_together, "shard bigint, owner bigint")
     texts = known.mapInArrow(_deflated, "doc_id bigint, z binary, size bigint")
     owners = owners.join(texts, F.col("owner") == F.col("doc_id")).select("shard", "owner", "z", "size")
     packed = docs.mapInArrow(_packed(shards), "shard bigint, block binary")
