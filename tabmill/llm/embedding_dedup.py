@@ -23,7 +23,7 @@ SHARD = 3000  # vectors per graph
 DEGREE = 16  # ties per vector in the upper layers; twice as many in the base layer
 BEAM = 32
 BLOCK = 256  # queries that descend in step
-AUDIT, RECALL = 64, 0.99  # audited queries per pair of shards, and the share of their links to be found
+AUDIT, RECALL = 64, 0.999  # audited queries per pair of shards, and the share of their links to be found
 SLACK = 0.02  # the search spreads over vectors this much less similar as well
 
 
@@ -55,6 +55,33 @@ class Graph:
                 found = self._descend(self.near[batch], 2 * BEAM, i, order[0])[0] if at else np.full((len(batch), 0), -1)
                 self._tie(i, batch, found)
             at = stop
+        if n:
+            self._connect()
+
+    def _connect(self) -> None:
+        """One more place per vector in the base layer, through which those that nothing leads to are reached."""
+        base = self.layers[0]
+        n = len(base)
+        reached = np.zeros(n + 1, bool)
+        reached[-1] = True
+        spare = np.full(n, -1, np.int32)
+
+        def spread(edge):
+            while len(edge):
+                reached[edge] = True
+                edge = np.unique(base[edge])
+                edge = edge[~reached[edge]]
+
+        spread(self.nodes[-1][:1])
+        for u in range(n):
+            if not reached[u]:
+                known = [x for x in base[u] if x >= 0 and reached[x]]
+                at = known[0] if known else self.nodes[-1][0]
+                while spare[at] >= 0:
+                    at = spare[at]
+                spare[at] = u
+                spread(np.array([u]))
+        self.layers[0] = np.hstack([base, spare[:, None]])
 
     def _tie(self, layer: int, batch: np.ndarray, found: np.ndarray) -> None:
         """Tie a batch to what it found and to one another, and those back to it."""
@@ -112,6 +139,9 @@ class Graph:
         start = np.full((len(queries), 1), self.nodes[-1][0] if entry is None else entry)
         for i in range(len(self.layers) - 1, layer, -1):
             start = self._search(queries, start, 1, i)[0]
+        if entry is None and beam > 1:  # all of the base layer can be reached from the first entry
+            first = self.nodes[-1][0]
+            start = np.hstack([start, np.where(start == first, -1, first)])
         return self._search(queries, start, beam, layer)
 
     def _search(self, queries: np.ndarray, start: np.ndarray, beam: int, layer: int):
@@ -123,7 +153,7 @@ class Graph:
         ids = np.full((n, beam), -1)
         sims = np.full((n, beam), -2, np.float32)
         ids[:, : start.shape[1]] = start
-        sims[:, : start.shape[1]] = np.einsum("nd,ncd->nc", queries, self.near[start])
+        sims[:, : start.shape[1]] = np.where(start < 0, -2, np.einsum("nd,ncd->nc", queries, self.near[start]))
         seen[rows, start] = True
         done = np.zeros((n, beam), bool)
         while True:
@@ -169,12 +199,11 @@ class Graph:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([q for q, _ in out]), np.concatenate([v for _, v in out])
 
-    def audited(self, queries: np.ndarray, least: float, same: bool) -> tuple[np.ndarray, np.ndarray, float]:
+    def audited(self, queries: np.ndarray, least: float, same: bool, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, float]:
         """Pairs found by a beam wide enough for the audit, and the recall it showed."""
         picked = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(np.int64))
         q, v = np.nonzero(queries[picked] @ self.unit.T >= least)
         true = {(int(picked[i]), int(j)) for i, j in zip(q, v) if not same or picked[i] != j}
-        beam = BEAM
         while True:
             a, b = self.within(queries, least, beam)
             if same:  # what either side of a pair found
@@ -207,7 +236,7 @@ def _index(table):
     return pa.table(head | {k: pa.array(v, kinds.get(k, pa.binary())) for k, v in blobs.items()})
 
 
-def _searched(least: float):
+def _searched(least: float, beam: int):
     """For each pair of shards: its linked vectors, how many links each has there, and whom it hangs together with."""
 
     def run(batches):
@@ -219,7 +248,7 @@ def _searched(least: float):
                 layers = [np.frombuffer(x, np.int32).reshape(len(ids), -1) for x in row["layers"]]
                 graph = Graph(unit, layers, [np.frombuffer(x, np.int64) for x in row["nodes"]])
                 same = row["shard"] == row["q_shard"]
-                a, b, recall = graph.audited(np.frombuffer(row["q_unit"], np.float64).reshape(len(mine), -1), least, same)
+                a, b, recall = graph.audited(np.frombuffer(row["q_unit"], np.float64).reshape(len(mine), -1), least, same, beam)
                 top: dict[int, int] = {}
 
                 def root(i):
@@ -243,10 +272,10 @@ def _searched(least: float):
     return run
 
 
-def near_duplicates(rows: DataFrame, least: float = 0.98, shard: int = SHARD) -> DataFrame:
+def near_duplicates(rows: DataFrame, least: float = 0.98, shard: int = SHARD, beam: int = BEAM) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of `rows` (vec_id, embedding, label; others are ignored).
 
-    Vectors of equal labels and lengths are linked at a cosine of `least`. Null labels, ids and vectors, zero and empty
+    Vectors of equal labels and lengths are linked at a cosine of `least`; the search starts with `beam`. Null labels, ids and vectors, zero and empty
     vectors and those with null or non-finite components are linked with nothing; a row without an id has no component and
     is kept. Rows of one id count as often as they come. An empty table gives an empty result.
     """
@@ -266,7 +295,7 @@ def near_duplicates(rows: DataFrame, least: float = 0.98, shard: int = SHARD) ->
     queries = graphs.select("label", "dims", *[F.col(c).alias(f"q_{c}") for c in ("shard", "ids", "counts", "unit")])
     pairs = graphs.join(queries, ["label", "dims"]).where("q_shard <= shard").drop("label", "dims")
     pairs = pairs.repartition(F.col("shard"), F.col("q_shard"), F.xxhash64("ids"))
-    found = materialize(pairs.mapInArrow(_searched(least), "id bigint, links bigint, low bigint, recall double"), "found")
+    found = materialize(pairs.mapInArrow(_searched(least, beam), "id bigint, links bigint, low bigint, recall double"), "found")
 
     counted = found.groupBy("id").agg(F.sum("links").alias("links"))
     copies = valid.join(groups.select(*equal, "id", "count"), equal).select("vec_id", "id", "count")
