@@ -184,10 +184,10 @@ def _recurring(size: int, docs: Words, ids: np.ndarray, owners: Words, owner_ids
     """The passages (words, owner) of the owners of which some later document of the shard seems to have a window."""
     hashes, at = docs.shingles(size)
     last = ids[docs.rows()[at]]
-    order = np.lexsort((-last, hashes))
+    order = np.lexsort((last, hashes))
     hashes, last = hashes[order], last[order]
     keep = np.ones(len(hashes), bool)
-    keep[1:] = hashes[1:] != hashes[:-1]
+    keep[:-1] = hashes[1:] != hashes[:-1]  # the largest document with a window
     hashes, last = hashes[keep], last[keep]
     wanted, at = owners.shingles(size)
     if not len(hashes) or not len(wanted):
