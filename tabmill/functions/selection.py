@@ -139,77 +139,104 @@ def nth_hashes(df: DataFrame, hashed: Column, ranks) -> dict[int, Bound | None]:
     return found
 
 
-def _tied_by_content(df: DataFrame, tied: Column, n: int, key: str) -> Column:
-    """Condition for n of the rows that share a boundary key, told apart by their whole content."""
+@dataclass(frozen=True)
+class Cut:
+    """The first `rank` rows of an order: those that meet `keep`, and `taken` of the `equal` identical rows that meet `same`."""
+
+    rank: int
+    keep: Column
+    same: Column | None = None
+    taken: int = 0
+    equal: int = 0
+    value: object = None
+
+
+def _tied_by_content(df: DataFrame, lower: Column, tied: Column, n: int, rank: int) -> Cut:
+    """The rows below a boundary key and n of those that share it, told apart by their whole content."""
     content = F.md5(row_text(df))
     inner = nth_hashes(df.where(tied), content, [n])[n]
-    if inner.below + inner.equal != n:
-        raise ValueError(f"identical rows under one {key} lie on the boundary; drop duplicates first")
-    return tied & (content <= F.lit(inner.value))
+    if inner.below + inner.equal == n:
+        return Cut(rank, lower | (tied & (content <= F.lit(inner.value))))
+    same = tied & (content == F.lit(inner.value))
+    return Cut(rank, lower | (tied & (content < F.lit(inner.value))), same, n - inner.below, inner.equal, inner.value)
+
+
+def copies(df: DataFrame, n: int) -> DataFrame:
+    """n rows of a table whose rows are all identical."""
+    one = df.limit(1)
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(n)))).select(*df.columns) if n else one.limit(0)
+
 
+def rows_of(df: DataFrame, cut: Cut) -> DataFrame:
+    kept = df.where(cut.keep)
+    return kept if cut.same is None else kept.unionByName(copies(df.where(cut.same), cut.taken))
 
-def hash_cuts(df: DataFrame, key: str, seed: int, ranks) -> list[tuple[int, Column]]:
-    """For each rank a condition that exactly that many rows meet, in keyed random order.
+
+def row_hash(df: DataFrame, key: str, seed: int) -> Column:
+    """Keyed hash of the id, or of the whole row where there is none."""
+    return F.when(F.col(key).isNull(), keyed_hash(row_text(df), seed)).otherwise(keyed_hash(F.col(key), seed))
+
+
+def hash_cuts(df: DataFrame, key: str, seed: int, ranks) -> list[Cut]:
+    """For each rank the rows that come first in keyed random order.
 
     Distinct ids are settled by the id hash alone; the row content is hashed only where an id
-    that occurs more than once lies on a boundary.
+    that occurs more than once lies on a boundary. Identical rows there are interchangeable, so a
+    number of them is enough.
     """
-    hashed = keyed_hash(F.col(key), seed)
+    hashed = row_hash(df, key, seed)
     cuts = []
     for rank, bound in nth_hashes(df, hashed, ranks).items():
         if rank <= 0:
-            cuts.append((rank, F.lit(False)))
+            cuts.append(Cut(rank, F.lit(False)))
         elif bound is None:
             raise ValueError(f"{rank} rows wanted, the data has fewer")
         elif bound.below + bound.equal == rank:
-            cuts.append((rank, hashed <= F.lit(bound.value)))
+            cuts.append(Cut(rank, hashed <= F.lit(bound.value)))
         else:
-            tied = _tied_by_content(df, hashed == F.lit(bound.value), rank - bound.below, key)
-            cuts.append((rank, (hashed < F.lit(bound.value)) | tied))
+            cuts.append(_tied_by_content(df, hashed < F.lit(bound.value), hashed == F.lit(bound.value), rank - bound.below, rank))
     return cuts
 
 
 def random_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly n rows without replacement, chosen by keyed hash."""
-    ((_, keep),) = hash_cuts(df, key, seed, [n])
-    return df.where(keep)
+    return rows_of(df, hash_cuts(df, key, seed, [n])[0])
 
 
 def first_rows(df: DataFrame, key: str, n: int, small: int = SMALL) -> DataFrame:
-    """The n rows with the smallest keys; all rows if there are fewer."""
+    """The first n rows by key, nulls last, and equal keys by their rows' content; all rows if there are fewer.
+
+    Up to `small` rows one sort with a limit does it; the rows are the same either way.
+    """
     if n <= small:
-        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+        return df.orderBy(F.col(key).asc_nulls_last(), F.md5(row_text(df))).limit(n)
     bound = nth_key(df, key, n)
+    null = F.col(key).isNull()
     if bound is None:
-        if n < df.count():
-            raise ValueError(f"{key} has nulls, so its first {n} rows are not defined")
-        return df
+        known = df.where(~null)
+        left = n - known.count()
+        if df.where(null).limit(left + 1).count() <= left:
+            return df
+        return rows_of(df, _tied_by_content(df, ~null, null, left, n)) if left else known
     if bound.below + bound.equal == n:
         return df.where(F.col(key) <= F.lit(bound.value))
-    tied = _tied_by_content(df, F.col(key) == F.lit(bound.value), n - bound.below, key)
-    return df.where((F.col(key) < F.lit(bound.value)) | tied)
+    lower, tied = F.col(key) < F.lit(bound.value), F.col(key) == F.lit(bound.value)
+    return rows_of(df, _tied_by_content(df, lower, tied, n - bound.below, n))
 
 
 def exact_quantiles(
-    df: DataFrame, columns, probabilities, sizes: dict | None = None, finish: int = SMALL, direct: int = 200_000, accuracy: int = 10_000
+    df: DataFrame, columns, probabilities, sizes: dict | None = None, finish: int = SMALL, accuracy: int = 10_000
 ) -> dict:
     """Interpolated quantiles {(column, p): value}, exact at any size.
 
     A bounded sketch brackets each rank, one aggregate counts the bracket, and the pass repeats
     inside the bracket until few enough values are left to be sorted. All columns share each pass.
-    Up to `direct` rows one plain aggregate does it. `sizes` are the counts of values, if known.
+    `sizes` are the counts of values, if known.
     """
     values = {c: skip_nan(F.col(c).cast("double")) for c in columns}
     if sizes is None:
         row = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
         sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    if max(sizes.values(), default=0) <= direct:
-        row = df.agg(*[F.percentile(values[c], list(probabilities)).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {
-            (c, p): (None if row[f"q{i}"] is None else row[f"q{i}"][j])
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probabilities)
-        }
 
     def ranks(c, p):
         at = p * (sizes[c] - 1)

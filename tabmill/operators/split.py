@@ -7,8 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_bucket
-from ..functions.selection import hash_cuts
+from ..functions.hashing import hash_bucket, row_text
+from ..functions.selection import copies, hash_cuts
 from ..schema import RoleSchema
 
 SEED = 42
@@ -36,18 +36,35 @@ def split(df: DataFrame, schema: RoleSchema, seed: int = SEED, exact: bool = Fal
     """
     key = schema.primary_id
     if not exact:
-        stage = hash_stage(F.col(key), seed)
+        # rows without an id go by their content
+        stage = F.when(F.col(key).isNull(), hash_stage(row_text(df), seed)).otherwise(hash_stage(F.col(key), seed))
+        out = df.withColumn("stage", stage)
     else:
 
         def boundaries(rows):
             sizes = split_sizes(rows)
             return sorted({sizes["train"], sizes["train"] + sizes["valid"]})
 
-        cuts = hash_cuts(df, key, seed, boundaries)
-        cuts.sort(key=lambda cut: cut[0])
-        in_train, in_train_or_valid = cuts[0][1], cuts[-1][1]
-        stage = F.when(in_train, "train").when(in_train_or_valid, "valid").otherwise("test")
-    out = df.withColumn("stage", stage)
+        cuts = sorted(hash_cuts(df, key, seed, boundaries), key=lambda cut: cut.rank)
+        first, last = cuts[0], cuts[-1]
+        stage = F.when(first.keep, "train").when(last.keep, "valid").otherwise("test")
+        tied = [c for c in (first, last) if c.same is not None]
+        plain = df
+        for c in tied:
+            plain = plain.where(~F.coalesce(c.same, F.lit(False)))
+        out = plain.withColumn("stage", stage)
+        # identical rows on a boundary are dealt by number
+        one_group = len(tied) == 2 and first.value == last.value
+        if one_group:
+            shares = [(first, {"train": first.taken, "valid": last.taken - first.taken, "test": last.equal - last.taken})]
+        else:
+            after = {id(first): "valid", id(last): "test"}
+            before = {id(first): "train", id(last): "valid"}
+            shares = [(c, {before[id(c)]: c.taken, after[id(c)]: c.equal - c.taken}) for c in tied]
+        for c, share in shares:
+            for name, n in share.items():
+                if n:
+                    out = out.unionByName(copies(df.where(c.same), n).withColumn("stage", F.lit(name)))
     return out.withColumn(schema.label, F.col(schema.target)) if schema.target_is_feature else out
 
 

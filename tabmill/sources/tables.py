@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.selection import first_rows, random_rows
 from ..schema import RoleSchema
@@ -37,15 +38,30 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: RoleSchema) -> DataFrame:
-    """Headed CSV as text columns under the declared names. No inference pass over the data."""
-    raw = (
-        spark.read.option("header", True)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    return blank_to_null(rename_positional(raw, schema))
+def _dialect(io, multi_line: bool = False):
+    """Fields in double quotes, quotes inside doubled, white space kept."""
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return io.options(**options, **({"multiLine": True} if multi_line else {}))
+
+
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Headed CSV as text columns. A row with more fields than the header raises, a shorter one ends in nulls.
+
+    `multi_line` allows line breaks in quoted fields; a file is then read by one task. No inference pass over the data.
+    """
+    names = _dialect(spark.read, multi_line).csv(path).columns
+    surplus = StructType([StructField(f"c{i}", StringType()) for i in range(len(names) + 1)])
+    raw = _dialect(spark.read, multi_line).schema(surplus).csv(path)
+    error = F.raise_error(F.concat(F.lit(f"a row has more than {len(names)} fields; the first surplus one is "), F.col(f"c{len(names)}")))
+    whole = raw.where(F.when(F.col(f"c{len(names)}").isNull(), True).otherwise(error.cast("boolean")))
+    return whole.drop(f"c{len(names)}").toDF(*names)
+
+
+def read_csv(spark: SparkSession, path: str, schema: RoleSchema, multi_line: bool = False) -> DataFrame:
+    """Headed CSV as text columns under the declared names, numerical fields without white space around them."""
+    df = rename_positional(read_text_csv(spark, path, multi_line), schema)
+    numbers = {*schema.numerical, schema.target, schema.primary_id}
+    return blank_to_null(df.select(*[F.trim(F.col(c)).alias(c) if c in numbers else F.col(c) for c in df.columns]))
 
 
 def head(df: DataFrame, schema: RoleSchema, n_rows: int | None) -> DataFrame:
@@ -73,7 +89,8 @@ def load_csv(
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).mode("overwrite").csv(path)
+    """Headed CSV that `read_csv` gives back, apart from empty texts, which are missing values there."""
+    _dialect(df.write).mode("overwrite").csv(path)
 
 
 def save_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,10 +9,8 @@ from tabmill.sources import tables
 
 @pytest.fixture()
 def frame(spark):
-    return spark.createDataFrame(
-        [(1, "a", "q", 123.0), (2, "a", "q", 321.0), (3, None, "q", 122.0), (4, "b", "q", 365.0)],
-        "COLUMN_ID int, COLUMN_FEATURE string, COLUMN_FEATURE_DELETED string, COLUMN_TARGET double",
-    )
+    rows = [(f"k{i}", None if i in (2, 5) else "rail sea road".split()[i % 3], f"note {i}", 7.5 * i) for i in range(7)]
+    return spark.createDataFrame(rows, "COLUMN_ID string, COLUMN_FEATURE string, COLUMN_FEATURE_DELETED string, COLUMN_TARGET double")
 
 
 def test_schema_roles():
@@ -29,7 +27,7 @@ def test_schema_roles():
 
 def test_remove_columns(frame):
     out = clean.remove_columns(frame, ["COLUMN_FEATURE_DELETED"])
-    assert out.columns == ["COLUMN_ID", "COLUMN_FEATURE", "COLUMN_TARGET"] and out.count() == 4
+    assert out.columns == ["COLUMN_ID", "COLUMN_FEATURE", "COLUMN_TARGET"] and out.count() == 7
     with pytest.raises(ValueError):
         clean.remove_columns(frame, ["NOTHING"])
 
@@ -39,7 +37,7 @@ def test_filter_columns_keeps_the_given_order(frame):
 
 
 def test_remove_nan_rows_drops_null_and_nan(spark, frame):
-    assert sorted(r[0] for r in clean.remove_nan_rows(frame).collect()) == [1, 2, 4]
+    assert sorted(r[0] for r in clean.remove_nan_rows(frame).collect()) == ["k0", "k1", "k3", "k4", "k6"]
     numbers = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
     assert clean.remove_nan_rows(numbers).count() == 1
 
@@ -77,10 +75,10 @@ def test_typing_raises_and_quarantine_does_not(spark):
 
 
 def test_csv_with_blanks_and_missing_values(spark, tmp_path):
-    (tmp_path / "sample.csv").write_text("\n    id,feature,feature_deleted,target\n    1,123,NA,300\n    2,,del,600\n")
+    (tmp_path / "sample.csv").write_text("\n  key,speed,remark,cost\n  A7,41,NA,8.5\n  B9,,late,17\n")
     out = tables.load_csv(spark, str(tmp_path / "sample.csv"), SAMPLE)
     assert out.columns == list(SAMPLE.columns)
-    assert [tuple(r) for r in out.collect()] == [("1", "123", None, "300"), ("2", None, "del", "600")]
+    assert [tuple(r) for r in out.collect()] == [("A7", "41", None, "8.5"), ("B9", None, "late", "17")]
     assert tables.load_csv(spark, str(tmp_path / "sample.csv"), SAMPLE, n_rows=1).count() == 1
     assert tables.load_csv(spark, str(tmp_path / "sample.csv"), SAMPLE, n_rows=50).count() == 2
     with pytest.raises(ValueError):
@@ -92,9 +90,19 @@ def test_csv_with_blanks_and_missing_values(spark, tmp_path):
 
 
 def test_csv_save(spark, tmp_path):
-    tables.save_csv(spark.createDataFrame([(1, "hello", 300), (2, "hey", 5)], "id int, name string, value int"), str(tmp_path / "out"))
-    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
-    assert back.columns == ["id", "name", "value"] and back.count() == 2
+    texts = ["plain", "  lead ", 'say "hi", twice', "two\nlines", "a\\b", "'", None]
+    tables.save_csv(spark.createDataFrame([(i, t, i * 2.5) for i, t in enumerate(texts)], "place int, remark string, cost double"), str(tmp_path / "out"))
+    back = tables.read_text_csv(spark, str(tmp_path / "out"), multi_line=True)
+    assert back.columns == ["place", "remark", "cost"]
+    assert [r["remark"] for r in back.orderBy(F.col("place").cast("int")).collect()] == texts
+
+
+def test_csv_rows_of_other_lengths(spark, tmp_path):
+    (tmp_path / "short.csv").write_text('x,y,z\n1,"a ""b"" c, d",3\n4,5\n')
+    assert [tuple(r) for r in tables.read_text_csv(spark, str(tmp_path / "short.csv")).collect()] == [("1", 'a "b" c, d', "3"), ("4", "5", None)]
+    (tmp_path / "long.csv").write_text("x,y\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        tables.read_text_csv(spark, str(tmp_path / "long.csv")).select("x").collect()
 
 
 def test_split_sets(spark, tmp_path):
@@ -142,6 +150,23 @@ def test_first_rows_by_selection(spark, n):
     assert sorted(r["k"] for r in out.collect()) == [f"{i:04d}" for i in range(n)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 9, 10, 11, 20])
+def test_first_rows_with_repeated_rows_and_nulls(spark, n):
+    """The same rows by a sort and by selection: ties by content, nulls last, identical rows by number."""
+    rows = [("b", 1)] * 4 + [("a", 2), ("b", 0), (None, 5), (None, 5), (None, 4), ("c", 1)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(3)
+    by_sort = sorted(map(str, selection.first_rows(df, "k", n).collect()))
+    assert len(by_sort) == min(n, 10)
+    if n:
+        assert sorted(map(str, selection.first_rows(df, "k", n, small=0).collect())) == by_sort
+
+
+def test_random_rows_of_identical_rows(spark):
+    df = spark.range(100).select(F.lit("x").alias("k"), F.lit(1).alias("v"))
+    for n in (0, 1, 50, 99, 100):
+        assert selection.random_rows(df, "k", n, 42).count() == n
+
+
 def test_nth_key_with_a_hot_key(spark):
     values = sorted([5] * 400 + list(range(800)))
     df = spark.createDataFrame([(v,) for v in values], "k long")
@@ -161,7 +186,7 @@ def test_quantiles_by_brackets_are_exact(spark):
     b = np.where(rng.random(12000) < 0.5, 1.0, 2.0)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probabilities = (0.0, 0.25, 0.5, 0.75, 0.999, 1.0)
-    out = selection.exact_quantiles(df, ["a", "b"], probabilities, direct=0, finish=50, accuracy=200)
+    out = selection.exact_quantiles(df, ["a", "b"], probabilities, finish=50, accuracy=200)
     for p in probabilities:
         assert out["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12)
         assert out["b", p] == pytest.approx(np.quantile(b, p), rel=1e-12)

@@ -14,7 +14,7 @@ from tabmill.schema import COMMODITY_FLOW, SAMPLE, SAMPLE_TRANSFORMER
 
 @pytest.fixture()
 def ten(spark):
-    rows = [(str(i), "ab"[i % 2], float(10 + i), 1.0 + i / 10) for i in range(10)]
+    rows = [(f"n{i}", "ba"[i in (1, 4, 6, 7, 9)], 12.0 + 0.5 * i * i, 3.0 - i / 7) for i in range(10)]
     return spark.createDataFrame(rows, "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double, COLUMN_TARGET double")
 
 
@@ -31,6 +31,15 @@ def test_exact_split_is_8_1_1_of_10(ten):
     assert {r["stage"]: r["count"] for r in out.groupBy("stage").count().collect()} == {"train": 8, "valid": 1, "test": 1}
 
 
+def test_exact_split_of_identical_rows_and_rows_without_an_id(spark):
+    df = spark.range(100).select(F.lit("x").alias("COLUMN_ID"), F.lit(1.0).alias("COLUMN_TARGET"))
+    for rows in (df, df.unionByName(df.withColumn("COLUMN_TARGET", F.lit(2.0))), df.withColumn("COLUMN_ID", F.lit(None).cast("string"))):
+        out = split(rows, SAMPLE_TRANSFORMER, exact=True)
+        assert {r["stage"]: r["count"] for r in out.groupBy("stage").count().collect()} == split_sizes(rows.count())
+    no_id = spark.range(500).select(F.lit(None).cast("string").alias("COLUMN_ID"), F.col("id").cast("double").alias("COLUMN_TARGET"))
+    assert {r["stage"] for r in split(no_id, SAMPLE_TRANSFORMER).select("stage").distinct().collect()} == {"train", "valid", "test"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 11, 99, 1003])
 def test_exact_split_sizes(spark, n):
     df = spark.range(n).select(F.col("id").cast("string").alias("COLUMN_ID"), F.lit(1.0).alias("COLUMN_TARGET"))
