@@ -11,21 +11,21 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
     DecisionTreeRegressor,
-    GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.workspace import new_path
+from ..sources.workspace import materialize, new_path
 from .evaluate import best_model, known_metrics, metrics_by_stage
 from .knn import KnnIndex, build_index
 
 INPUTS = "model_inputs"
-# Above this many inputs the normal equations no longer fit the driver.
-NORMAL_EQUATIONS = 4_096
+DEEPEST = 30  # levels of a tree, and how many it may have if nothing is said
+KEEP_ROUNDS = 8  # boosting rounds between two writes of the residuals
 
+# Model types and option names of the job files.
 MODEL_TYPES = (
     "random_forest_regressor",
     "linear_regression",
@@ -96,9 +96,9 @@ def _tree_options(hp: dict, single: bool = False) -> dict:
     leaf = hp.get("min_samples_leaf", 1)
     if smallest > 2 * leaf and not single:
         raise Unsupported(f"min_samples_split={smallest} above twice min_samples_leaf={leaf} is for single trees only")
-    hp.setdefault("max_depth", 30)
-    if hp["max_depth"] is None or hp["max_depth"] > 30:
-        hp["max_depth"] = 30
+    hp.setdefault("max_depth", DEEPEST)
+    if hp["max_depth"] is None or hp["max_depth"] > DEEPEST:
+        raise Unsupported(f"max_depth={hp['max_depth']} is not available, trees have at most {DEEPEST} levels")
     return hp
 
 
@@ -108,23 +108,24 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
     common = {"featuresCol": INPUTS, "labelCol": label, "predictionCol": prediction}
     kind = candidate.model_type
     if kind in ("linear_regression", "elastic_net", "lasso"):
-        linear = dict(common, standardization=False, tol=1e-12, maxIter=1000)
-        linear["solver"] = "normal" if n_inputs <= NORMAL_EQUATIONS else "l-bfgs"
+        # the normal equations take up to 4096 inputs; `solver` is the way beyond, chosen by the caller
+        linear = dict(common, standardization=False, tol=1e-12, maxIter=1000, solver="normal")
+        shared = {"fit_intercept": "fitIntercept", "solver": "solver", "max_iter": "maxIter"}
         if kind == "linear_regression":
-            options = _take(hp, {"fit_intercept": "fitIntercept"})
-            return LinearRegression(regParam=0.0, **linear, **options)
-        options = _take(hp, {"alpha": None, "l1_ratio": None, "fit_intercept": "fitIntercept", "random_state": None, "max_iter": None})
+            return LinearRegression(**{"regParam": 0.0, **linear, **_take(hp, shared)})
+        # coordinate choice is not random here, so a seed changes nothing and is only allowed
+        options = _take(hp, {"alpha": None, "l1_ratio": None, "random_state": None, **shared})
         alpha = hp.get("alpha", 1.0)
         ratio = 1.0 if kind == "lasso" else hp.get("l1_ratio", 0.5)
         # MLlib divides the ridge part by the label's std; undo that to meet the usual objective
         # 1/(2n) |y - Xw|^2 + alpha * ratio * |w|_1 + alpha * (1 - ratio) / 2 * |w|^2
         lasso_part, ridge_part = alpha * ratio, alpha * (1 - ratio) * label_std
         reg = lasso_part + ridge_part
-        return LinearRegression(regParam=reg, elasticNetParam=lasso_part / reg if reg else 0.0, **linear, **options)
+        return LinearRegression(**{"regParam": reg, "elasticNetParam": lasso_part / reg if reg else 0.0, **linear, **options})
     if kind == "decision_tree_regressor":
         options = _take(
             _tree_options(hp, single=True),
-            {"max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "random_state": "seed"},
+            {"max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode", "random_state": "seed", "max_bins": "maxBins"},
         )
         return DecisionTreeRegressor(**common, **options)
     if kind == "random_forest_regressor":
@@ -136,6 +137,7 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
                 "max_depth": "maxDepth",
                 "min_samples_leaf": "minInstancesPerNode",
                 "random_state": "seed",
+                "max_bins": "maxBins",
             },
         )
         options.setdefault("numTrees", 100)
@@ -151,9 +153,10 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
                 "min_samples_leaf": "minInstancesPerNode",
                 "subsample": "subsamplingRate",
                 "random_state": "seed",
+                "max_bins": "maxBins",
             },
         )
-        return GBTRegressor(**common, **options)
+        return Boosting(common, **options)
     raise ValueError(f"{kind} is not an MLlib estimator")
 
 
@@ -174,6 +177,62 @@ def cut_small_nodes(spark: SparkSession, model: DecisionTreeRegressionModel, sma
     return DecisionTreeRegressionModel.load(cut)
 
 
+@dataclass
+class BoostedTrees:
+    """The train mean plus a share of each tree of residuals."""
+
+    start: float
+    rate: float
+    trees: list[DecisionTreeRegressionModel]
+    prediction: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"_{self.prediction}_{i}" for i in range(len(self.trees))]
+        out = df
+        for name, tree in zip(names, self.trees):
+            out = tree.setPredictionCol(name).transform(out)
+        total = F.lit(self.start)
+        for name in names:
+            total = total + self.rate * F.col(f"`{name}`")
+        return out.withColumn(self.prediction, total).drop(*names)
+
+
+@dataclass
+class Boosting:
+    """Least-squares boosting: starts from the mean and fits each tree to what is left of the label.
+
+    The residuals are a column that is written to the shared folder every few rounds, so that neither plans nor lost
+    executors make the rounds before run again.
+    """
+
+    columns: dict
+    maxIter: int = 100
+    stepSize: float = 0.1
+    subsamplingRate: float = 1.0
+    seed: int = 0
+    maxDepth: int = 3
+    minInstancesPerNode: int = 1
+    maxBins: int = 32
+
+    def fit(self, rows: DataFrame) -> BoostedTrees:
+        label, inputs = self.columns["labelCol"], self.columns["featuresCol"]
+        start = rows.agg(F.avg(label)).first()[0]
+        left = rows.select(inputs, (F.col(label) - F.lit(start)).alias("_left"))
+        trees: list[DecisionTreeRegressionModel] = []
+        for i in range(self.maxIter):
+            tree = DecisionTreeRegressor(
+                featuresCol=inputs, labelCol="_left", predictionCol="_step", maxDepth=self.maxDepth, maxBins=self.maxBins,
+                minInstancesPerNode=self.minInstancesPerNode, seed=self.seed + i,
+            )
+            seen = left if self.subsamplingRate >= 1 else left.sample(self.subsamplingRate, self.seed + i)
+            trees.append(tree.fit(seen))
+            if i + 1 < self.maxIter:
+                left = trees[-1].transform(left).select(inputs, (F.col("_left") - self.stepSize * F.col("_step")).alias("_left"))
+                if (i + 1) % KEEP_ROUNDS == 0:
+                    left = materialize(left, "residuals")
+        return BoostedTrees(start, self.stepSize, trees, self.columns["predictionCol"])
+
+
 def _fit_mllib(candidate: Candidate, chosen, rows: DataFrame):
     model = chosen.fit(rows)
     hp = candidate.hyperparameters

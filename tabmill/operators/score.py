@@ -16,7 +16,7 @@ from ..schema import RoleSchema, schema_named
 from .clean import clean
 from .evaluate import errors
 from .knn import KnnIndex
-from .models import INPUTS, Candidate, FittedModel
+from .models import INPUTS, BoostedTrees, Candidate, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
 from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, quarantine
 
@@ -102,7 +102,9 @@ def save_scorer(scorer: Scorer, path: str) -> None:
     spark = SparkSession.active()
     save_steps(spark, scorer.steps, f"{path}/steps")
     assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
-    PipelineModel([assembler, scorer.model.model]).write().overwrite().save(f"{path}/model")
+    boosted = scorer.model.model if isinstance(scorer.model.model, BoostedTrees) else None
+    stages = boosted.trees if boosted else [scorer.model.model]
+    PipelineModel([assembler, *stages]).write().overwrite().save(f"{path}/model")
     inputs = describe_inputs(scorer.manifest)
     for i in scorer.manifest.inputs:
         if isinstance(i, CategoricalInput) and i.table is not None:
@@ -117,6 +119,7 @@ def save_scorer(scorer: Scorer, path: str) -> None:
         "model_id": scorer.model.candidate.model_id,
         "model_type": scorer.model.candidate.model_type,
         "hyperparameters": scorer.model.candidate.hyperparameters,
+        "boosting": [boosted.start, boosted.rate] if boosted else None,
     }
     spark.createDataFrame([(json.dumps(card),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
@@ -132,7 +135,9 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
         else:
             inputs.append(CategoricalInput(i["name"], table=spark.read.parquet(f"{path}/values/{i['name']}")))
     candidate = Candidate(card["model_id"], card["model_type"], card["hyperparameters"])
-    model = PipelineModel.load(f"{path}/model").stages[-1]
+    stages = PipelineModel.load(f"{path}/model").stages[1:]
+    boosting = card.get("boosting")
+    model = BoostedTrees(*boosting, stages, card["prediction"]) if boosting else stages[-1]
     return Scorer(
         card["name"],
         schema_named(card["schema"]),

@@ -53,6 +53,8 @@ def test_linear_models_minimise_the_usual_objective(linear, kind, hp, alpha, rat
 @pytest.mark.parametrize("kind", ["decision_tree_regressor", "random_forest_regressor", "gradient_boosting_regressor"])
 def test_trees_beat_the_mean(linear, kind):
     hp = {"max_depth": 4, "random_state": 42}
+    if kind == "gradient_boosting_regressor":
+        hp |= {"n_estimators": 12, "learning_rate": 0.3}
     model = models.fit_one(models.Candidate("m", kind, hp), linear.where("stage = 'train'"), ["x", "z"], "y", "id")
     scored = model.transform(linear).withColumn("mean", F.lit(evaluate.mean_baseline(linear, "y")))
     out = evaluate.metrics_by_stage(scored, "y", {"tree": "prediction", "mean": "mean"}, ("rmse",))
@@ -66,6 +68,8 @@ def test_unsupported_options_raise():
         ("random_forest_regressor", {"min_samples_split": 10, "min_samples_leaf": 2}),
         ("linear_regression", {"alpha": 1}),
         ("random_forest_regressor", {"oob_score": True}),
+        ("decision_tree_regressor", {"max_depth": 31}),
+        ("gradient_boosting_regressor", {"max_depth": None}),
     ]:
         with pytest.raises(ValueError):
             models.estimator(models.Candidate("m", kind, hp), "y", "p", 2)
@@ -75,6 +79,21 @@ def test_unsupported_options_raise():
         models.candidates([], "random")
 
 
+@pytest.mark.parametrize("rate,rounds", [(0.1, 3), (0.5, 2), (1.0, 1), (0.3, 9)])
+def test_boosting_starts_at_the_mean(spark, rate, rounds):
+    df = spark.createDataFrame([(float(i % 2), 100.0 * (i % 2)) for i in range(40)], "x double, y double")
+    hp = {"learning_rate": rate, "n_estimators": rounds, "random_state": 1}
+    model = models.fit_one(models.Candidate("m", "gradient_boosting_regressor", hp), df, ["x"], "y", "x")
+    found = {r["x"]: r["prediction"] for r in model.transform(df).distinct().collect()}
+    moved = 50 * (1 - (1 - rate) ** rounds)
+    assert found == {0.0: pytest.approx(50 - moved), 1.0: pytest.approx(50 + moved)}
+
+
+def test_linear_options_take_effect(linear):
+    fit = lambda **hp: models.estimator(models.Candidate("m", "elastic_net", hp), "y", "p", 2)
+    assert fit(max_iter=5).getMaxIter() == 5 and fit(solver="l-bfgs").getSolver() == "l-bfgs" and fit().getSolver() == "normal"
+
+
 def test_min_samples_split_cuts_small_nodes(spark, linear):
     train = linear.where("stage = 'train'")
     hp = {"max_depth": 6, "min_samples_leaf": 1, "random_state": 1}
