@@ -38,11 +38,12 @@ def round_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def current_tags(tags: DataFrame, updates: DataFrame | None = None) -> DataFrame:
-    """Tags after all upserts: one row per run and key with the id of its first write and the last value."""
+    """Tags after all upserts: one row per run and key with the id of its first write, and value and time of the last."""
     log = tags if updates is None else tags.unionByName(updates)
     return log.groupBy("run_id", "key").agg(
         F.min_by("id", _written()).alias("id"),
         F.max_by("value", _written()).alias("value"),
+        F.max("written_at").alias("written_at"),
         F.count(F.lit(1)).alias("writes"),
     )
 

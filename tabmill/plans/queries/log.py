@@ -9,7 +9,7 @@ from ...sources import runlog_store
 from ...sources.workspace import materialize, new_path
 from .. import derived
 
-VALID, TEST = derived.METRIC_KEYS["N"], derived.METRIC_KEYS["R"]
+TRAIN, VALID, TEST = (derived.METRIC_KEYS[flag] for flag in "ANR")
 
 
 def r_best_child(spark, sf_dir):
@@ -120,10 +120,10 @@ def r_timings(spark, sf_dir):
 
 
 def r_append_read(spark, sf_dir):
-    """Metrics appended to the stored log in two batches and read back."""
+    """All metrics appended to the stored log in three batches and read back."""
     path = new_path(spark, "log")
     metrics = derived.metrics(spark, sf_dir)
-    for key in (VALID, TEST):
+    for key in (TRAIN, VALID, TEST):
         runlog_store.append(metrics.where(F.col("key") == key), path, "metrics")
     stored = runlog_store.read(spark, path, "metrics")
     return stored.groupBy("key").agg(F.count(F.lit(1)).alias("entries"), F.round(F.sum("value"), 2).alias("total"))
@@ -223,8 +223,7 @@ ORACLE = {
     "r_metric_rounding": f"with {_LOG} select id, key, cast(printf('%.3f', value / 8) as double) as value from metrics",
     "r_timings": f"""with {_LOG} select 'time_ms.' || key as key, count(*) as runs, round(avg(value), 4) as mean_ms, max(value) as max_ms
         from entries group by 1""",
-    "r_append_read": f"""with {_LOG} select key, count(*) as entries, round(sum(value), 2) as total from metrics
-        where key in ('{VALID}', '{TEST}') group by 1""",
+    "r_append_read": f"""with {_LOG} select key, count(*) as entries, round(sum(value), 2) as total from metrics group by 1""",
     "r_manifest_rows": """select c_mktsegment as run_id, 'balance' as name, 'numerical' as type, min(c_acctbal) as min, max(c_acctbal) as max
         from customer group by 1""",
 }

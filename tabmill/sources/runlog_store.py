@@ -44,8 +44,12 @@ def append(df: DataFrame, path: str, table: str) -> None:
 
 
 def compact_tags(spark: SparkSession, path: str, out: str) -> None:
-    """Write the current tags as a fresh table without the overwritten values."""
-    tags = current_tags(read(spark, path, "tags")).withColumn("written_at", F.current_timestamp())
+    """Write the current tags as a fresh table without the overwritten values.
+
+    Each keeps the time at which it was written, so an update that was stamped before the compaction but is appended
+    after it still wins.
+    """
+    tags = current_tags(read(spark, path, "tags"))
     tags.select("id", "run_id", "key", "value", "written_at").write.mode("overwrite").parquet(out)
 
 
