@@ -221,12 +221,13 @@ def decode(df: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
     table is never shuffled.
     """
     columns = columns or {c: n for c, n in COLUMN_LOOKUP.items() if c in df.columns}
+    order = [*df.columns, *[f"{c}_LABEL" for c in columns]]
     for column, name in columns.items():
         table = lookup_table(df.sparkSession, name).select(
             F.col("code").alias(column), F.col("label").alias(f"{column}_LABEL")
         )
         df = df.join(F.broadcast(table), column, "left")
-    return df
+    return df.select(*order)
 
 
 def unknown_codes(df: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:

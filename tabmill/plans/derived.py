@@ -23,12 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread(scan: DataFrame, *by: str) -> DataFrame:
-    """Use all cores on a file that is a single split. A table of many splits is left as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _text(name: str):
     return F.col(name).cast("string")
 
@@ -89,7 +83,7 @@ def _shipment_columns() -> dict:
 def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One row per lineitem under the 20 shipment columns, or those asked for."""
     wanted = columns or COMMODITY_FLOW.columns
-    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    lineitem = table(spark, sf_dir, "lineitem")
     return shipments_from(lineitem, spark, sf_dir, *wanted)
 
 

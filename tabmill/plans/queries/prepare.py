@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions.selection import first_rows
 from ...operators import clean, lookup, profile
 from ...operators.split import split, stage_sizes
 from ...schema import COMMODITY_FLOW as SCHEMA
+from ...schema import SAMPLE_TRANSFORMER as SAMPLE
 from ...sources import tables
 from ...sources.workspace import materialize, new_path
 from ..derived import shipments, table
@@ -22,6 +24,29 @@ def csv_roundtrip_rename(spark, sf_dir):
     return clean.typed(tables.load_csv(spark, path, SCHEMA), SCHEMA)
 
 
+def csv_quoted_roundtrip(spark, sf_dir):
+    """Texts with quotes, commas, line breaks and blanks at their ends, through CSV and back."""
+    path = new_path(spark, "csv-texts")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    quoted = F.concat(F.lit('  "'), F.col("lang"), F.lit('", '), F.col("text"), F.lit('\n"" \\ '))
+    tables.save_csv(docs.select("doc_id", quoted.alias("text"), "lang"), path)
+    back = tables.read_text_csv(spark, path, multi_line=True)
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+
+
+def head_n_duplicates(spark, sf_dir):
+    """The head by a key that repeats: ties go by content, identical rows by number."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 2).alias("half"))
+    return first_rows(rows, "l_orderkey", 20_001, small=0)
+
+
+def split_exact_duplicates(spark, sf_dir):
+    """Exact stage sizes where all rows fall into seven groups of identical rows."""
+    line = F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(line.cast("string").alias("COLUMN_ID"), line.cast("double").alias("COLUMN_TARGET"))
+    return split(rows, SAMPLE, exact=True).groupBy("stage").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def load_audit(spark, sf_dir):
     rows, seen = tables.audited(shipments(spark, sf_dir, ID, VALUE), "load-audit")
     tables.save_csv(rows, new_path(spark, "audit"))
@@ -207,7 +232,7 @@ QUERIES = {
         unknown_codes, manifest_numeric, manifest_numeric_truncated, manifest_categorical, manifest_json_roundtrip,
         describe_numeric, describe_categorical, profile_numeric, profile_categorical_freq, profile_freq_map,
         dataset_meta, dataset_fingerprint, duplicate_content_sha256, split_hash_counts, split_hash_rows,
-        split_exact_sizes,
+        split_exact_sizes, csv_quoted_roundtrip, head_n_duplicates, split_exact_duplicates,
     )
 }
 
@@ -220,6 +245,13 @@ _ROW_TEXT = " || ".join(
 _CELLS = "cells as (" + sql.union("select '{c}' as \"column\", {c} as value from ship", sql.CATEGORICAL) + ")"
 
 ORACLE = {
+    "csv_quoted_roundtrip": r"""select doc_id, '  "' || lang || '", ' || text || chr(10) || '"" \ ' as text, lang from documents""",
+    "head_n_duplicates": """with r as (select l_orderkey, l_linenumber, l_suppkey % 2 as half from lineitem)
+        select * from r order by l_orderkey, md5(length(l_orderkey::varchar) || ':' || l_orderkey || ';' || length(l_linenumber::varchar) || ':'
+          || l_linenumber || ';' || length(half::varchar) || ':' || half || ';') limit 20001""",
+    "split_exact_duplicates": """with n as (select count(*) as n from lineitem), h as (select n, cast(ceil(0.2 * n) as bigint) as held from n),
+        t as (select n, held, cast(ceil(0.5 * held) as bigint) as test from h)
+        select 'train' as stage, n - held as n_rows from t union all select 'valid', held - test from t union all select 'test', test from t""",
     "csv_roundtrip_rename": f"with {sql.SHIP} select {', '.join(SCHEMA.columns)} from ship",
     "load_audit": f"with {sql.SHIP} select count(*) as n_rows, cast(2 as integer) as n_columns from ship",
     "head_n_by_key": f"with {sql.SHIP} select SHIPMENT_ID, SHIPMENT_WEIGHT, SHIPMENT_VALUE from ship order by SHIPMENT_ID limit 1000",
