@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from ..sources.workspace import materialize, new_path
 from .hashing import Words, from_planes, planes, slices
 
-SLICE = 16 << 20
-RANGE_BYTES = 24 << 20  # training text per range of words or pairs
+SLICE = 6 << 20
+RANGE_BYTES = 12 << 20  # training text per range of words or pairs
 END = np.uint64(0x1D8E4E27C47D124F)  # stands for the end of a text among the word hashes
 
 
