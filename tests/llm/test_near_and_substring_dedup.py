@@ -64,9 +64,10 @@ def brute_removed(rows, size):
     return sorted(out)
 
 
-@pytest.mark.parametrize("size,short", [(4, 32), (5, 1)])
+@pytest.mark.parametrize("size,short", [(4, 16), (5, 1)])
 def test_components_equal_brute_force(spark, monkeypatch, size, short):
-    monkeypatch.setattr(near_dedup, "SHORT", short)  # 1: all rounds of pivots
+    monkeypatch.setattr(near_dedup, "SHORT", short)  # 1: all open lists in blocks
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
     monkeypatch.setattr(near_dedup, "SHARD", 10)
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
