@@ -10,7 +10,7 @@ bounded block of either side.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -292,3 +292,18 @@ def build_index(
         low[r["leaf"]] = [r[f"lo{i}"] for i in range(len(features))]
         high[r["leaf"]] = [r[f"hi{i}"] for i in range(len(features))]
     return KnnIndex(features, placed, tree, low, high, sizes, k, p, block_rows)
+
+
+def save_index(index: KnnIndex, path: str) -> dict:
+    """Write the train rows; what else the index is made of, bounded by its leaves, is returned as plain values."""
+    index.train.write.mode("overwrite").parquet(path)
+    whole = lambda o: {f.name: np.asarray(getattr(o, f.name)).tolist() for f in fields(o)}
+    shape = {n: np.asarray(getattr(index, n)).tolist() for n in ("low", "high", "rows")}
+    return {"features": list(index.features), "tree": whole(index.tree), "k": index.k, "p": index.p, "block_rows": index.block_rows, **shape}
+
+
+def load_index(spark, path: str, card: dict) -> KnnIndex:
+    tree = Tree(**{n: np.array(v) for n, v in card["tree"].items()})
+    low, high = np.array(card["low"], dtype=float), np.array(card["high"], dtype=float)
+    train = spark.read.parquet(path)
+    return KnnIndex(tuple(card["features"]), train, tree, low, high, np.array(card["rows"]), card["k"], card["p"], card["block_rows"])

@@ -15,7 +15,7 @@ from ..functions.selection import random_rows
 from ..schema import RoleSchema, schema_named
 from .clean import clean
 from .evaluate import errors
-from .knn import KnnIndex
+from .knn import KnnIndex, load_index, save_index
 from .models import INPUTS, BoostedTrees, Candidate, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
 from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, quarantine
@@ -96,15 +96,15 @@ def post_test(
 
 
 def save_scorer(scorer: Scorer, path: str) -> None:
-    """Parameter tables and MLlib persistence; nothing is pickled. Categorical tables go next to it."""
-    if isinstance(scorer.model.model, KnnIndex):
-        raise ValueError("a nearest-neighbour model is its train table; build it again from there")
+    """Parameter tables, train rows of neighbours and MLlib persistence; nothing is pickled. Categorical tables go next to it."""
     spark = SparkSession.active()
     save_steps(spark, scorer.steps, f"{path}/steps")
-    assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
-    boosted = scorer.model.model if isinstance(scorer.model.model, BoostedTrees) else None
-    stages = boosted.trees if boosted else [scorer.model.model]
-    PipelineModel([assembler, *stages]).write().overwrite().save(f"{path}/model")
+    model = scorer.model.model
+    boosted = model if isinstance(model, BoostedTrees) else None
+    index = save_index(model, f"{path}/neighbours") if isinstance(model, KnnIndex) else None
+    if index is None:
+        assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
+        PipelineModel([assembler, *(boosted.trees if boosted else [model])]).write().overwrite().save(f"{path}/model")
     inputs = describe_inputs(scorer.manifest)
     for i in scorer.manifest.inputs:
         if isinstance(i, CategoricalInput) and i.table is not None:
@@ -120,6 +120,7 @@ def save_scorer(scorer: Scorer, path: str) -> None:
         "model_type": scorer.model.candidate.model_type,
         "hyperparameters": scorer.model.candidate.hyperparameters,
         "boosting": [boosted.start, boosted.rate] if boosted else None,
+        "neighbours": index,
     }
     spark.createDataFrame([(json.dumps(card),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
@@ -135,9 +136,12 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
         else:
             inputs.append(CategoricalInput(i["name"], table=spark.read.parquet(f"{path}/values/{i['name']}")))
     candidate = Candidate(card["model_id"], card["model_type"], card["hyperparameters"])
-    stages = PipelineModel.load(f"{path}/model").stages[1:]
-    boosting = card.get("boosting")
-    model = BoostedTrees(*boosting, stages, card["prediction"]) if boosting else stages[-1]
+    if card.get("neighbours"):
+        model = load_index(spark, f"{path}/neighbours", card["neighbours"])
+    else:
+        stages = PipelineModel.load(f"{path}/model").stages[1:]
+        boosting = card.get("boosting")
+        model = BoostedTrees(*boosting, stages, card["prediction"]) if boosting else stages[-1]
     return Scorer(
         card["name"],
         schema_named(card["schema"]),

@@ -19,9 +19,10 @@ from ..operators.runlog import (
     latest,
     nominate,
     previously_published,
+    published_candidates,
     tagged_best,
 )
-from ..operators.score import Scorer, post_test
+from ..operators.score import Scorer, load_scorer, post_test, save_scorer
 from ..operators.split import split, stage_sizes
 from ..operators.transform import FittedStep, apply_steps, fit, save_steps, transformed_features
 from ..operators.validate import Manifest, build_manifest, describe_inputs
@@ -30,6 +31,7 @@ from ..sources.runlog_store import Recorder, create, read
 from ..sources.tables import audited, read_csv, stored_splits
 from ..sources.workspace import materialize
 
+MODEL = "model"  # type of the log's entries about saved models
 STEP_TYPES = ("data_io", "data_cleaner", "data_transformer", "model_trainer", "post_test")
 
 
@@ -124,6 +126,8 @@ def run_scenario(
     experiment = config.get("repository", {}).get("experiment_id", "default")
     log = Recorder(experiment)
     run_id = log.run(uuid.uuid4().hex[:6].upper())
+    if log_path and not _known(spark, log_path, experiment):
+        log.experiment(config.get("repository", {}).get("experiment_name", experiment))
     log.prop(run_id, "name.intent", config["name"])
     log.prop(run_id, "name.description", config.get("description", ""))
 
@@ -183,6 +187,10 @@ def run_scenario(
         timed("train", since)
         scorer = Scorer(run_id, schema, manifest, prepared.steps, grid.best, config["name"])
         _log_models(log, run_id, grid)
+        if log_path:
+            saved = f"{log_path}/models/{run_id}"
+            save_scorer(scorer, saved)
+            log.obj(run_id, MODEL, saved)
         _log_nomination(spark, log, log_path, run_id, config["name"], grid, options["primary_metric"])
     post = step_of(config, "post_test")
     if post and scorer:
@@ -208,12 +216,25 @@ def run_scenario(
     return JobResult(run_id, prepared, grid, scorer, grid.metrics if grid else None, post_tests)
 
 
+def load_published(spark: SparkSession, log_path: str, experiment: str) -> dict[str, Scorer]:
+    """Scorers by run id of all runs of an experiment that are published now, as their jobs saved them."""
+    runs, tags, objects = (read(spark, log_path, t) for t in ("runs", "tags", "objects"))
+    chosen = published_candidates(runs, tags).where(F.col("experiment_id") == experiment)
+    paths = latest(objects.where(F.col("type") == MODEL), by=("run_id",), value="url").withColumnRenamed("run_id", "id")
+    return {r["id"]: load_scorer(spark, r["url"]) for r in chosen.join(paths, "id").collect()}
+
+
 def _manifest_text(manifest: Manifest) -> str:
     inputs = describe_inputs(manifest)
     # a domain kept as a table has no place in the JSON text; its name tells where to look
     return json.dumps([{k: v for k, v in i.items() if v is not None} for i in inputs])
 
 
+def _known(spark: SparkSession, log_path: str, experiment: str) -> bool:
+    create(spark, log_path)
+    return not read(spark, log_path, "experiments").where(F.col("id") == experiment).isEmpty()
+
+
 def _log_models(log: Recorder, run_id: str, grid: GridResult) -> None:
     children = {}
     for model_id, m in grid.models.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...operators import score
 from ...sources.tables import save_csv
 from ...sources.workspace import new_path
 from .. import job
@@ -70,7 +71,7 @@ def job_prepare_scenario(spark, sf_dir):
 
 def job_post_test(spark, sf_dir):
     """Logged line trained by a job, then compared with a random sample on the original scale."""
-    post = {"intent": "measure_outcome_actual_value", "check_against": "random", "n_samples": 5000, "metrics": ["rmse", "mae"], "seed": 42}
+    post = {"intent": "error on raw values", "n_samples": 5000, "metrics": ["rmse", "mae"], "seed": 42}
     config = scenario("post", ("shipment_weight", "shipment_value"), (LOG_BOTH,), (LINE,), post=post)
     result = job.run_scenario(spark, config, table=shipments(spark, sf_dir, *_TEXT))
     r = result.post_tests[0]
@@ -79,6 +80,16 @@ def job_post_test(spark, sf_dir):
     )
 
 
+def job_publish_reload_score(spark, sf_dir):
+    """The model that a job published, loaded from the run log by a later reader and applied to all rows."""
+    log = new_path(spark, "publish-log")
+    table = shipments(spark, sf_dir, *_TEXT)
+    job.run_scenario(spark, scenario("publish", ("shipment_weight", "shipment_value"), (LOG_BOTH,), (LINE,)), log, table)
+    (scorer,) = job.load_published(spark, log, "shipments").values()
+    out = score.score(table.select("SHIPMENT_ID", WEIGHT), scorer, keep=("SHIPMENT_ID",))
+    return out.select("SHIPMENT_ID", F.round(scorer.output, 3).alias("prediction"))
+
+
 _TEXT = ("SHIPMENT_ID", "NAICS", "SHIPMENT_VALUE", "SHIPMENT_WEIGHT")
 
 
@@ -96,12 +107,14 @@ def job_sweep(spark, sf_dir):
     return out.select("intent", "model", "key", "value")
 
 
-QUERIES = {f.__name__: f for f in (job_prepare_scenario, job_post_test, job_sweep)}
+QUERIES = {f.__name__: f for f in (job_prepare_scenario, job_post_test, job_sweep, job_publish_reload_score)}
 
 ORACLE = {
     "job_prepare_scenario": f"""with {sql.STAGED} select stage, count(*) as n_rows, round(avg(ln(SHIPMENT_WEIGHT)), 4) as mean_log_weight,
         round(avg(ln(SHIPMENT_VALUE)), 4) as mean_log_value, count(*) filter (NAICS = 'ECONOMY') as first_category,
         cast(1 + (select count(distinct NAICS) from staged where stage = 'train') as bigint) as n_features from staged group by stage""",
+    "job_publish_reload_score": f"""with {sql.STAGED}, {sql.LOG_LINE}
+        select SHIPMENT_ID, round(exp(a + b * ln(SHIPMENT_WEIGHT)), 3) as prediction from ship, line""",
     "job_post_test": f"""with {sql.STAGED}, {sql.LOG_LINE}, sampled as (select * from ship order by md5(concat(SHIPMENT_ID, '-42')) limit 5000),
         e as (select SHIPMENT_VALUE - exp(a + b * ln(SHIPMENT_WEIGHT)) as d from sampled, line)
         select count(*) as n_rows, round(sqrt(avg(d * d)), 3) as rmse, round(avg(abs(d)), 3) as mae from e""",
