@@ -25,7 +25,8 @@ SHARD_PIECES = 8000
 CACHE = 400_000  # stretches, and parts of them, whose ids a worker remembers at most
 STRETCH = 64  # longer ones are not remembered
 # what the tokenizer cuts a stretch into; for letters up to here it lowers and cuts as Python does
-PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
+LAST = "\u024f"
+PLAIN = regex.compile(f"[!-~\u00a1-{LAST}]+")
 PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
@@ -40,12 +41,14 @@ class Encoder:
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printed]
         self.letters = {b: b for b in printed} | {b: 256 + i for i, b in enumerate(rest)}
+        numbers = np.arange(max(self.tokenizer.get_vocab().values()) + 1, dtype="<u4").tobytes()
+        self.numbers = [numbers[i : i + 4] for i in range(0, len(numbers), 4)]
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
         printed = part.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(printed)], "<u4").tobytes()
+        ids = b"".join([self.numbers[t.id] for t in self.model.tokenize(printed)])
         if len(part) <= STRETCH:
             if len(self.parts) >= CACHE:
                 self.parts.clear()
@@ -53,9 +56,11 @@ class Encoder:
         return ids
 
     def _stretch(self, stretch: str) -> bytes:
-        if PLAIN.fullmatch(stretch) and "<|" not in stretch:
-            parts = self.parts
-            ids = b"".join([parts.get(p) or self._part(p) for p in PART.findall(stretch.lower())])
+        parts, low = self.parts, stretch.lower()
+        if low.isalpha() and max(low) <= LAST:  # one part
+            ids = parts.get(low) or self._part(low)
+        elif PLAIN.fullmatch(stretch) and "<|" not in stretch:
+            ids = b"".join([parts.get(p) or self._part(p) for p in PART.findall(low)])
         else:
             ids = np.array(self.tokenizer.encode(stretch, add_special_tokens=False).ids, "<u4").tobytes()
         if len(stretch) <= STRETCH:
@@ -67,7 +72,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of the text."""
         get, stretch = self.known.get, self._stretch
-        return b"".join([ids if (ids := get(s)) is not None else stretch(s) for s in text.split(" ")])
+        return b"".join([ids if (ids := get(s)) is not None else stretch(s) for s in text.replace("\n", " ").replace("\t", " ").split(" ")])
 
 
 _encoders: dict[str, Encoder] = {}
