@@ -4,7 +4,8 @@ Words are runs of letters and digits, lower-cased; shingles are five words. For
 in windows of T + s - 1 shingles that start every s, with s a quarter of the template's words: any stretch as long as the
 template lies whole in one window. A window that holds at least 0.8 of a template's shingles then has a Jaccard similarity
 above 0.4 with it, and shares one of 30 single-hash bands with a chance above 1 - 1e-6. What the bands retrieve is decided by
-counting shingles.
+counting shingles. A template of one to four words has a single shingle, all its words; it is found where these words stand
+in a row, compared as text.
 
 Templates are a table of bounded size (`MAX_SHINGLES` in all, checked) and are broadcast. Windows without any shingle of a
 template are left out before they are hashed, which loses nothing: their containment is 0. All steps are DataFrame functions,
@@ -13,6 +14,8 @@ and texts are not shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +40,14 @@ TEMPLATES = {
     "rights-reserved": "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher",
 }
 
+# Notices below five words. The SQL of op4_license_scan has no shingles for them, so that query does not ask for them.
+SHORT_TEMPLATES = {"rights-reserved-short": "All rights reserved."}
+
 
-def builtin_templates(spark: SparkSession) -> DataFrame:
-    """(template_id, template): the notices above."""
-    rows = F.array(*[F.struct(F.lit(k).alias("template_id"), F.lit(v).alias("template")) for k, v in TEMPLATES.items()])
+def builtin_templates(spark: SparkSession, short: bool = False) -> DataFrame:
+    """(template_id, template): the notices above, with those below five words on demand."""
+    notices = TEMPLATES | SHORT_TEMPLATES if short else TEMPLATES
+    rows = F.array(*[F.struct(F.lit(k).alias("template_id"), F.lit(v).alias("template")) for k, v in notices.items()])
     return spark.range(1).select(F.explode(rows).alias("t")).select("t.*")
 
 
@@ -65,7 +72,7 @@ def _bands(shingles: Column) -> Column:
 def prepared(templates: DataFrame) -> DataFrame:
     """(template_id, set, size, every, width): each template's shingles, and its windows' stride and shingles.
 
-    Templates with fewer than five words have no shingle and are left out, as are nulls.
+    Templates with fewer than five words have no such shingle and are left to `_short`; nulls are left out.
     """
     words = templates.where("template_id is not null").select("template_id", _words(F.col("template")).alias("words"))
     known = words.select("template_id", F.array_distinct(_shingles(F.col("words"))).alias("set"), F.size("words").alias("n")).where("size(set) > 0")
@@ -73,6 +80,26 @@ def prepared(templates: DataFrame) -> DataFrame:
     return known.select("template_id", "set", F.size("set").alias("size"), every.alias("every"), (F.col("n") - SHINGLE + every).alias("width"))
 
 
+def _short(templates: DataFrame) -> DataFrame:
+    """(template_id, line, n): the words of the templates with fewer than five of them, one space between."""
+    words = templates.where("template_id is not null").select("template_id", _words(F.col("template")).alias("words"))
+    return words.where(F.size("words").between(1, SHINGLE - 1)).select("template_id", F.array_join("words", " ").alias("line"), F.size("words").alias("n")).distinct()
+
+
+def _short_hits(held: DataFrame, lines: list) -> DataFrame:
+    """(doc_id, template_id, start, share): every place in `held` (doc_id, words) where a short template stands."""
+    known = F.array(*[F.struct(F.lit(r["template_id"]).alias("template_id"), F.lit(r["line"]).alias("line")) for r in lines])
+    texts = F.array(*[F.lit(t) for t in sorted({r["line"] for r in lines})])
+    parts = []
+    for n in sorted({r["n"] for r in lines}):
+        line = lambda i: F.concat_ws(" ", *[F.get("words", i + j) for j in range(n)])  # noqa: E731, B023
+        # a generated column, as in scan()
+        runs = held.where(F.size("words") >= n).select("doc_id", F.explode(F.array(F.transform(F.sequence(F.lit(0), F.size("words") - n), line))).alias("runs"))
+        runs = runs.where(F.arrays_overlap("runs", texts)).select("doc_id", F.posexplode("runs").alias("start", "run")).where(F.array_contains(texts, F.col("run")))
+        parts.append(runs.select("doc_id", "start", "run", F.explode(known).alias("t")).where(F.col("run") == F.col("t.line")))
+    return reduce(DataFrame.union, parts).select("doc_id", "t.template_id", "start", F.lit(1.0).alias("share"))
+
+
 def scan(docs: DataFrame, templates: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, template_id, containment, first_word, n_windows): the templates found in `docs` (doc_id, text).
 
@@ -82,18 +109,28 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: int = THRESHOLD) -> D
     """
     spark = docs.sparkSession
     kept = prepared(templates)
-    total = kept.agg(F.sum("size")).first()[0] or 0
+    lines = _short(templates).collect()
+    total = (kept.agg(F.sum("size")).first()[0] or 0) + len(lines)
     if total > MAX_SHINGLES:
         raise ValueError(f"the templates have {total} shingles; {MAX_SHINGLES} may be broadcast")
     rows = kept.collect()
     grids = sorted({(r["every"], r["width"]) for r in rows})
     every_shingle = sorted({h for r in rows for h in r["set"]})
     schema = "doc_id bigint, template_id string, containment double, first_word bigint, n_windows bigint"
-    if not rows:
+    if not rows and not lines:
         return spark.range(0).select(*[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in schema.split(", ")])
-    ours = F.array(*[F.lit(h) for h in every_shingle])
     # generated columns: filters on them are not moved below, where they would compute the words again for every shingle
-    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(F.array(_words(F.col("text")))).alias("words"))
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(F.array(_words(F.col("text")))).alias("words"))
+    hits = [_long_hits(read, kept, grids, every_shingle, threshold)] if rows else []
+    hits += [_short_hits(read, lines)] if lines else []
+    return reduce(DataFrame.union, hits).groupBy("doc_id", "template_id").agg(
+        F.max("share").alias("containment"), F.min("start").cast("bigint").alias("first_word"), F.count_distinct("start").alias("n_windows")
+    )
+
+
+def _long_hits(held: DataFrame, kept: DataFrame, grids: list, every_shingle: list, threshold: int) -> DataFrame:
+    """(doc_id, template_id, start, share): the windows of `held` (doc_id, words) with enough of a template's shingles."""
+    ours = F.array(*[F.lit(h) for h in every_shingle])
     held = held.select("doc_id", F.explode(F.array(_shingles(F.col("words")))).alias("h")).where(F.arrays_overlap("h", ours))
     grid = F.array(*[F.struct(F.lit(e).alias("every"), F.lit(w).alias("width")) for e, w in grids])
     held = held.select("doc_id", "h", F.explode(grid).alias("g"))
@@ -105,7 +142,4 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: int = THRESHOLD) -> D
     met = banded.join(F.broadcast(known), (F.col("b") == F.col("tb")) & (F.col("g") == F.col("tg")))
     share = F.size(F.array_intersect("window", "set"))
     met = met.withColumn("shared", share).where(100 * F.col("shared") >= threshold * F.col("size"))
-    return met.groupBy("doc_id", "template_id").agg(
-        F.max(F.col("shared") / F.col("size")).alias("containment"), F.min("start").cast("bigint").alias("first_word"),
-        F.count_distinct("start").alias("n_windows"),
-    )
+    return met.select("doc_id", "template_id", "start", (F.col("shared") / F.col("size")).alias("share"))

@@ -175,3 +175,26 @@ def test_license_scan(spark):
     assert licenses.scan(df, licenses.builtin_templates(spark).limit(0)).count() == 0
     plan = licenses.scan(df, licenses.builtin_templates(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_license_lines(spark):
+    rows = [
+        (1, "some text. All rights reserved."), (2, "ALL rights\nreserved all rights reserved"), (3, "All rights are reserved."), (4, "all rights"), (5, None), (6, ""),
+        (None, "all-rights-reserved"), (7, "Overall rights reserved"), (8, "Released under the MIT License. All rights reserved."), (9, licenses.TEMPLATES["rights-reserved"]), (9, "All rights reserved."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = licenses.scan(df, licenses.builtin_templates(spark, short=True))
+    got = {(r["doc_id"], r["template_id"]): (r["containment"], r["first_word"], r["n_windows"]) for r in found.collect()}
+    short, once = "rights-reserved-short", lambda at: (1, at, 1)
+    assert got == {(1, short): once(2), (2, short): (1, 0, 2), (None, short): once(0), (8, short): once(5), (8, "MIT"): once(0), (9, short): once(0), (9, "rights-reserved"): got[9, "rights-reserved"]}
+    lone = spark.createDataFrame([("one", "Reserved!"), ("four", "some text all rights"), ("none", "..."), (None, "all rights"), ("null", None)], "template_id string, template string")
+    got = {(r["doc_id"], r["template_id"], r["n_windows"]) for r in licenses.scan(df, lone).collect()}
+    assert got == {(1, "one", 1), (2, "one", 2), (3, "one", 1), (None, "one", 1), (7, "one", 1), (8, "one", 1), (9, "one", 1), (1, "four", 1)}
+    assert licenses.scan(df.limit(0), lone).count() == 0
+
+
+def test_every_short_license_line_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    want = {r["doc_id"] for r in docs.where("text rlike '(?i)(^|[^\\\\p{L}\\\\p{N}])all[^\\\\p{L}\\\\p{N}]+rights[^\\\\p{L}\\\\p{N}]+reserved($|[^\\\\p{L}\\\\p{N}])'").collect()}
+    found = licenses.scan(docs, licenses.builtin_templates(spark, short=True)).where("template_id = 'rights-reserved-short'")
+    assert len(want) == 66 and {r["doc_id"] for r in found.collect()} == want
