@@ -19,6 +19,8 @@ MANIFEST = T.ArrayType(
             T.StructField("min", T.DoubleType()),
             T.StructField("max", T.DoubleType()),
             T.StructField("available_values", T.ArrayType(T.StringType())),
+            # a table (`value`) instead of the list
+            T.StructField("values_path", T.StringType()),
         ]
     )
 )

@@ -176,7 +176,7 @@ def intents(properties: DataFrame) -> DataFrame:
 
 
 def stored_manifest(objects: DataFrame) -> DataFrame:
-    """Typed input rows (run_id, name, type, min, max, available_values) of the stored JSON manifests."""
+    """Typed input rows (run_id, name, type, min, max, available_values, values_path) of the stored JSON manifests."""
     stored = first(objects.where(F.col("type") == "transformation.allowed_columns"), ("run_id", "type"), "url")
     return stored.select("run_id", F.inline(F.from_json("url", MANIFEST)))
 

@@ -72,17 +72,32 @@ def score_by_name(df: DataFrame, scorers: dict[str, Scorer], name: str, keep=())
 
 
 def model_inputs(spark: SparkSession, scorers: list[Scorer]) -> DataFrame:
-    """(model_name, description, name, type, min, max, available_values): what each model expects."""
+    """(model_name, description, name, type, min, max, available_values): what each model expects.
+
+    Domains kept as tables are listed whole too, by an aggregate: their values do not pass through the driver.
+    """
     rows = [
         (s.name, s.description, i["name"], i["type"], i["min"], i["max"], i["available_values"])
         for s in scorers
         for i in describe_inputs(s.manifest)
+        if i["type"] == "numerical" or i["available_values"] is not None
     ]
-    return spark.createDataFrame(
+    known = spark.createDataFrame(
         rows,
         "model_name string, description string, name string, type string, min double, max double, "
         "available_values array<string>",
     )
+    none = F.lit(None).cast("double")
+    wide = [
+        i.table.agg(F.sort_array(F.collect_set("value")).alias("available_values")).select(
+            F.lit(s.name).alias("model_name"), F.lit(s.description).alias("description"), F.lit(i.name).alias("name"),
+            F.lit("categorical").alias("type"), none.alias("min"), none.alias("max"), "available_values",
+        )
+        for s in scorers
+        for i in s.manifest.inputs
+        if isinstance(i, CategoricalInput) and i.table is not None
+    ]
+    return reduce(DataFrame.unionByName, wide, known)
 
 
 def post_test(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import skip_nan
@@ -83,20 +83,25 @@ def build_manifest(
 
 
 def manifest_from_rows(rows) -> Manifest:
-    """From the typed rows of a stored JSON manifest."""
+    """From the typed rows of a stored JSON manifest; domains kept as tables are read where their `values_path` says."""
     inputs = []
     for r in rows:
         if r["type"] == "numerical":
             inputs.append(NumericInput(r["name"], r["min"], r["max"]))
-        elif r["type"] == "categorical":
+        elif r["type"] == "categorical" and r["available_values"] is not None:
             inputs.append(CategoricalInput(r["name"], values=tuple(r["available_values"])))
+        elif r["type"] == "categorical":
+            path = r["values_path"] if "values_path" in r else None
+            if path is None:
+                raise ValueError(f"the manifest holds no values of {r['name']!r}")
+            inputs.append(CategoricalInput(r["name"], table=SparkSession.active().read.parquet(path)))
         else:
             raise ValueError(f"unknown input type {r['type']!r}")
     return Manifest(tuple(inputs))
 
 
 def describe_inputs(manifest: Manifest) -> list[dict]:
-    """Names, types, ranges and values of the inputs of a model."""
+    """Names, types, ranges and values of the inputs of a model; None for the values of domains kept as tables."""
     out = []
     for i in manifest.inputs:
         if isinstance(i, NumericInput):

@@ -25,7 +25,7 @@ from ..operators.runlog import (
 from ..operators.score import Scorer, load_scorer, post_test, save_scorer
 from ..operators.split import split, stage_sizes
 from ..operators.transform import FittedStep, apply_steps, fit, save_steps, transformed_features
-from ..operators.validate import Manifest, build_manifest, describe_inputs
+from ..operators.validate import CategoricalInput, Manifest, build_manifest, describe_inputs
 from ..schema import RoleSchema, schema_named
 from ..sources.runlog_store import Recorder, create, read
 from ..sources.tables import audited, read_csv, stored_splits
@@ -165,7 +165,7 @@ def run_scenario(
             stored = f"{log_path}/steps/{run_id}"
             save_steps(spark, prepared.steps, stored)
             log.obj(run_id, "transformation.steps", stored)
-            log.obj(run_id, "transformation.allowed_columns", _manifest_text(manifest))
+            log.obj(run_id, "transformation.allowed_columns", _manifest_text(manifest, f"{log_path}/values/{run_id}"))
     trainer = step_of(config, "model_trainer")
     if trainer and prepared:
         since = time.time()
@@ -224,9 +224,13 @@ def load_published(spark: SparkSession, log_path: str, experiment: str) -> dict[
     return {r["id"]: load_scorer(spark, r["url"]) for r in chosen.join(paths, "id").collect()}
 
 
-def _manifest_text(manifest: Manifest) -> str:
+def _manifest_text(manifest: Manifest, folder: str) -> str:
+    """The manifest as JSON. A domain kept as a table is written below `folder`, and its path stands for the list."""
     inputs = describe_inputs(manifest)
-    # a domain kept as a table has no place in the JSON text; its name tells where to look
+    for i, described in zip(manifest.inputs, inputs):
+        if isinstance(i, CategoricalInput) and i.table is not None:
+            described["values_path"] = f"{folder}/{i.name}"
+            i.table.write.mode("overwrite").parquet(described["values_path"])
     return json.dumps([{k: v for k, v in i.items() if v is not None} for i in inputs])
 
 

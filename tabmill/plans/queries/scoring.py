@@ -111,6 +111,15 @@ def s_model_inputs(spark, sf_dir):
     return score.model_inputs(spark, [scorer]).withColumn("available_values", F.array_join("available_values", "|"))
 
 
+def s_model_inputs_wide(spark, sf_dir):
+    """An input with more values than a list in the plan may hold, described whole."""
+    rows, steps, model = log_model(spark, sf_dir)
+    train = rows_for(spark, sf_dir, WEIGHT).where(F.col("stage") == "train")
+    manifest = validate.build_manifest(train.select(F.substring(F.md5(ID), 1, 3).alias("SCTG"), WEIGHT), SCHEMA)
+    scorer = score.Scorer("log_line", SCHEMA, manifest, steps, model, "weight and value on logarithms")
+    return score.model_inputs(spark, [scorer]).withColumn("available_values", F.array_join("available_values", "|"))
+
+
 def s_post_test(spark, sf_dir):
     steps = [{"type": "filter_columns", "columns": ["shipment_weight", "shipment_value"]}, {"type": "drop_na"}]
     raw = shipments(spark, sf_dir, ID, WEIGHT, VALUE)
@@ -132,7 +141,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         v_accept, v_quarantine, v_quarantine_reasons, v_wide_domain, s_batch_score, s_reloaded_scorer, s_multi_model,
-        s_model_inputs, s_post_test, s_stream_score,
+        s_model_inputs, s_model_inputs_wide, s_post_test, s_stream_score,
     )
 }
 
@@ -181,6 +190,12 @@ ORACLE = {
         from staged where stage = 'train'
         union all select 'log_line', 'weight and value on logarithms', 'SHIPMENT_WEIGHT', 'numerical', min(SHIPMENT_WEIGHT), max(SHIPMENT_WEIGHT), null
         from staged where stage = 'train'""",
+    "s_model_inputs_wide": f"""with {sql.STAGED} select 'log_line' as model_name, 'weight and value on logarithms' as description, 'SCTG' as name,
+          'categorical' as type, null::double as min, null::double as max,
+          string_agg(distinct substr(md5(SHIPMENT_ID), 1, 3), '|' order by substr(md5(SHIPMENT_ID), 1, 3)) as available_values
+        from staged where stage = 'train'
+        union all select 'log_line', 'weight and value on logarithms', 'SHIPMENT_WEIGHT', 'numerical', min(SHIPMENT_WEIGHT), max(SHIPMENT_WEIGHT), null
+        from staged where stage = 'train'""",
     "s_post_test": f"""with {sql.STAGED}, {sql.LOG_LINE}, sampled as (select * from ship order by md5(concat(SHIPMENT_ID, '-7')) limit 5000),
         e as (select SHIPMENT_VALUE - exp(a + b * ln(SHIPMENT_WEIGHT)) as d from sampled, line)
         select count(*) as n_rows, round(sqrt(avg(d * d)), 3) as rmse, round(avg(abs(d)), 3) as mae from e""",
