@@ -12,6 +12,8 @@ only the one bucket that the budget cuts is put in order row by row.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,14 @@ def _weight(level: int, node: list[str], weights: dict | None) -> Column:
     return out.cast("decimal(38,0)")
 
 
+def _met(path: tuple, leaf: Column, names: list[str]) -> Column:
+    """Whether a leaf lies at or below a path."""
+    same = F.lit(0 < len(path) <= len(names))
+    for c, v in zip(names, path):
+        same &= leaf[c].eqNullSafe(F.lit(v))
+    return same
+
+
 def _filled(nodes: DataFrame, parent: list[str], node: list[str]) -> DataFrame:
     """`nodes` (node columns, cap, w, and the parent's budget) with `given`, by water-filling.
 
@@ -100,13 +110,19 @@ def select(docs: DataFrame, levels: dict[str, Column], budget: int | float, epoc
     (a float) of those there are. A document is taken whole, so a leaf stays below its budget by less than its next
     document. Ties in the order are broken by doc_id; rows equal in both are taken together. Documents without a word cost
     nothing and come with the leaf's prefix. Null ids order as empty texts. An empty table gives an empty result.
+    Paths of `weights` that no leaf of the table meets have no effect and are named in a warning.
     """
     names = [f"_level_{n}" for n in levels]
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.withColumns(dict(zip(names, levels.values())) | {"_tokens": tokens(F.col("text")), "_key": key})
     slim = materialize(rows.select("_key", "_tokens", F.struct(*names).alias("leaf")), "leaf-rows")
     leaves = slim.groupBy("leaf").agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).select("leaf.*", "tokens", "rows")
-    total = slim.agg(F.sum("_tokens")).first()[0] or 0
+    paths = list(weights or {})
+    total, *met = slim.agg(F.sum("_tokens"), *[F.max(_met(p, F.col("leaf"), names)) for p in paths]).first()
+    unmet = [p for p, m in zip(paths, met) if m is False]
+    if unmet:
+        warnings.warn(f"weights of paths that no row has: {unmet}", stacklevel=2)
+    total = total or 0
     goal = int(budget * total) if isinstance(budget, float) else budget
     given = budgets(leaves, names, goal, epochs, weights)
     whole = F.when(F.col("tokens") > 0, F.expr("budget div nullif(tokens, 0)")).otherwise(F.lit(epochs)).cast("int")

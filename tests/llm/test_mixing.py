@@ -1,12 +1,13 @@
 import hashlib
 import re
+import warnings
 from collections import defaultdict
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from tabmill.llm import mixing
+from tabmill.llm import mixing, registry
 
 
 def fill(budget, children):
@@ -86,3 +87,25 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b", "x")], "doc_id bigint, text string, source string")
     plan = mixing.select(df, {"source": F.col("source")}, 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_weights_that_meet_no_row_are_named(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    with pytest.warns(UserWarning) as told:
+        registry.op10_mixing(spark, sf)
+    assert [str(t.message) for t in told if "no row" in str(t.message)] == ["weights of paths that no row has: [('d0',), ('d0', 'en'), ('d0', 'en', 'src0')]"]
+    odd = spark.createDataFrame([(1, "a b", None), (2, "c", "x")], "doc_id bigint, text string, source string")
+    with pytest.warns(UserWarning, match=re.escape("[('y',), ('x', 'x'), ()]")):
+        mixing.select(odd, {"source": F.col("source")}, 0.5, 1, {("y",): 2, ("x",): 3, ("x", "x"): 4, (): 5})
+    # weights on all three levels that do meet a leaf: nothing is named, and each of them changes what is taken
+    levels = {"domain": F.expr(registry.DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+    rows = [(r["doc_id"], r["text"], f"d{len(r['source']) % 3}", r["lang"], r["source"]) for r in docs.collect()]
+    budget = sum(len(re.findall("[^\x20\x09-\x0d]+", r[1] or "")) for r in rows) // 4
+    weights = {("d1",): 3, ("d2", "en"): 5, ("d1", "en", "src0"): 7, ("d2", "en", "src10"): 9}
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="weights of paths")
+        got = mixing.select(docs, levels, budget, 2, weights, 3).select("doc_id", "mix_epoch").collect()
+        assert mixing.select(docs.limit(0), levels, budget, 2, weights, 3).count() == 0
+    want = brute(rows, budget, 2, weights, 3, (2, 3, 4))
+    assert sorted(map(tuple, got)) == want
+    assert all(brute(rows, budget, 2, {k: w for k, w in weights.items() if k != p}, 3, (2, 3, 4)) != want for p in weights)
