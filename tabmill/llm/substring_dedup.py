@@ -29,15 +29,22 @@ BUCKET_BYTES = 8 << 20  # text whose windows go to one bucket
 SHARD_BYTES = 6 << 20  # text streamed through one automaton
 
 
+def _width(buckets: int) -> int:
+    """The bytes that tell hashes of one bucket apart: 5 low ones, and those of the high 24 bits divided by `buckets`."""
+    return 5 + (((2**24 - 1) // buckets).bit_length() + 7) // 8
+
+
 def _windows(size: int, buckets: int):
-    """Per slice and bucket: the windows' hashes and which documents have how many of them, in order."""
+    """Per slice and bucket: the windows' hashes, without what the bucket tells, and which documents have how many of them, in order."""
+    width = _width(buckets)
 
     def run(batches):
         for batch in slices(batches, "text"):
             words = Words(batch.column("text"))
             hashes, at = words.shingles(size)
             row = words.rows()[at]
-            bucket = ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+            high, bucket = np.divmod(hashes >> np.uint64(40), np.uint64(buckets))
+            hashes, bucket = hashes & np.uint64(2**40 - 1) | high << np.uint64(40), bucket.astype(np.int64)
             order = np.lexsort((row, bucket))
             hashes, row, bucket = hashes[order], row[order], bucket[order]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -46,7 +53,7 @@ def _windows(size: int, buckets: int):
             for part in np.split(np.arange(len(bucket)), cuts) if len(bucket) else ():
                 own, n = np.unique(row[part], return_counts=True)
                 numbers.append(bucket[part[0]])
-                low.append(planes(hashes[part])[: 5 * len(part)])
+                low.append(planes(hashes[part])[: width * len(part)])
                 docs.append(ids[own].astype(np.int64).tobytes())
                 counts.append(n.astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -56,13 +63,13 @@ def _windows(size: int, buckets: int):
     return run
 
 
-def _owners(shards: int):
+def _owners(shards: int, width: int):
     """The owners of a bucket's recurring windows, with the marks of the documents in which they recur."""
 
     def run(table):
         hashes, docs = [], []
         for low, doc, count in zip(*[table.column(c).to_pylist() for c in ("low", "docs", "counts")]):
-            hashes.append(from_planes(low + bytes(3 * (len(low) // 5)), np.uint64))
+            hashes.append(from_planes(low + bytes((8 - width) * (len(low) // width)), np.uint64))
             docs.append(np.repeat(np.frombuffer(doc, np.int64), np.frombuffer(count, np.int32)))
         hashes, docs = np.concatenate(hashes), np.concatenate(docs)
         order = np.lexsort((docs, hashes))
@@ -249,7 +256,7 @@ def remove_repeated_passages(docs: DataFrame, size: int = SIZE) -> DataFrame:
     buckets, shards = total // BUCKET_BYTES + 1, total // SHARD_BYTES + 1
     known = docs.where("doc_id is not null and text is not null")
     windows = known.mapInArrow(_windows(size, buckets), "bucket int, low binary, docs binary, counts binary")
-    owners = windows.groupBy("bucket").applyInArrow(_owners(shards), "shard bigint, owners binary")
+    owners = windows.groupBy("bucket").applyInArrow(_owners(shards, _width(buckets)), "shard bigint, owners binary")
     owners = owners.groupBy("shard").applyInArrow(_together, "shard bigint, owner bigint")
     texts = known.mapInArrow(_deflated, "doc_id bigint, z binary, size bigint")
     owners = owners.join(texts, F.col("owner") == F.col("doc_id")).select("shard", "owner", "z", "size")

@@ -2,6 +2,9 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from tabmill.llm import near_dedup, substring_dedup
@@ -101,3 +104,19 @@ def test_removal_of_odd_rows(spark):
     want = [(5, 15, 13, "é ü"), (2, 13, 0, line), (None, 13, 0, line), (2, 13, 0, line), (7, 13, 0, line.upper()), (-3, 0, 0, ""), (8, 26, 26, "")]
     assert got == sorted(want, key=str)
     assert substring_dedup.remove_repeated_passages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 255, 70_000, 2**24, 2**25])
+def test_windows_alike_in_40_bits_keep_their_own_owners(monkeypatch, buckets):
+    high = {b"a": 0, b"b": buckets if buckets < 2**24 else 1, b"c": 2**24 - 1}
+    text = pa.array(["a", "b", "c", "b", "c"])
+    hashes = np.array([high[t.encode()] * 2**40 + 7 for t in text.to_pylist()], np.uint64)
+    monkeypatch.setattr(substring_dedup.Words, "shingles", lambda self, size: (hashes.copy(), np.arange(5)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4, 5], pa.int64()), text], ["doc_id", "text"])
+    table = pa.Table.from_batches(substring_dedup._windows(1, buckets)(iter([batch])))
+    found = set()
+    for number in set(table.column("bucket").to_pylist()):
+        part = table.filter(pa.compute.equal(table.column("bucket"), number))
+        for blob in substring_dedup._owners(1, substring_dedup._width(buckets))(part).column("owners").to_pylist():
+            found |= set(np.frombuffer(blob, np.int64).tolist())
+    assert found == {2, 3}
