@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, language_model, licenses, mixing, near_dedup, packing, personal_data, substring_dedup, top_k, toxicity
+from . import chat, embedding_dedup, hard_negatives, language_model, licenses, merkle, mixing, near_dedup, packing, personal_data, substring_dedup, top_k, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("n_tokens"))
 
 
+CONFLICT = "</s>[INST] ok [/INST]"  # what both turns of conversation -7 say
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONFLICT).alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(extra)), in_order=True)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), top_k.whole(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = merkle.digest(*fields, F.translate("text", _UPPER, _UPPER.lower()))
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered)
+    docs = _table(spark, sf_dir, "documents")
+    manifest = merkle.build(docs, F.col("lang"), "doc_id", merkle.digest(*fields, F.col("text")), doc_id=F.col("doc_id"), altered=altered)
+    proven = merkle.proofs(manifest).withColumn("folded_root", merkle.folded(F.coalesce("altered", "node"), F.col("path")))
+    return proven.select(
+        "doc_id", F.col("node").alias("leaf"), "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -84,6 +113,9 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
+    "op11_chat_format": op11_chat_format,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
@@ -128,6 +160,54 @@ select doc_id, lang, source, cast(epoch as int) as epoch, cast(n as bigint) as n
 """
 
 
+def _merkle_sql(levels: int = 8, tops: int = 4) -> str:
+    """The tree level by level, for up to 8^levels rows of a language and 8^tops languages."""
+    of = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    row = lambda text: "sha256(" + " || ".join([*map(of, ("doc_id", "source", "lang", "n_chars")), of(text)]) + ")"
+    parts = []
+    for name, depth in (("a", levels), ("b", tops)):
+        for j in range(depth):
+            run = f"(partition by tree, pos // 8 order by pos rows between {{}})"
+            before, after = run.format("unbounded preceding and 1 preceding"), run.format("1 following and unbounded following")
+            parts.append(f"""
+{name}s{j} as (select tree, pos, n, coalesce(string_agg(node, '') over {before}, '') as l, coalesce(string_agg(node, '') over {after}, '') as r from {name}{j}),
+{name}{j + 1} as (select tree, pos // 8 as pos, any_value((n + 7) // 8) as n,
+  case when any_value(n) > 1 then sha256(string_agg(node, '' order by pos)) else any_value(node) end as node from {name}{j} group by tree, pos // 8)""")
+        if name == "a":
+            parts.append(f"""
+b0 as (select '' as tree, tree as of, row_number() over (order by tree) - 1 as pos, count(*) over () as n, node from a{levels})""")
+    fold, proof, joins = "coalesce(altered, a0.node)", [], []
+    for name, depth in (("a", levels), ("b", tops)):
+        for j in range(depth):
+            x = f"{name}s{j}"
+            fold = f"case when {x}.n > 1 then sha256({x}.l || {fold} || {x}.r) else {fold} end" if j == 0 and name == "a" else fold
+            proof.append(f"case when {x}.n > 1 then {x}.l || {x}.r else '' end")
+            joins.append(f"join {x} on {x}.tree = {name}0.tree and {x}.pos = {name}0.pos // {8**j}")
+        if name == "a":
+            joins.append("join b0 on b0.of = a0.tree")
+    folds, held = [], "folded"
+    for name, depth in (("a", levels), ("b", tops)):
+        for j in range(depth):
+            if (name, j) != ("a", 0):
+                folds.append(f"case when {name}n{j} > 1 then sha256({name}l{j} || folded || {name}r{j}) else folded end as folded")
+    carried = ", ".join(f"{n}s{j}.{c} as {n}{c}{j}" for n, d in (("a", levels), ("b", tops)) for j in range(d) for c in "nlr" if (n, j) != ("a", 0))
+    steps = [f"f0 as (select doc_id, a0.node as leaf, a{levels}.node as subroot, b{tops}.node as root, sha256({' || '.join(proof)}) as proof_sha256, {fold} as {held}, {carried}"
+             f" from a0 {' '.join(joins)} join a{levels} on a{levels}.tree = a0.tree join b{tops} on true)"]
+    steps += [f"f{i + 1} as (select * replace ({f}) from f{i})" for i, f in enumerate(folds)]
+    return f"""
+with crc as (select doc_id, xor(4294967295, list_reduce([cast(ord(c) as bigint) for c in string_split(cast(doc_id as varchar), '')],
+  lambda a, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), cast(4294967295 as bigint))) as crc
+  from (select distinct doc_id from documents where doc_id is not null)),
+a0 as (select coalesce('1' || lang, '0') as tree, row_number() over (partition by lang order by doc_id) - 1 as pos, count(*) over (partition by lang) as n,
+  {row("text")} as node, case when crc % 3 = 0 then {row(_LOWER.format("text"))} end as altered, doc_id
+  from documents left join crc using (doc_id)), {",".join(parts)},
+{", ".join(steps)}
+select doc_id, leaf, subroot, root, proof_sha256, folded as folded_root, folded = root as verified from f{len(folds)}
+"""
+
+
+_CONTROL = r"\[\\*(/?(INST|SYS|ROLE)|OUT)\]|<\\*/?s>"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -181,4 +261,27 @@ r as (select query_id, cast(row_number() over (partition by query_id order by sc
 select * from r where rank <= 10
 """,
     "op10_mixing": _mix_sql(),
+    "op11_chat_format": rf"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{CONFLICT}' union all select -7, 1, 'assistant', '{CONFLICT}'),
+m as (select *, length(text) + 2 + len(regexp_extract_all(text, '{_CONTROL}'))
+  + case role when 'system' then 11 when 'user' then 13 when 'assistant' then 9 else 17 + length(role) + len(regexp_extract_all(role, '{_CONTROL}')) end as chars from c)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(3 + sum(chars) as bigint) as formatted_chars
+from m group by conv_id
+""",
+    "op12_hard_negatives": """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings where embedding is not null and vec_id is not null and label is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select a.vec_id as anchor_id, a.label as own, c.vec_id, c.label, cast(list_sum([p[1] * p[2] for p in list_zip(a.v, c.v)]) as bigint) as score
+  from e a join e c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id and len(a.v) = len(c.v)),
+p as (select * from s where own = label qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id as positive_id, cast(row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) as int) as rank,
+  n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from p join s n on n.anchor_id = p.anchor_id and n.label <> n.own and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify rank <= 10
+""",
+    "op13_merkle_manifest": _merkle_sql(),
 }

@@ -18,7 +18,7 @@ import __spark_entry__ as entry
 from tabmill.llm import registry, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-NAMES = ("op2_substring_dedup", "op3_near_dedup", "op4_license_scan", "op8_exact_top_k", "op10_mixing")
+NAMES = ("op2_substring_dedup", "op3_near_dedup", "op4_license_scan", "op8_exact_top_k", "op10_mixing", "op11_chat_format", "op12_hard_negatives", "op13_merkle_manifest")
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, sf, con, name):
 def test_registration():
     ours = set(registry.QUERIES) | {"pipeline"}
     assert ours <= set(entry.queries()) and set(registry.ORACLE) == set(NAMES)
-    assert sorted(int(n.split("_")[0][2:]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in registry.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, sf):
