@@ -61,7 +61,7 @@ def r_prev_published(spark, sf_dir):
 
 
 def r_upsert_tags(spark, sf_dir):
-    return runlog.current_tags(derived.event_entries(spark, sf_dir))
+    return runlog.current_tags(derived.event_entries(spark, sf_dir)).drop("written_at")
 
 
 def r_tagged_best(spark, sf_dir):

@@ -12,10 +12,13 @@ from tabmill.operators.split import split, split_sizes
 from tabmill.schema import COMMODITY_FLOW, SAMPLE, SAMPLE_TRANSFORMER
 
 
+TEN = [(f"n{i}", "ba"[i in (1, 4, 6, 7, 9)], 12.0 + 0.5 * i * i, 3.0 - i / 7) for i in range(10)]
+WEIGHTS = [r[2] for r in TEN]
+
+
 @pytest.fixture()
 def ten(spark):
-    rows = [(f"n{i}", "ba"[i in (1, 4, 6, 7, 9)], 12.0 + 0.5 * i * i, 3.0 - i / 7) for i in range(10)]
-    return spark.createDataFrame(rows, "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double, COLUMN_TARGET double")
+    return spark.createDataFrame(TEN, "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double, COLUMN_TARGET double")
 
 
 def step(kind, *columns, condition="replace"):
@@ -61,7 +64,7 @@ def test_hash_split_is_stable_disjoint_and_complete(spark):
 
 def test_log(ten):
     out = run(ten, [step("log_transformation", "column_numerical")])
-    assert {r["COLUMN_ID"]: r["COLUMN_NUMERICAL"] for r in out.collect()} == {str(i): math.log(10 + i) for i in range(10)}
+    assert {r["COLUMN_ID"]: r["COLUMN_NUMERICAL"] for r in out.collect()} == {f"n{i}": math.log(12 + i * i / 2) for i in range(10)}
 
 
 def test_log_edges(spark):
@@ -71,13 +74,14 @@ def test_log_edges(spark):
 
 
 def test_minmax_of_the_train_minimum_is_zero_and_nothing_is_clipped(ten):
-    staged = ten.withColumn("stage", F.when(F.col("COLUMN_ID").isin("3", "4", "5"), "train").otherwise("test"))
+    staged = ten.withColumn("stage", F.when(F.col("COLUMN_ID").isin("n3", "n4", "n5"), "train").otherwise("test"))
     out = {r["COLUMN_ID"]: r["COLUMN_NUMERICAL"] for r in run(staged, [step("min_max_transformation", "column_numerical")]).collect()}
-    assert out["3"] == 0.0 and out["5"] == 1.0 and out["9"] == 3.0 and out["0"] == -1.5
+    # 16.5 to 24.5 are the train values
+    assert out["n3"] == 0.0 and out["n5"] == 1.0 and out["n9"] == 4.5 and out["n0"] == -0.5625
 
 
 def test_fit_does_not_see_held_out_rows(ten):
-    staged = ten.withColumn("stage", F.when(F.col("COLUMN_ID") < "5", "train").otherwise("test"))
+    staged = ten.withColumn("stage", F.when(F.col("COLUMN_ID") < "n5", "train").otherwise("test"))
     changed = staged.withColumn("COLUMN_NUMERICAL", F.when(F.col("stage") == "test", F.lit(1e9)).otherwise(F.col("COLUMN_NUMERICAL")))
     specs = [step("standardization", "column_numerical"), step("one_hot_encoding", "column_categorical")]
     a, b = (transform.fit(d, specs, SAMPLE_TRANSFORMER) for d in (staged, changed))
@@ -96,13 +100,13 @@ def test_standardize_uses_the_population_deviation(ten):
 
 
 def test_nan_is_skipped_by_the_fit_and_kept(ten):
-    holed = ten.withColumn("COLUMN_NUMERICAL", F.when(F.col("COLUMN_ID") == "9", F.lit(float("nan"))).otherwise(F.col("COLUMN_NUMERICAL")))
+    holed = ten.withColumn("COLUMN_NUMERICAL", F.when(F.col("COLUMN_ID") == "n9", F.lit(float("nan"))).otherwise(F.col("COLUMN_NUMERICAL")))
     out = {r["COLUMN_ID"]: r["COLUMN_NUMERICAL"] for r in run(holed, [step("min_max_transformation", "column_numerical")]).collect()}
-    assert out["8"] == 1.0 and math.isnan(out["9"])
+    assert out["n8"] == 1.0 and math.isnan(out["n9"])
 
 
 def test_infinite_train_values_raise(ten):
-    zero = ten.withColumn("COLUMN_NUMERICAL", F.col("COLUMN_NUMERICAL") - 10)
+    zero = ten.withColumn("COLUMN_NUMERICAL", F.col("COLUMN_NUMERICAL") - 12)
     with pytest.raises(ValueError, match="infinite"):
         transform.fit(zero, [step("log_transformation", "column_numerical"), step("standardization", "column_numerical")], SAMPLE_TRANSFORMER)
 
@@ -111,7 +115,7 @@ def test_one_hot(ten):
     out = run(split(ten, SAMPLE_TRANSFORMER, exact=True), [step("one_hot_encoding", "column_categorical")])
     assert out.columns == ["COLUMN_ID", "COLUMN_NUMERICAL", "COLUMN_TARGET", "stage", "COLUMN_CATEGORICAL_a", "COLUMN_CATEGORICAL_b"]
     rows = {r["COLUMN_ID"]: (r["COLUMN_CATEGORICAL_a"], r["COLUMN_CATEGORICAL_b"]) for r in out.collect()}
-    assert rows["0"] == (1, 0) and rows["1"] == (0, 1)
+    assert rows["n0"] == (0, 1) and rows["n1"] == (1, 0)
     assert all(sum(v) == 1 for v in rows.values())
 
 
@@ -167,15 +171,15 @@ def test_raw_and_chained_fit_differ(ten):
     specs = [step("log_transformation", "column_numerical"), step("standardization", "column_numerical")]
     raw = transform.fit(ten, specs, SAMPLE_TRANSFORMER, fit_mode="raw")[1].params
     chained = transform.fit(ten, specs, SAMPLE_TRANSFORMER)[1].params
-    assert raw["mean"] == pytest.approx(14.5)
-    assert chained["mean"] == pytest.approx(sum(math.log(10 + i) for i in range(10)) / 10)
+    assert raw["mean"] == pytest.approx(sum(WEIGHTS) / 10)
+    assert chained["mean"] == pytest.approx(sum(map(math.log, WEIGHTS)) / 10)
 
 
 def test_target_round_trip(ten):
     specs = [step("log_transformation", "column_target"), step("standardization", "column_target"), step("min_max_transformation", "column_target")]
     fitted = transform.fit(ten, specs, SAMPLE_TRANSFORMER)
     out = transform.apply_steps(ten, fitted).withColumn("back", transform.invert_target(F.col("COLUMN_TARGET"), fitted))
-    assert {r["COLUMN_ID"]: r["back"] for r in out.collect()} == pytest.approx({str(i): 1.0 + i / 10 for i in range(10)})
+    assert {r["COLUMN_ID"]: r["back"] for r in out.collect()} == pytest.approx({r[0]: r[3] for r in TEN})
 
 
 def test_replay_from_the_table(spark, ten, tmp_path):
@@ -197,8 +201,8 @@ def test_custom_pair(ten):
     transform.register_pair(transform.FunctionPair("one_way", lambda x: x * 0))
     fitted = transform.fit(ten, [step("shift", "column_target")], SAMPLE_TRANSFORMER)
     out = transform.apply_steps(ten, fitted).withColumn("back", transform.invert_target(F.col("COLUMN_TARGET"), fitted))
-    assert [r["COLUMN_TARGET"] for r in out.orderBy("COLUMN_ID").collect()][0] == 2.0
-    assert [r["back"] for r in out.orderBy("COLUMN_ID").collect()][0] == 1.0
+    assert [r["COLUMN_TARGET"] for r in out.orderBy("COLUMN_ID").collect()][0] == 4.0
+    assert [r["back"] for r in out.orderBy("COLUMN_ID").collect()][0] == 3.0
     with pytest.raises(ValueError):
         transform.parse_steps([step("one_way", "column_target")], SAMPLE_TRANSFORMER)
 
