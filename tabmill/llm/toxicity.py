@@ -1,34 +1,46 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling, written and trained in numpy.
 
-A word's input is made of its own embedding, the mean embedding of its character n-grams, and how much more often the word
-and its n-grams occur in texts labelled 1. The network reads overlapping windows of words; a text's score is that of its
-highest window, calibrated on the labels. It is trained on a bounded sample of labelled texts (`SAMPLE` of either label,
-chosen by a hash): every round picks the windows that score highest, so clean texts give the hard windows.
+A word (ASCII signs around it left away) has as input its own embedding, the mean embedding of its character n-grams, and
+how much more often the word and its n-grams of each size occur in texts labelled 1. The network reads windows of words
+that overlap by half; a text's score is that of its highest window, calibrated on the labels.
+
+It is trained in one task on a sample of labelled texts chosen by a hash and bounded in number (`SAMPLE` of either label)
+and in bytes (`SAMPLE_BYTES`). The sample is cut into folds: a text's word and n-gram rates come from the other folds, since
+its own would give its label away; one fold is not trained on, but decides when to stop and calibrates the scores. Every
+round picks the windows that score highest, so clean texts give the hard windows.
 
 Scoring is a scan. Inputs are computed once per different word of a slice of text; all windows of a slice run in blocks.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import Words, mix, slices
 
-SAMPLE = 1000  # labelled texts of either label that are learned from
-WINDOW, STRIDE = 48, 40
+SAMPLE = 2000  # labelled texts of either label that are learned from
+SAMPLE_BYTES = 8 << 20  # of either label; a text with which the sample would be larger is not learned from
+WINDOW, STRIDE = 48, 24
 HIDDEN = 8
 EMBED = 8
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 15
-GRAMS = (4,)
-ROUNDS, EPOCHS, BATCH = 2, 3, 128
+GRAMS = (4, 6, 8, 10)  # bytes, marks at the ends of a word included
+ODDS = 2 + len(GRAMS)  # inputs that are rates of words and n-grams
+FOLDS = 5
+ROUNDS, EPOCHS, BATCH = 3, 2, 128
 BLOCK = 2048
 RATE = 0.01
 GATE = 0.25  # slope of the gates
 
 
+_SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -39,21 +51,30 @@ class Inputs:
     def __init__(self, column: pa.Array):
         words = Words(column, lower=True)
         self.count, self.first = words.count, words.first
-        some, at, self.word = np.unique(words.hash, return_index=True, return_inverse=True)
-        self.row = (some % np.uint64(WORD_ROWS)).astype(np.int64)
-        start, length = words.start[at], words.end[at] - words.start[at]
-        # each word with marks around it, so that n-grams know its ends and there is always one
-        wide = length + 3
+        _, at, self.word = np.unique(words.hash, return_index=True, return_inverse=True)
+        start, end = words.start[at], words.end[at]
+        signs = _SIGNS[words.data]
+        plain = np.r_[0, np.cumsum(~signs)]  # bytes that are no signs
+        bare = plain[end] > plain[start]
+        after = np.flatnonzero(~signs)
+        if len(after):  # from the first to the last byte that is no sign
+            start[bare], end[bare] = after[plain[start[bare]]], after[plain[end[bare]] - 1] + 1
+        length = end - start
+        # each word with marks around it, so that n-grams know its ends and there is always one of each size
+        wide = np.maximum(length + 3, max(GRAMS))
         ends = np.cumsum(wide)
         begin = ends - wide
         inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(begin, wide)
         letters = np.zeros(len(inside), np.uint64)
         real = (inside > 1) & (inside <= np.repeat(length, wide) + 1)
         letters[real] = words.data[(np.repeat(start, wide) + inside - 2)[real]]
+        whole = mix(letters + (inside.astype(np.uint64) << np.uint64(8)))
+        whole = np.add.reduceat(whole, begin) if len(wide) else whole
+        self.row = (mix(whole) % np.uint64(WORD_ROWS)).astype(np.int64)
         left = np.repeat(ends, wide) - np.arange(len(inside))
         owner = np.repeat(np.arange(len(wide)), wide)
-        rows, owners = [], []
-        for size in GRAMS:
+        rows, owners, kinds = [], [], []
+        for kind, size in enumerate(GRAMS):
             n = max(len(letters) - size + 1, 0)
             code = np.full(n, size, np.uint64)
             for j in range(size):
@@ -61,10 +82,12 @@ class Inputs:
             good = left[:n] >= size
             rows.append((mix(code[good]) % np.uint64(GRAM_ROWS)).astype(np.int64))
             owners.append(owner[:n][good])
-        rows, owners = np.concatenate(rows), np.concatenate(owners)
-        order = np.argsort(owners, kind="stable")
+            kinds.append(np.full(len(owners[-1]), kind))
+        rows, owners, kinds = np.concatenate(rows), np.concatenate(owners), np.concatenate(kinds)
+        order = np.lexsort((kinds, owners))
         self.gram = rows[order]
         self.gram_first = np.searchsorted(owners[order], np.arange(len(wide) + 1))
+        self.sizes = np.bincount(owners * len(GRAMS) + kinds, minlength=len(wide) * len(GRAMS)).reshape(-1, len(GRAMS))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Words (by number, -1 behind the end) of every window, and the text of each; an empty text has one empty window."""
@@ -78,14 +101,18 @@ class Inputs:
         return np.where(behind, -1, self.word[np.minimum(index, len(self.word) - 1)]), text
 
 
-def _log_odds(rows: np.ndarray, texts: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+def _seen(rows: np.ndarray, texts: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+    """In how many texts of either label (0, 1) each row of a table occurs."""
+    pairs = np.unique(rows * max(len(labels), 1) + texts)
+    row, label = pairs // max(len(labels), 1), labels[pairs % max(len(labels), 1)]
+    return np.stack([np.bincount(row[label == k], minlength=size) for k in (0, 1)])
+
+
+def _log_odds(seen: np.ndarray, ones: int, zeros: int) -> np.ndarray:
     """How much likelier a table row is in texts labelled 1, drawn to 0 for rows seen in few texts."""
-    pairs = np.unique(rows * len(labels) + texts)
-    row, label = pairs // len(labels), labels[pairs % len(labels)]
-    ones, zeros = np.bincount(row, label, size), np.bincount(row, 1 - label, size)
-    share = (ones + 1) / (labels.sum() + 2), (zeros + 1) / ((1 - labels).sum() + 2)
-    seen = ones + zeros
-    return (np.clip(np.log(share[0] / share[1]), -3, 3) * seen / (seen + 4)).astype(np.float32)
+    share = (seen[1] + 1) / (ones + 2), (seen[0] + 1) / (zeros + 2)
+    both = seen.sum(0)
+    return (np.clip(np.log(share[0] / share[1]), -3, 3) * both / (both + 4)).astype(np.float32)
 
 
 class Network:
@@ -97,7 +124,7 @@ class Network:
         h = HIDDEN
         self.w = {
             "words": draw(WORD_ROWS, EMBED, scale=0.02), "grams": draw(GRAM_ROWS, EMBED, scale=0.02),
-            "inf": draw(2 * EMBED + 3, 3 * h, scale=0.4), "inb": draw(2 * EMBED + 3, 3 * h, scale=0.4),
+            "inf": draw(2 * EMBED + ODDS, 3 * h, scale=0.4), "inb": draw(2 * EMBED + ODDS, 3 * h, scale=0.4),
             "bf": np.zeros(3 * h, np.float32), "bb": np.zeros(3 * h, np.float32),
             "uf": draw(h, 3 * h, scale=0.3), "ub": draw(h, 3 * h, scale=0.3),
             "att": draw(2 * h, scale=0.3), "out": draw(2 * h, scale=0.3), "bias": np.zeros(1, np.float32),
@@ -108,21 +135,22 @@ class Network:
     def features(self, inputs: Inputs, chosen: np.ndarray | None = None):
         """Inputs of the different words, or of some of them, and the n-gram rows behind them."""
         if chosen is None:
-            row, gram, first = inputs.row, inputs.gram, inputs.gram_first
+            row, gram, first, sizes = inputs.row, inputs.gram, inputs.gram_first, inputs.sizes
         else:
-            row, size = inputs.row[chosen], np.diff(inputs.gram_first)[chosen]
+            row, size, sizes = inputs.row[chosen], np.diff(inputs.gram_first)[chosen], inputs.sizes[chosen]
             first = np.concatenate([[0], np.cumsum(size)])
             gram = inputs.gram[np.arange(first[-1]) - np.repeat(first[:-1] - inputs.gram_first[chosen], size)]
-        x = np.zeros((len(row), 2 * EMBED + 3), np.float32)
+        x = np.zeros((len(row), 2 * EMBED + ODDS), np.float32)
         if len(row):
             size = np.diff(first)[:, None]
             x[:, :EMBED] = self.w["words"][row]
             for a in range(0, len(row), 1 << 14):  # bounded memory
                 b = min(a + (1 << 14), len(row))
-                x[a:b, EMBED:-3] = np.add.reduceat(self.w["grams"][gram[first[a] : first[b]]], first[a:b] - first[a], axis=0) / size[a:b]
+                x[a:b, EMBED:-ODDS] = np.add.reduceat(self.w["grams"][gram[first[a] : first[b]]], first[a:b] - first[a], axis=0) / size[a:b]
             odds = self.gram_odds[gram]
-            x[:, -3] = self.word_odds[row]
-            x[:, -2] = np.maximum.reduceat(odds, first[:-1])
+            x[:, -ODDS] = self.word_odds[row]
+            kinds = np.cumsum(sizes.ravel()) - sizes.ravel()
+            x[:, 1 - ODDS : -1] = np.maximum.reduceat(odds, kinds).reshape(-1, len(GRAMS))
             x[:, -1] = np.add.reduceat(odds, first[:-1]) / size[:, 0]
         return x, row, gram, first
 
@@ -212,7 +240,7 @@ class Network:
             d_x[:-1] += fed @ self.w[w].T
         d_x = d_x[:-1]
         size = np.diff(first)
-        for k, at, d in (("words", row, d_x[:, :EMBED]), ("grams", gram, np.repeat(d_x[:, EMBED:-3] / size[:, None], size, axis=0))):
+        for k, at, d in (("words", row, d_x[:, :EMBED]), ("grams", gram, np.repeat(d_x[:, EMBED:-ODDS] / size[:, None], size, axis=0))):
             rows, back = np.unique(at, return_inverse=True)  # of the tables only the rows that occur
             order = np.argsort(back, kind="stable")
             g[k] = (rows, np.add.reduceat(d[order], np.searchsorted(back[order], np.arange(len(rows)))) if len(rows) else d)
@@ -234,47 +262,97 @@ class Network:
         return _sigmoid(self.slope * highest.astype(np.float64) + self.shift)
 
 
+class _Part:
+    """The texts of one fold with their windows, and the rates of words and n-grams in the other folds."""
+
+    def __init__(self, texts: list, labels: np.ndarray):
+        self.y = labels
+        self.inputs = inputs = Inputs(pa.array(texts, pa.string()))
+        self.windows, self.text = inputs.windows()
+        owner = np.repeat(np.arange(len(labels)), inputs.count)
+        seen = np.unique(inputs.word * len(labels) + owner) if len(labels) else owner
+        word, text = seen // max(len(labels), 1), seen % max(len(labels), 1)
+        size = np.diff(inputs.gram_first)[word]
+        grams = inputs.gram[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - inputs.gram_first[word], size)]
+        self.counts = _seen(inputs.row[word], text, labels, WORD_ROWS), _seen(grams, np.repeat(text, size), labels, GRAM_ROWS)
+        self.odds: tuple = ()
+
+    def highest(self, logit: np.ndarray) -> np.ndarray:
+        return np.maximum.reduceat(logit, np.searchsorted(self.text, np.arange(len(self.y)))).astype(np.float64)
+
+
 def train(texts: list, labels: list, share: float, seed: int = 11) -> Network:
-    """A network for texts labelled 0 and 1; `share` is that of label 1 among all labelled texts."""
+    """A network for texts labelled 0 and 1, in an order that does not matter to the labels.
+
+    `share` is that of label 1 among all labelled texts.
+    """
     net = Network(seed)
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.int64)
-    inputs = Inputs(pa.array(texts, pa.string()))
-    owner = np.repeat(np.arange(len(y)), inputs.count)
-    net.word_odds = _log_odds(inputs.row[inputs.word], owner, y, WORD_ROWS)
-    seen = np.unique(inputs.word * len(y) + owner)
-    word, text = seen // len(y), seen % len(y)
-    size = np.diff(inputs.gram_first)[word]
-    grams = inputs.gram[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - inputs.gram_first[word], size)]
-    net.gram_odds = _log_odds(grams, np.repeat(text, size), y, GRAM_ROWS)
-    windows, text = inputs.windows()
-    x = net.features(inputs)[0]
-    strength = np.vstack([x[:, -3:-1], np.full((1, 2), -9, np.float32)]).sum(1)
-    rank = strength[windows].max(1)  # the first round goes by the strongest word
+    fold = np.zeros(len(y), np.int64)
+    for label in (0, 1):  # both labels in all folds
+        fold[y == label] = np.arange((y == label).sum()) % FOLDS
+    parts = [_Part([texts[i] for i in np.flatnonzero(fold == f)], y[fold == f]) for f in range(FOLDS) if (fold == f).any()]
+    totals = [sum(p.counts[k] for p in parts) for k in (0, 1)]
+    ones = sum(p.y.sum() for p in parts)
+    for p in parts:
+        p.odds = tuple(_log_odds(total - own, ones - p.y.sum(), len(y) - len(p.y) - ones + p.y.sum()) for total, own in zip(totals, p.counts))
+    last, used = parts[0], parts[1:] or parts
+
+    def seen_with(p: _Part) -> None:
+        net.word_odds, net.gram_odds = p.odds
+
+    ranks = []
+    for p in used:
+        seen_with(p)
+        x = net.features(p.inputs)[0][:, -ODDS:]
+        strength = np.r_[x.sum(1), np.float32(-99)]
+        ranks.append(strength[p.windows].max(1))  # the first round goes by the strongest word
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
-    step = 0
-    hard: np.ndarray = np.zeros(0, np.int64)
+    step, best = 0, (np.inf, {}, (1.0, 0.0))
+    hard: list[np.ndarray] = [np.zeros(0, np.int64) for _ in used]
     for _ in range(ROUNDS):
-        order = np.lexsort((-rank, text))
-        top = order[np.searchsorted(text[order], np.arange(len(y)))]
-        clean = np.flatnonzero(y[text] == 0)
-        some = rng.choice(clean, min(len(clean), len(y)), replace=False)
-        hard = np.unique(np.concatenate([hard, top[y == 0]]))
-        chosen = np.concatenate([top[y == 1], hard, some])
-        target = y[text[chosen]].astype(np.float32)
-        importance = np.where(target == 1, len(target) / (2 * max(target.sum(), 1)), len(target) / (2 * max((1 - target).sum(), 1)))
+        chosen, targets = [], []
+        for i, (p, rank) in enumerate(zip(used, ranks)):
+            order = np.lexsort((-rank, p.text))
+            top = order[np.searchsorted(p.text[order], np.arange(len(p.y)))]
+            clean = np.flatnonzero(p.y[p.text] == 0)
+            some = rng.choice(clean, min(len(clean), len(p.y)), replace=False)
+            hard[i] = np.unique(np.concatenate([hard[i], top[p.y == 0]]))
+            chosen.append(np.concatenate([top[p.y == 1], hard[i], some]))
+            targets.append(p.y[p.text[chosen[-1]]].astype(np.float32))
+        toxic = max(sum(t.sum() for t in targets), 1)
+        total = sum(map(len, targets))
         for _ in range(EPOCHS):
-            for part in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
+            batches = [(i, b) for i, c in enumerate(chosen) for b in np.array_split(rng.permutation(len(c)), max(1, len(c) // BATCH))]
+            for at in rng.permutation(len(batches)).tolist():
+                i, part = batches[at]
+                if not len(part):
+                    continue
+                target = targets[i][part]
+                importance = np.where(target == 1, total / (2 * toxic), total / (2 * max(total - toxic, 1)))
                 step += 1
-                for k, d in net.gradients(inputs, windows[chosen[part]], target[part], importance[part]).items():
-                    at, d = d if isinstance(d, tuple) else (slice(None), d)
+                seen_with(used[i])
+                for k, d in net.gradients(used[i].inputs, used[i].windows[chosen[i][part]], target, importance).items():
+                    rows, d = d if isinstance(d, tuple) else (slice(None), d)
                     m, v = moments[k]
-                    m[at] += 0.1 * (d - m[at])
-                    v[at] += 0.01 * (d * d - v[at])
-                    net.w[k][at] -= RATE * (m[at] / (1 - 0.9**step)) / (np.sqrt(v[at] / (1 - 0.99**step)) + 1e-8)
-        rank = net.logits(inputs)[0]
-    highest = np.maximum.reduceat(rank, np.searchsorted(text, np.arange(len(y)))).astype(np.float64)
-    net.slope, net.shift = _calibrated(highest, y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
+                    m[rows] += 0.1 * (d - m[rows])
+                    v[rows] += 0.01 * (d * d - v[rows])
+                    net.w[k][rows] -= RATE * (m[rows] / (1 - 0.9**step)) / (np.sqrt(v[rows] / (1 - 0.99**step)) + 1e-8)
+            seen_with(last)
+            highest = last.highest(net.logits(last.inputs)[0])
+            weight = np.where(last.y == 1, share / max(last.y.mean(), 1e-9), (1 - share) / max(1 - last.y.mean(), 1e-9))
+            slope, shift = _calibrated(highest, last.y, weight)
+            z = slope * highest + shift
+            loss = float((weight * np.logaddexp(0, np.where(last.y == 1, -z, z))).mean())
+            if loss < best[0]:
+                best = loss, {k: v.copy() for k, v in net.w.items()}, (slope, shift)
+        ranks = []
+        for p in used:
+            seen_with(p)
+            ranks.append(net.logits(p.inputs)[0])
+    net.w, (net.slope, net.shift) = best[1], best[2]
+    net.word_odds, net.gram_odds = (_log_odds(t, ones, len(y) - ones) for t in totals)
     return net
 
 
@@ -295,27 +373,38 @@ def held_out(doc_id: Column, fold: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % fold == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | float:
-    """A network from at most `sample` labelled texts of either label outside the held-out fold.
+def _trained(share: float):
+    def run(sample: pa.Table) -> pa.Table:
+        sample = sample.sort_by([("toxic", "ascending"), ("key", "ascending"), ("doc_id", "ascending")])
+        labels = sample.column("toxic").to_pylist()
+        net = train(sample.column("text").to_pylist(), labels, share) if len(set(labels)) == 2 else float(labels[0])
+        return pa.table({"model": pa.array([pickle.dumps(net)], pa.binary())})
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Network | float:
+    """A network from labelled texts outside the held-out fold: of either label at most `sample`, in the order of a hash, and
+    no more than `sample_bytes` of UTF-8 in all.
 
-    Null labels, labels of unknown documents and repeated rows do no harm. Unless both labels occur, the share of label 1
-    is returned instead (0 without labels).
+    It is trained by one task; only the network, of a fixed size, comes to the driver. Null labels, labels of unknown
+    documents and repeated rows do no harm. Unless both labels occur, the share of label 1 is returned instead (0 without
+    labels).
     """
-    marks = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.where(~held_out(F.col("doc_id")))
     counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return 1.0 if 1 in counts else 0.0
-    texts, found = [], []
-    for label in (0, 1):
-        order = F.md5(F.concat(F.lit("sample-"), F.col("doc_id").cast("string")))
-        chosen = marks.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(sample).select("doc_id")
-        rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
-        texts += [r["text"] for r in sorted(rows, key=lambda r: r["doc_id"])]
-        found += [label] * len(rows)
-    if len(set(found)) < 2:
-        return float(found[0]) if found else 0.0
-    return train(texts, found, counts[1] / (counts[0] + counts[1]))
+    keyed = marks.withColumn("key", F.md5(F.concat(F.lit("sample-"), F.col("doc_id").cast("string"))))
+    zeros, ones = (keyed.where(F.col("toxic") == label).orderBy("key", "doc_id").limit(sample) for label in (0, 1))
+    # at most `sample` rows of either label
+    rows = docs.select("doc_id", "text").join(F.broadcast(zeros.union(ones)), "doc_id").groupBy("doc_id", "toxic", "key").agg(F.min("text").alias("text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    upto = F.sum(size.cast("bigint")).over(Window.partitionBy("toxic").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    taken = rows.where(size <= sample_bytes).withColumn("upto", upto).where(F.col("upto") <= sample_bytes).withColumn("upto", F.lit(0))
+    found = taken.groupBy("upto").applyInArrow(_trained(counts[1] / (counts[0] + counts[1])), "model binary").first()
+    return pickle.loads(found["model"]) if found else 0.0
 
 
 def _scored(model, keep: list[str]):

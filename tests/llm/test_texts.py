@@ -198,3 +198,30 @@ def test_every_short_license_line_of_the_documents(spark):
     want = {r["doc_id"] for r in docs.where("text rlike '(?i)(^|[^\\\\p{L}\\\\p{N}])all[^\\\\p{L}\\\\p{N}]+rights[^\\\\p{L}\\\\p{N}]+reserved($|[^\\\\p{L}\\\\p{N}])'").collect()}
     found = licenses.scan(docs, licenses.builtin_templates(spark, short=True)).where("template_id = 'rights-reserved-short'")
     assert len(want) == 66 and {r["doc_id"] for r in found.collect()} == want
+
+
+def test_toxic_words_are_found_at_every_place_and_next_to_signs():
+    rng = np.random.default_rng(6)
+    plain = [f"w{i}" for i in range(400)]
+    texts, labels = [], []
+    for i in range(600):
+        words = rng.choice(plain, 60).tolist()
+        if i % 3 == 0:
+            words[rng.integers(0, 60)] = ["vileness", "##vileword", "vilely!!", "VILEST,"][i % 4]
+        texts.append(" ".join(words))
+        labels.append(int(i % 3 == 0))
+    net = toxicity.train(texts, labels, 1 / 3)
+    clean = rng.choice(plain, 150).tolist()
+    placed = [" ".join([*clean[:i], "***vileness...", *clean[i:]]) for i in range(150)]
+    assert (net.scores(pa.array(placed)) >= 0.5).all() and net.scores(pa.array([" ".join(clean)]))[0] < 0.5
+    # an own text's rates come from other folds, so a word of one text says nothing
+    assert all(p >= 0 for p in net.scores(pa.array([None, "", "   ", "!!! ###", "x" * 100_000])))
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, ("bad " if i % 2 else "good ") * (5 if i else 50_000)) for i in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, sample_bytes=2_000)
+    scores = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert all((s >= 0.5) == (i % 2 == 1) for i, s in scores.items())
+    assert toxicity.fit(docs, labels, sample_bytes=1) == 0.0
