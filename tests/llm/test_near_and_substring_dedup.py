@@ -86,6 +86,37 @@ def test_near_copies_of_odd_rows(spark):
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("short", [16, 1])
+def test_documents_of_several_texts_equal_brute_force(spark, monkeypatch, short):
+    """A document is linked by any of its texts."""
+    monkeypatch.setattr(near_dedup, "SHORT", short)
+    monkeypatch.setattr(near_dedup, "SHARD", 10)
+    rng = random.Random(4)
+    rows = [(i if rng.random() < 0.6 else rng.randrange(40), t) for i, t in corpus(11)]
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows += [(900, a), (900, b), (901, a + " tail"), (902, b + " tail"), (903, b + " c " + a), (904, a), (904, "alone in this text")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, near_dedup.near_duplicates(df).collect()))
+    alone = list(enumerate(t for _, t in rows))
+    top = {i: i for i, _ in rows}
+    changed = True
+    while changed:  # join documents by the components of their texts
+        changed = False
+        for (j, _, c, _), (i, _) in zip(brute_components(alone, 5), rows):
+            low = min(top[i], top[rows[c][0]])
+            changed |= (top[i], top[rows[c][0]]) != (low, low)
+            top[i] = top[rows[c][0]] = low
+    want = sorted((i, n, top[i], top[i] == i) for (_, n, _, _), (i, _) in zip(brute_components(alone, 5), rows))
+    assert got == want and top[901] == top[902] == 900
+
+
+def test_settings_that_the_filters_do_not_fit(spark):
+    df = spark.createDataFrame(corpus(), "doc_id bigint, text string")
+    for wrong in ({"threshold": 79}, {"threshold": 101}, {"k": 20}):
+        with pytest.raises(ValueError):
+            near_dedup.near_duplicates(df, **wrong)
+
+
 @pytest.mark.parametrize("size", [13, 4])
 def test_removed_words_equal_brute_force(spark, monkeypatch, size):
     monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 3000)
