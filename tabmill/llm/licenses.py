@@ -40,7 +40,7 @@ TEMPLATES = {
     "rights-reserved": "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher",
 }
 
-# Notices below five words. The SQL of op4_license_scan has no shingles for them, so that query does not ask for them.
+# Notices below five words, which are looked for as text.
 SHORT_TEMPLATES = {"rights-reserved-short": "All rights reserved."}
 
 

@@ -198,5 +198,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     )
     placed = first.select("item", name.alias("sequence"), "offset").join(again, "sequence", "left")
     placed = placed.select("item", F.coalesce("into", "sequence").alias("sequence"), (F.col("offset") + F.coalesce("more", F.lit(0))).alias("offset"))
-    number = F.xxhash64("sequence").alias("sequence_id")
+    # numbers of their own for full pieces, and for the bins of either round by shard and bin
+    at = lambda i: F.split_part("sequence", F.lit("-"), F.lit(i)).cast("bigint")
+    kind = F.when(F.col("sequence").startswith("b"), 0).otherwise(1)
+    number = F.when(F.col("sequence").startswith("f"), at(2) * 4 + 2).otherwise((at(2) * 2**31 + at(3)) * 4 + kind).cast("bigint").alias("sequence_id")
     return keyed.join(placed.union(full), "item").select(*pieces.columns, number, "offset")

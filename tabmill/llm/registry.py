@@ -36,7 +36,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.builtin_templates(spark))
+    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.builtin_templates(spark, short=True))
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +61,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(_table(spark, sf_dir, "documents"))
 
 
-# Every source belongs to one of three made-up domains; some nodes of the tree weigh more than others.
+# Every source belongs to a made-up domain; some nodes of each level of the tree weigh more than others.
 DOMAIN = "concat('d', cast(coalesce(length(source), 0) % 3 as string))"
-MIX_WEIGHTS = {("d0",): 3, ("d1",): 2, ("d0", "en"): 5, ("d1", "de"): 4, ("d0", "en", "src0"): 2}
+MIX_WEIGHTS = {("d1",): 3, ("d2",): 2, ("d1", "en"): 5, ("d2", "de"): 4, ("d1", "en", "src0"): 2, ("d2", "en", "src10"): 3}
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 17
 
 
@@ -240,7 +240,7 @@ select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(d.doc_id,
 from d left join n using (doc_id) left join low using (doc_id)
 """,
     "op4_license_scan": rf"""
-with t as (select * from (values {", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())}) v(template_id, text)),
+with t as (select * from (values {", ".join(f"('{k}', '{v}')" for k, v in (licenses.TEMPLATES | licenses.SHORT_TEMPLATES).items())}) v(template_id, text)),
 tw as (select template_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') as w from t),
 ts as (select distinct template_id, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select *, unnest(range(1, len(w) - 3)) as i from tw)),
 tn as (select template_id, greatest(len(w) // 4, 1) as every, len(w) - 5 + greatest(len(w) // 4, 1) as width,
@@ -249,8 +249,10 @@ d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{
 s as (select doc_id, i - 1 as pos, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select *, unnest(range(1, len(w) - 3)) as i from d)),
 hit as (select doc_id, template_id, pos, g, every, width, size from s join ts using (g) join tn using (template_id)),
 win as (select *, unnest(range(greatest(0, cast(ceil((pos - width + 1) / every) as bigint)), pos // every + 1)) * every as start from hit),
-met as (select doc_id, template_id, start, size, count(distinct g) as n from win where start + width > pos group by all having 100 * count(distinct g) >= 80 * size)
-select doc_id, template_id, max(n / size) as containment, cast(min(start) as bigint) as first_word, count(*) as n_windows from met group by all
+met as (select doc_id, template_id, start, size, count(distinct g) as n from win where start + width > pos group by all having 100 * count(distinct g) >= 80 * size),
+line as (select doc_id, i - 1 as pos, list_slice(w, i, i + n - 1) as g, n from (select *, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct len(w) as n from tw where len(w) < 5))),
+few as (select doc_id, template_id, pos as start, 1 as size, 1 as n from line join tw on line.n = len(tw.w) and line.g = tw.w)
+select doc_id, template_id, max(n / size) as containment, cast(min(start) as bigint) as first_word, count(*) as n_windows from (from met union all from few) group by all
 """,
     "op8_exact_top_k": """
 with e as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as v from embeddings

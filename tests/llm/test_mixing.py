@@ -109,3 +109,11 @@ def test_weights_that_meet_no_row_are_named(spark, sf):
     want = brute(rows, budget, 2, weights, 3, (2, 3, 4))
     assert sorted(map(tuple, got)) == want
     assert all(brute(rows, budget, 2, {k: w for k, w in weights.items() if k != p}, 3, (2, 3, 4)) != want for p in weights)
+
+
+def test_every_weight_of_the_query_meets_a_row(spark):
+    assert {len(path) for path in registry.MIX_WEIGHTS} == {1, 2, 3}
+    for sf in ("sf0.001", "sf0.01"):
+        with warnings.catch_warnings():
+            warnings.simplefilter("error")
+            registry.op10_mixing(spark, f"/root/testdata/{sf}")
