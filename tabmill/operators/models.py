@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import materialize, new_path
 from .evaluate import best_model, known_metrics, metrics_by_stage
-from .knn import KnnIndex, build_index
+from .knn import Predicting, build_index
+from .knn_hashed import build_hashed_index
 
 INPUTS = "model_inputs"
 DEEPEST = 30  # levels of a tree, and how many it may have if nothing is said
@@ -242,7 +243,7 @@ def _fit_mllib(candidate: Candidate, chosen, rows: DataFrame):
 
 
 def knn_setting(candidate: Candidate) -> tuple[int, str, int]:
-    """(k, weights, p); `algorithm` only chooses an index, the neighbours are the same."""
+    """(k, weights, p); `algorithm` only chooses an index. All find the same neighbours but for `hashed`, which is approximate."""
     hp = dict(candidate.hyperparameters)
     hp.pop("algorithm", None)
     unknown = sorted(set(hp) - {"n_neighbors", "weights", "p"})
@@ -251,6 +252,10 @@ def knn_setting(candidate: Candidate) -> tuple[int, str, int]:
     return hp.get("n_neighbors", 5), hp.get("weights", "uniform"), hp.get("p", 2)
 
 
+def knn_builder(candidate: Candidate):
+    return build_hashed_index if candidate.hyperparameters.get("algorithm") == "hashed" else build_index
+
+
 @dataclass
 class FittedModel:
     """A fitted candidate that adds a prediction column to a table with the feature columns."""
@@ -261,7 +266,7 @@ class FittedModel:
     model: object
 
     def transform(self, df: DataFrame) -> DataFrame:
-        if isinstance(self.model, KnnIndex):
+        if isinstance(self.model, Predicting):
             k, weights, _ = knn_setting(self.candidate)
             return self.model.predict(df, {self.prediction: (k, weights)})
         return self.model.transform(assemble(df, self.features)).drop(INPUTS)
@@ -271,7 +276,7 @@ def fit_one(candidate: Candidate, train: DataFrame, features: list[str], label:
     """Fit a single candidate on the given rows."""
     if candidate.model_type == "k_nearest_neighbors_regressor":
         k, _, p = knn_setting(candidate)
-        return FittedModel(candidate, features, prediction, build_index(train, features, label, key, k, p))
+        return FittedModel(candidate, features, prediction, knn_builder(candidate)(train, features, label, key, k, p))
     std = 1.0
     if candidate.model_type == "elastic_net":
         std = train.agg(F.stddev_pop(label)).first()[0] or 1.0
@@ -366,10 +371,11 @@ def train_grid(
                     scored = models[c.model_id].model.transform(scored)
                 table = metrics_by_stage(scored, label, {c.model_id: c.model_id for c in part}, metrics)
                 collected += [tuple(r) for r in table.collect()]
-        # one search per distance serves every k and weighting of the grid
-        for p in sorted({knn_setting(c)[2] for c in nearest}):
-            group = [c for c in nearest if knn_setting(c)[2] == p]
-            index = build_index(train, features, label, key, max(knn_setting(c)[0] for c in group), p)
+        # one search per distance and kind of index serves every k and weighting of the grid
+        kinds = {(knn_setting(c)[2], knn_builder(c)): None for c in nearest}
+        for p, build in kinds:
+            group = [c for c in nearest if (knn_setting(c)[2], knn_builder(c)) == (p, build)]
+            index = build(train, features, label, key, max(knn_setting(c)[0] for c in group), p)
             settings = {c.model_id: knn_setting(c)[:2] for c in group}
             scored = index.predict(seen.select("stage", label, *features), settings)
             table = metrics_by_stage(scored, label, {c.model_id: c.model_id for c in group}, metrics)

@@ -15,7 +15,8 @@ from ..functions.selection import random_rows
 from ..schema import RoleSchema, schema_named
 from .clean import clean
 from .evaluate import errors
-from .knn import KnnIndex, load_index, save_index
+from .knn import Predicting, load_index, save_index
+from .knn_hashed import HashedIndex, load_hashed_index, save_hashed_index
 from .models import INPUTS, BoostedTrees, Candidate, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
 from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, quarantine
@@ -116,8 +117,11 @@ def save_scorer(scorer: Scorer, path: str) -> None:
     save_steps(spark, scorer.steps, f"{path}/steps")
     model = scorer.model.model
     boosted = model if isinstance(model, BoostedTrees) else None
-    index = save_index(model, f"{path}/neighbours") if isinstance(model, KnnIndex) else None
-    if index is None:
+    index = None
+    if isinstance(model, Predicting):
+        save = save_hashed_index if isinstance(model, HashedIndex) else save_index
+        index = save(model, f"{path}/neighbours")
+    else:
         assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
         PipelineModel([assembler, *(boosted.trees if boosted else [model])]).write().overwrite().save(f"{path}/model")
     inputs = describe_inputs(scorer.manifest)
@@ -152,7 +156,8 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
             inputs.append(CategoricalInput(i["name"], table=spark.read.parquet(f"{path}/values/{i['name']}")))
     candidate = Candidate(card["model_id"], card["model_type"], card["hyperparameters"])
     if card.get("neighbours"):
-        model = load_index(spark, f"{path}/neighbours", card["neighbours"])
+        load = load_hashed_index if "hashes" in card["neighbours"] else load_index
+        model = load(spark, f"{path}/neighbours", card["neighbours"])
     else:
         stages = PipelineModel.load(f"{path}/model").stages[1:]
         boosting = card.get("boosting")

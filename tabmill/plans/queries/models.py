@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...operators import evaluate, knn
+from ...operators import evaluate, knn, knn_hashed
 from ...operators.clean import typed
 from ...operators.models import Candidate, fit_one, train_grid
 from ...operators.split import hash_stage, split
@@ -127,6 +127,9 @@ def _parts(spark, sf_dir):
     return part.withColumn("stage", hash_stage(F.col("p_partkey")))
 
 
+_SIZE, _PRICE = "p_size", "p_retailprice"
+
+
 def _part_neighbours(spark, sf_dir, weights, p):
     """Two-dimensional search over all parts: the key is the learned value."""
     rows = _parts(spark, sf_dir).withColumn("learned", F.col("p_partkey").cast("double"))
@@ -144,6 +147,19 @@ def m_knn_manhattan(spark, sf_dir):
     return _part_neighbours(spark, sf_dir, "uniform", 1)
 
 
+def m_knn_hashed(spark, sf_dir):
+    """Approximate search over all parts next to the exact one: how many neighbours, and whether enough of them are true."""
+    rows = _parts(spark, sf_dir).withColumn("learned", F.col("p_partkey").cast("double"))
+    train, asked = (rows.where(F.col("stage") == s) for s in ("train", "valid"))
+    shared = ([_SIZE, _PRICE], "learned", "p_partkey", 7)
+    found = knn_hashed.build_hashed_index(train, *shared).neighbours(asked)
+    true = knn.build_index(train, *shared, leaf_rows=256).neighbours(asked)
+    hits = true.join(found.select("q", "key", F.lit(1).alias("hit")), ["q", "key"], "left")
+    return hits.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits")).agg(
+        F.count(F.lit(1)).alias("queries"), F.sum("n").alias("neighbours"), (F.sum("hits") >= 0.9 * F.sum("n")).alias("enough_found")
+    )
+
+
 def m_grid_best(spark, sf_dir):
     """Linear, tree and neighbour candidates of a small grid; every metric, and which one wins."""
     rows = rows_for(spark, sf_dir, WEIGHT)
@@ -190,7 +206,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         m_mean_baseline_metrics, m_linear_one_feature, m_linear_coefficients, m_elastic_net, m_lasso, m_tree, m_forest,
-        m_gbt, m_tree_quarters, m_forest_quarters, m_gbt_quarters, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_grid_best, m_metrics_original_scale, m_best_model,
+        m_gbt, m_tree_quarters, m_forest_quarters, m_gbt_quarters, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_knn_hashed, m_grid_best, m_metrics_original_scale, m_best_model,
     )
 }
 
@@ -247,6 +263,8 @@ ORACLE = {
         "sqrt((q.p_size - t.p_size) * (q.p_size - t.p_size) + (q.p_retailprice - t.p_retailprice) * (q.p_retailprice - t.p_retailprice))",
         "case when min(d) = 0 then avg(case when d = 0 then cast(t as double) end) else sum(t / nullif(d, 0)) / sum(1 / nullif(d, 0)) end",
     ),
+    "m_knn_hashed": """select count(*) as queries, cast(7 * count(*) as bigint) as neighbours, true as enough_found
+        from (select distinct p_size, p_retailprice from part where ('0x' || substr(md5(concat(p_partkey, '-42')), 1, 8))::bigint % 10 = 8)""",
     "m_knn_manhattan": _knn_parts(7, "abs(q.p_size - t.p_size) + abs(q.p_retailprice - t.p_retailprice)", "avg(cast(t as double))"),
     "m_metrics_original_scale": f"with {sql.STAGED}, {sql.LOG_LINE} " + _stage_errors("log_line", "exp(a + b * ln(SHIPMENT_WEIGHT))"),
     "m_best_model": f"""with {sql.STAGED}, {sql.LINE}, m as (select avg(SHIPMENT_VALUE) as p from staged where stage = 'train'),

@@ -1,8 +1,10 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabmill.operators import evaluate, knn, lookup, models, profile, score, validate
+from tabmill.operators import evaluate, knn, knn_hashed, lookup, models, profile, score, validate
 from tabmill.operators.transform import fit
 from tabmill.schema import COMMODITY_FLOW as S
 from tabmill.schema import SAMPLE_TRANSFORMER as T
@@ -192,6 +194,99 @@ def test_neighbours_equal_brute_force(spark, dims, p):
             assert r[name] == pytest.approx(expected[tuple(r[n] for n in names)], rel=1e-9)
 
 
+def _points(spark, n, dims, seed, asked):
+    """Clustered points and queries near some of them."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(scale=4, size=(12, dims))
+    x = centres[rng.integers(0, 12, n)] + rng.normal(size=(n, dims))
+    q = x[rng.choice(n, asked, replace=False)] + rng.normal(scale=0.3, size=(asked, dims))
+    names = [f"f{d}" for d in range(dims)]
+    ddl = ", ".join(f"{c} double" for c in names)
+    train = spark.createDataFrame([(i, *v, float(i % 7)) for i, v in enumerate(x.tolist())], f"key int, {ddl}, y double")
+    return train, spark.createDataFrame(q.tolist(), ddl), names
+
+
+def _found(df):
+    return {(tuple(r["q"]), r["key"]) for r in df.collect()}
+
+
+def test_exact_search_compares_far_fewer_than_all_pairs(spark):
+    """Four times the rows and queries: well below sixteen times the pairs."""
+    pairs = []
+    for n in (1000, 4000):
+        train, asked, names = _points(spark, n, 3, 3, n // 10)
+        index = knn.build_index(train, names, "y", "key", k=3, leaf_rows=50)
+        found = _found(index.neighbours(asked))
+        assert len(index.rows) >= n // 60 and len(found) == 3 * (n // 10)
+        pairs.append(sum(index.compared))
+    assert pairs[1] < 8 * pairs[0] and pairs[1] < 4000 * 400 / 8
+
+
+def test_exact_search_of_one_hot_inputs(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, *[float(j == i % 12) for j in range(12)], float(rng.integers(0, 30)), float(i)) for i in range(1500)]
+    names = [f"f{j}" for j in range(13)]
+    table = spark.createDataFrame(rows, ", ".join(["key int", *[f"{n} double" for n in names], "y double"]))
+    index = knn.build_index(table, names, "y", "key", k=4, leaf_rows=20)
+    got = {r[names[-1]]: r["p"] for r in index.predict(table.where("f0 = 1").select(*names).distinct(), {"p": (4, "uniform")}).collect()}
+    train = [(r[0], r[1:14], r[14]) for r in rows]
+    queries = sorted({r[1:14] for r in rows if r[1] == 1})
+    want = _brute(train, queries, 4, "uniform", 2)
+    assert got == pytest.approx({q[-1]: want[q] for q in queries})
+    assert sum(index.compared) < 0.7 * len(queries) * len(rows)
+
+
+def test_boxes_find_every_leaf_within_the_radius():
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(600, 3))
+    tree = knn.plant(points, 40)
+    leaf = tree.leaf_of(points)
+    count = len(tree.dimension) + 1
+    low, high = (np.array([f(points[leaf == i], axis=0) for i in range(count)]) for f in (np.min, np.max))
+    for p in (1, 2):
+        boxes = knn.boxed(tree, low, high, p)
+        asked, radius = rng.normal(size=(50, 3)), rng.uniform(0, 1.5, 50)
+        row, found, reach = boxes.within(asked, radius)
+        gap = np.maximum(np.maximum(low[None] - asked[:, None], asked[:, None] - high[None]), 0)
+        true = gap.sum(2) if p == 1 else np.sqrt((gap**2).sum(2))
+        assert set(zip(row.tolist(), found.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(true <= radius[:, None]))))
+        assert all(row[i] < row[i + 1] or reach[i] <= reach[i + 1] for i in range(len(row) - 1))
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_hashed_search_finds_most_true_neighbours(spark, tmp_path, p):
+    train, asked, names = _points(spark, 3000, 4, 5, 150)
+    index = knn_hashed.build_hashed_index(train, names, "y", "key", k=5, p=p)
+    true = _found(knn.build_index(train, names, "y", "key", k=5, p=p).neighbours(asked))
+    found = _found(index.neighbours(asked))
+    assert index.recall >= 0.9 and len(true & found) >= 0.9 * len(true) and len(found) == len(true) == 750
+    assert index.compared[0] < 3000 * 150 / 2
+    # buckets larger than a block are met in blocks, with the same result
+    assert _found(replace(index, block_rows=7).candidates(index.neighbours(asked).select("q").distinct())) == _found(index.candidates(index.neighbours(asked).select("q").distinct()))
+    card = knn_hashed.save_hashed_index(index, str(tmp_path / "index"))
+    assert _found(knn_hashed.load_hashed_index(spark, str(tmp_path / "index"), card).neighbours(asked)) == found
+
+
+def test_hashed_search_answers_far_queries_and_hot_vectors(spark):
+    rows = [(i, 1.0 if i % 3 else i / 50, 2.0 if i % 3 else -i / 70, float(i)) for i in range(900)]  # two thirds are one vector
+    train = spark.createDataFrame(rows, "key int, a double, b double, y double")
+    index = knn_hashed.build_hashed_index(train, ["a", "b"], "y", "key", k=4)
+    asked = spark.createDataFrame([(1.0, 2.0), (1e6, -1e6), (0.5, 0.1), (1.0, 2.0)], "a double, b double")
+    out = index.predict(asked, {"p": (4, "uniform")}).collect()
+    assert len(out) == 4 and all(r["p"] is not None for r in out)
+    assert {r["p"] for r in out if r["a"] == 1.0} == {(1 + 2 + 4 + 5) / 4}
+    exact = {r["a"]: r["p"] for r in knn.build_index(train, ["a", "b"], "y", "key", k=4).predict(asked, {"p": (4, "uniform")}).collect()}
+    assert {r["p"] for r in out if r["a"] == 1e6} == {exact[1e6]}
+
+
+def test_hash_tables_follow_from_the_chance():
+    assert knn_hashed.meeting_chance(4.0, 2) == pytest.approx(0.8, abs=0.01) and knn_hashed.meeting_chance(4.0, 1) == pytest.approx(0.62, abs=0.01)
+    assert knn_hashed.tables_for(0.9, 0.8, 1) == 2 and knn_hashed.tables_for(0.9, 0.8, 4) == 5
+    few, more = (knn_hashed.Hashes(3, 2, 1.5, 4, n) for n in (2, 6))
+    x = np.random.default_rng(0).normal(size=(50, 3))
+    assert (few.buckets(x) == more.buckets(x)[:, :2]).all()
+
+
 def test_neighbours_reject_missing_values(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("b", None, 2.0)], "key string, x double, y double")
     with pytest.raises(Exception, match="missing values"):
