@@ -21,6 +21,7 @@ from ..sources.workspace import materialize, new_path
 from .evaluate import best_model, known_metrics, metrics_by_stage
 from .knn import Predicting, build_index
 from .knn_hashed import build_hashed_index
+from .linear_grid import MAX_INPUTS, LinearModel, moments, solve_all
 
 INPUTS = "model_inputs"
 DEEPEST = 30  # levels of a tree, and how many it may have if nothing is said
@@ -300,6 +301,17 @@ class GridResult:
     skipped: dict[str, str] = field(default_factory=dict)  # model_id -> why it was not fitted
 
 
+def shared_settings(candidate: Candidate) -> tuple[float, float, bool] | None:
+    """(alpha, l1_ratio, fit_intercept) of a linear candidate that no option ties to an MLlib solver."""
+    hp = candidate.hyperparameters
+    if candidate.model_type not in ("linear_regression", "elastic_net", "lasso") or {"solver", "max_iter"} & set(hp):
+        return None
+    intercept = hp.get("fit_intercept", True)
+    if candidate.model_type == "linear_regression":
+        return 0.0, 0.0, intercept
+    return hp.get("alpha", 1.0), 1.0 if candidate.model_type == "lasso" else hp.get("l1_ratio", 0.5), intercept
+
+
 def _possible(todo: list[Candidate], label: str, unsupported: str) -> tuple[list[Candidate], dict[str, str]]:
     """Candidates that can be fitted, and the reasons for the others."""
     if unsupported not in ("raise", "skip"):
@@ -335,6 +347,7 @@ def train_grid(
 ) -> GridResult:
     """Fit every candidate on train, measure on train and valid, and the winner alone on test.
 
+    Linear candidates share one pass over the train rows; trees are fitted a few at a time; neighbours share one search.
     Candidates with options that MLlib cannot express raise, or are skipped and reported.
     """
     metrics = known_metrics(metrics)
@@ -356,13 +369,21 @@ def train_grid(
         train = vectors.where(F.col("stage") == "train")
         seen = vectors.where(F.col("stage") != "test")
         if plain:
-            std = train.agg(F.stddev_pop(label)).first()[0] or 1.0
             width = n_inputs(train)
-            estimators = [estimator(c, label, c.model_id, width, std) for c in plain]
+            shared = {c.model_id: shared_settings(c) for c in plain if width <= MAX_INPUTS and shared_settings(c)}
+            if shared:
+                solved = solve_all(moments(train, INPUTS, label), shared)
+                for c in plain:
+                    if c.model_id in solved:
+                        weights, intercept = solved[c.model_id]
+                        models[c.model_id] = FittedModel(c, features, c.model_id, LinearModel(weights.tolist(), intercept, INPUTS, c.model_id))
+            single = [c for c in plain if c.model_id not in shared]
+            std = (train.agg(F.stddev_pop(label)).first()[0] or 1.0) if any(c.model_type == "elastic_net" for c in single) else 1.0
+            estimators = [estimator(c, label, c.model_id, width, std) for c in single]
             with ThreadPoolExecutor(parallelism) as pool:
                 fit_in_thread = inheritable_thread_target(spark)(_fit_mllib)
-                jobs = [pool.submit(fit_in_thread, c, e, train) for c, e in zip(plain, estimators)]
-                for c, job in zip(plain, jobs):
+                jobs = [pool.submit(fit_in_thread, c, e, train) for c, e in zip(single, estimators)]
+                for c, job in zip(single, jobs):
                     models[c.model_id] = FittedModel(c, features, c.model_id, job.result())
             for start in range(0, len(plain), per_pass):
                 part = plain[start : start + per_pass]

@@ -17,9 +17,10 @@ from .clean import clean
 from .evaluate import errors
 from .knn import Predicting, load_index, save_index
 from .knn_hashed import HashedIndex, load_hashed_index, save_hashed_index
+from .linear_grid import LinearModel
 from .models import INPUTS, BoostedTrees, Candidate, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
-from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, quarantine
+from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, judge, quarantine, some_value, typed_input
 
 RAW_PREDICTION = "_raw_prediction"
 
@@ -61,11 +62,46 @@ def score_and_quarantine(df: DataFrame, scorer: Scorer, keep=()) -> tuple[DataFr
 
 
 def score_many(df: DataFrame, scorers: list[Scorer], keep=()) -> DataFrame:
-    """Every model on the same rows, told apart by `model_name`."""
-    parts = [score(df, s, keep).withColumn("model_name", F.lit(s.name)) for s in scorers]
+    """Every model on the rows that its manifest accepts, told apart by `model_name`: (*keep, output, model_name).
+
+    The rows are read once and judged once per different manifest; the predictions of a row are an array that is exploded.
+    Only nearest neighbours, which shuffle the rows anyway, are asked one by one.
+    """
+    outputs = {s.output for s in scorers}
+    if len(outputs) != 1:
+        raise ValueError(f"the models predict different columns: {sorted(outputs)}")
+    apart = [s for s in scorers if isinstance(s.model.model, Predicting)]
+    parts = [score(df, s, keep).withColumn("model_name", F.lit(s.name)) for s in apart]
+    together = [s for s in scorers if not isinstance(s.model.model, Predicting)]
+    if together:
+        parts.insert(0, _score_together(df, together, keep, outputs.pop()))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _score_together(df: DataFrame, scorers: list[Scorer], keep, output: str) -> DataFrame:
+    manifests: list[Manifest] = []
+    for s in scorers:
+        if s.manifest not in manifests:
+            manifests.append(s.manifest)
+    judged, accepted = judge(df, manifests)
+    columns = judged.columns
+    number = {n: f"_own_{i}" for i, n in enumerate(columns)}
+    # the rows as they came, under names that no step or model uses
+    rows = judged.where(reduce(lambda a, b: a | b, map(F.col, accepted))).select(*[F.col(c).alias(number[c]) for c in columns])
+    found = []
+    for j, s in enumerate(scorers):
+        ok = F.col(number[accepted[manifests.index(s.manifest)]])
+        # rows that this model does not accept get inputs that it does, since its steps may raise on others
+        typed = {i.name: typed_input(F.col(number[i.name]), i, dict(df.dtypes)[i.name]) for i in s.manifest.inputs}
+        inputs = [F.when(ok, typed[i.name]).otherwise(F.lit(some_value(i))).alias(i.name) for i in s.manifest.inputs]
+        kept = rows.columns
+        rows = s.predict(rows.select("*", *inputs), f"_value_{j}").select(*kept, f"_value_{j}")
+        own = [typed.get(c, F.col(number[c]) if c in number else F.col(c)).alias(c) for c in keep]
+        found.append(F.when(ok, F.struct(*own, F.col(f"_value_{j}").alias(output), F.lit(s.name).alias("model_name"))))
+    predictions = F.filter(F.array(*found), lambda p: p.isNotNull())
+    return rows.select(F.explode(predictions).alias("p")).select(*[F.col(f"p.`{c}`").alias(c) for c in (*keep, output, "model_name")])
+
+
 def score_by_name(df: DataFrame, scorers: dict[str, Scorer], name: str, keep=()) -> DataFrame:
     if name not in scorers:
         raise ValueError(f"model {name} not found")
@@ -121,7 +157,7 @@ def save_scorer(scorer: Scorer, path: str) -> None:
     if isinstance(model, Predicting):
         save = save_hashed_index if isinstance(model, HashedIndex) else save_index
         index = save(model, f"{path}/neighbours")
-    else:
+    elif not isinstance(model, LinearModel):
         assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
         PipelineModel([assembler, *(boosted.trees if boosted else [model])]).write().overwrite().save(f"{path}/model")
     inputs = describe_inputs(scorer.manifest)
@@ -140,6 +176,7 @@ def save_scorer(scorer: Scorer, path: str) -> None:
         "hyperparameters": scorer.model.candidate.hyperparameters,
         "boosting": [boosted.start, boosted.rate] if boosted else None,
         "neighbours": index,
+        "linear": [model.coefficients, model.intercept] if isinstance(model, LinearModel) else None,
     }
     spark.createDataFrame([(json.dumps(card),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
@@ -158,6 +195,8 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
     if card.get("neighbours"):
         load = load_hashed_index if "hashes" in card["neighbours"] else load_index
         model = load(spark, f"{path}/neighbours", card["neighbours"])
+    elif card.get("linear"):
+        model = LinearModel(*card["linear"], INPUTS, card["prediction"])
     else:
         stages = PipelineModel.load(f"{path}/model").stages[1:]
         boosting = card.get("boosting")

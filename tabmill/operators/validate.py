@@ -184,6 +184,48 @@ def accept(df: DataFrame, manifest: Manifest, keep=()) -> DataFrame:
     )
 
 
+def judge(df: DataFrame, manifests: list[Manifest]) -> tuple[DataFrame, list[str]]:
+    """All rows with one boolean column per manifest, whether it accepts the row, and the names of these columns."""
+    for m in manifests:
+        _complete(df, m)
+    out, marks = df, {}
+    for i in [i for m in manifests for i in m.inputs if isinstance(i, CategoricalInput) and i.table is not None]:
+        if (i.name, id(i.table)) not in marks:
+            mark = marks[i.name, id(i.table)] = f"_known_{len(marks)}"
+            table = i.table.select(F.col("value").alias(f"{mark}_value"), F.lit(True).alias(mark))
+            out = lookup_join(out.withColumn(f"{mark}_value", F.col(i.name).cast("string")), table, [f"{mark}_value"]).drop(f"{mark}_value")
+    verdicts = []
+    for m in manifests:
+        accepted = F.lit(True)
+        for i in m.inputs:
+            if isinstance(i, NumericInput):
+                one = _number(df, i.name).between(F.lit(i.min), F.lit(i.max))
+            elif i.values is not None:
+                one = F.col(i.name).cast("string").isin(*i.values) if i.values else F.lit(False)
+            else:
+                one = F.col(marks[i.name, id(i.table)])
+            accepted &= F.coalesce(one, F.lit(False))
+        verdicts.append(accepted)
+    names = [f"_accepted_{n}" for n in range(len(manifests))]
+    return out.select(*df.columns, *[v.alias(n) for v, n in zip(verdicts, names)]), names
+
+
+def typed_input(column: Column, item: NumericInput | CategoricalInput, kind: str) -> Column:
+    """An input as models take it: numbers as doubles, null where a text is none, everything else as text."""
+    if isinstance(item, NumericInput):
+        return column.try_cast("double") if kind == "string" else column.cast("double")
+    return column.cast("string")
+
+
+def some_value(item: NumericInput | CategoricalInput) -> float | str | None:
+    """A value that the input accepts; None if there is none."""
+    if isinstance(item, NumericInput):
+        return item.min
+    if item.values is not None:
+        return item.values[0] if item.values else None
+    return item.table.agg(F.min("value")).first()[0]
+
+
 def quarantine(df: DataFrame, manifest: Manifest) -> DataFrame:
     """Rows with errors, all their columns and the reasons."""
     return check(df, manifest).where(F.size("errors") > 0)

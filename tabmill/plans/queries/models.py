@@ -176,6 +176,19 @@ def m_grid_best(spark, sf_dir):
     return result.metrics.select("model_id", "stage", "metric", F.round("value", 3).alias("value"), (F.col("model_id") == best).alias("is_best"))
 
 
+def m_linear_grid(spark, sf_dir):
+    """Five linear candidates from the same statistics: their metrics, and which one wins."""
+    rows = rows_for(spark, sf_dir, WEIGHT)
+    calls = [
+        {"model_type": "linear_regression"},
+        {"model_type": "lasso", "hyperparameters": {"alpha": [500.0, 50_000.0]}},
+        {"model_type": "elastic_net", "hyperparameters": {"alpha": [2_000.0], "l1_ratio": [0.3, 0.7]}},
+    ]
+    result = train_grid(rows, [WEIGHT], VALUE, ID, calls, ("mae", "rmse"), "rmse")
+    best = result.best.candidate.model_id
+    return result.metrics.select("model_id", "stage", "metric", F.round("value", 3).alias("value"), (F.col("model_id") == best).alias("is_best"))
+
+
 def log_model(spark, sf_dir):
     """Weight and value on logarithms, one-feature least squares: (rows, steps, model)."""
     rows = rows_for(spark, sf_dir, WEIGHT)
@@ -206,7 +219,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         m_mean_baseline_metrics, m_linear_one_feature, m_linear_coefficients, m_elastic_net, m_lasso, m_tree, m_forest,
-        m_gbt, m_tree_quarters, m_forest_quarters, m_gbt_quarters, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_knn_hashed, m_grid_best, m_metrics_original_scale, m_best_model,
+        m_gbt, m_tree_quarters, m_forest_quarters, m_gbt_quarters, m_knn_uniform, m_knn_distance, m_knn_manhattan, m_knn_hashed, m_grid_best, m_linear_grid, m_metrics_original_scale, m_best_model,
     )
 }
 
@@ -263,6 +276,16 @@ ORACLE = {
         "sqrt((q.p_size - t.p_size) * (q.p_size - t.p_size) + (q.p_retailprice - t.p_retailprice) * (q.p_retailprice - t.p_retailprice))",
         "case when min(d) = 0 then avg(case when d = 0 then cast(t as double) end) else sum(t / nullif(d, 0)) / sum(1 / nullif(d, 0)) end",
     ),
+    "m_linear_grid": f"""with {sql.STAGED}, s as (select covar_pop(SHIPMENT_VALUE, SHIPMENT_WEIGHT) as c, var_pop(SHIPMENT_WEIGHT) as v,
+          avg(SHIPMENT_WEIGHT) as mx, avg(SHIPMENT_VALUE) as my from staged where stage = 'train'),
+        hp(model_id, l1, l2) as (values ('m000-linear_regression', 0, 0), ('m001-lasso', 500, 0), ('m002-lasso', 50000, 0),
+          ('m003-elastic_net', 600, 1400), ('m004-elastic_net', 1400, 600)),
+        w as (select model_id, sign(c) * greatest(abs(c) - l1, 0) / (v + l2) as b, mx, my from s, hp),
+        d as (select model_id, stage, SHIPMENT_VALUE - my - b * (SHIPMENT_WEIGHT - mx) as d from staged, w),
+        e as (select model_id, stage, sqrt(avg(d * d)) as rmse, avg(abs(d)) as mae from d group by all),
+        best as (select model_id as won from e where stage = 'valid' order by rmse, model_id limit 1),
+        m as (select model_id, stage, 'rmse' as metric, rmse as value from e union all select model_id, stage, 'mae', mae from e)
+        select model_id, stage, metric, round(value, 3) as value, model_id = won as is_best from m, best where stage <> 'test' or model_id = won""",
     "m_knn_hashed": """select count(*) as queries, cast(7 * count(*) as bigint) as neighbours, true as enough_found
         from (select distinct p_size, p_retailprice from part where ('0x' || substr(md5(concat(p_partkey, '-42')), 1, 8))::bigint % 10 = 8)""",
     "m_knn_manhattan": _knn_parts(7, "abs(q.p_size - t.p_size) + abs(q.p_retailprice - t.p_retailprice)", "avg(cast(t as double))"),

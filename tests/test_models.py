@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabmill.operators import evaluate, knn, knn_hashed, lookup, models, profile, score, validate
+from tabmill.operators import evaluate, knn, knn_hashed, linear_grid, lookup, models, profile, score, validate
 from tabmill.operators.transform import fit
 from tabmill.schema import COMMODITY_FLOW as S
 from tabmill.schema import SAMPLE_TRANSFORMER as T
@@ -134,6 +134,70 @@ def test_grid_size_of_the_baseline_job():
     assert len(models.candidates(calls)) == 91
 
 
+@pytest.fixture(scope="module")
+def inputs(spark):
+    """Columns far from zero, one that depends on others and one constant."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(600, 3)) * [1, 20, 0.1] + [1e6, -40, 5]
+    y = x @ [3.0, -0.2, 8.0] + rng.normal(size=600)
+    rows = [(f"k{i}", *v, v[0] - 1e6 + v[1], 7.0, t, "train" if i % 4 else "valid" if i % 8 else "test") for i, (v, t) in enumerate(zip(x.tolist(), y.tolist()))]
+    return spark.createDataFrame(rows, "id string, a double, b double, c double, d double, e double, y double, stage string")
+
+
+def test_shared_moments_are_exact(inputs):
+    names = ["a", "b", "c", "d", "e", "y"]
+    train = inputs.where("stage = 'train'")
+    z = np.array(train.select(names).toPandas())
+    for parts in (1, 7, 900):  # more tasks than rows too
+        m = linear_grid.moments(models.assemble(train.repartition(parts), names[:-1]), models.INPUTS, "y")
+        assert m.rows == len(z) and m.mean == pytest.approx(z.mean(0), rel=1e-13)
+        assert m.scatter == pytest.approx((z - z.mean(0)).T @ (z - z.mean(0)), rel=1e-9, abs=1e-6)
+    with pytest.raises(Exception, match="missing"):
+        linear_grid.moments(models.assemble(train.withColumn("y", F.lit(None).cast("double")), ["a"]), models.INPUTS, "y")
+    with pytest.raises(ValueError):
+        linear_grid.moments(models.assemble(train.limit(0), ["a"]), models.INPUTS, "y")
+
+
+@pytest.mark.parametrize("kind,hp", [("linear_regression", {}), ("linear_regression", {"fit_intercept": False}), ("lasso", {"alpha": 0.4}), ("lasso", {"alpha": 1e9}), ("elastic_net", {"alpha": 0.3, "l1_ratio": 0.2}), ("elastic_net", {"alpha": 2.0, "l1_ratio": 0.9})])
+def test_candidates_from_moments_equal_single_fits(inputs, kind, hp):
+    names = ["b", "c"] if kind == "linear_regression" else ["b", "c", "d"]
+    train = inputs.where("stage = 'train'")
+    single = models.fit_one(models.Candidate("m", kind, hp), train, names, "y", "id").model
+    m = linear_grid.moments(models.assemble(train, names), models.INPUTS, "y")
+    weights, intercept = linear_grid.solve(m, *models.shared_settings(models.Candidate("m", kind, hp)))
+    assert weights == pytest.approx(np.array(single.coefficients), rel=1e-4, abs=1e-5) and intercept == pytest.approx(single.intercept, rel=1e-5, abs=1e-4)
+
+
+def test_penalised_solutions_are_optimal(inputs):
+    """Where the gradient of the squared errors balances the penalty, nothing can be better."""
+    names = ["a", "b", "c", "d", "e"]
+    m = linear_grid.moments(models.assemble(inputs, names), models.INPUTS, "y")
+    gram, toward = m.scatter[:-1, :-1] / m.rows, m.scatter[:-1, -1] / m.rows
+    wanted = {f"{a}-{r}": (a, r, True) for a in (0.01, 0.5, 3.0, 1e5) for r in (0.1, 0.5, 1.0)}
+    for name, (w, _) in linear_grid.solve_all(m, wanted).items():
+        alpha, ratio, _ = wanted[name]
+        slope = toward - gram @ w - alpha * (1 - ratio) * w
+        assert np.all(np.abs(slope[w == 0]) <= alpha * ratio * (1 + 1e-6) + 1e-8)
+        assert slope[w != 0] == pytest.approx(np.sign(w[w != 0]) * alpha * ratio, rel=1e-5, abs=1e-5)
+    w, b = linear_grid.solve(m)
+    z = np.array(inputs.select([*names, "y"]).toPandas())
+    left = z[:, -1] - z[:, :-1] @ w - b
+    assert abs(left.mean()) < 1e-6 and np.abs((z[:, :-1] - z[:, :-1].mean(0)).T @ left).max() < 1e-2
+
+
+def test_linear_grid_reads_the_rows_once_for_all_candidates(spark, inputs, monkeypatch):
+    passes = []
+    real = linear_grid.moments
+    monkeypatch.setattr(models, "moments", lambda *a: passes.append(1) or real(*a))
+    monkeypatch.setattr(models, "_fit_mllib", lambda *a: pytest.fail("a linear candidate was fitted on its own"))
+    calls = [{"model_type": "lasso", "hyperparameters": {"alpha": [0.1, 0.2, 0.4, 1.0]}}, {"model_type": "linear_regression"}]
+    out = models.train_grid(inputs, ["b", "c"], "y", "id", calls, ("rmse",), "rmse")
+    assert passes == [1] and len(out.models) == 5
+    tied = models.train_grid(inputs.limit(200), ["b"], "y", "id", [{"model_type": "linear_regression"}], ("rmse",), "rmse").best
+    again = tied.transform(inputs.limit(5)).select(tied.prediction).collect()
+    assert all(r[0] is not None for r in again)
+
+
 def test_grid_picks_and_tests_the_winner_only(linear):
     calls = [
         {"model_type": "decision_tree_regressor", "hyperparameters": {"max_depth": [1, 2], "random_state": [1]}},
@@ -364,6 +428,41 @@ def test_scorer_survives_a_round_trip(spark, linear, tmp_path):
         score.score_by_name(df, {"s": scorer}, "u")
 
 
+def test_several_models_in_one_scan(spark, tmp_path):
+    """Different manifests, unreadable and missing inputs: as each model alone, but the rows are read once."""
+    rows = [(f"k{i}", "abcd"[i % 4], 1.0 + i, 5.0 + 2 * i + i % 3, "train") for i in range(80)]
+    known = spark.createDataFrame(rows, "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double, COLUMN_TARGET double, stage string")
+    from tabmill.operators.transform import apply_steps
+
+    def scorer(name, part, columns, specs, features, **options):
+        steps = fit(part, specs, T)
+        model = models.fit_one(models.Candidate("m", options.pop("kind", "linear_regression"), options.pop("hp", {})), apply_steps(part, steps), features, "COLUMN_TARGET", "COLUMN_ID")
+        return score.Scorer(name, T, validate.build_manifest(part.select(*columns), T, **options), steps, model)
+
+    log = [{"type": "log_transformation", "columns": ["column_numerical", "column_target"], "condition": "replace"}]
+    hot = [{"type": "one_hot_encoding", "columns": ["column_categorical"]}]
+    some, names = known.where("COLUMN_NUMERICAL < 41"), ["COLUMN_CATEGORICAL_a", "COLUMN_CATEGORICAL_b", "COLUMN_NUMERICAL"]
+    scorers = [
+        scorer("log", known, ["COLUMN_NUMERICAL"], log, ["COLUMN_NUMERICAL"]),
+        scorer("narrow", some.where("COLUMN_CATEGORICAL < 'c'"), ["COLUMN_NUMERICAL", "COLUMN_CATEGORICAL"], hot, names),
+        scorer("wide", known, ["COLUMN_NUMERICAL", "COLUMN_CATEGORICAL"], [], ["COLUMN_NUMERICAL"], inline_values=2),
+        scorer("same", known, ["COLUMN_NUMERICAL"], [], ["COLUMN_NUMERICAL"], kind="decision_tree_regressor", hp={"max_depth": 3}),
+    ]
+    odd = ["heavy", None, "-1", "0", "NaN", "39.5", "79", "1e9", "12"]
+    arriving = spark.createDataFrame([(f"r{i}", "abcx"[i % 4] if i % 11 else None, x) for i, x in enumerate(odd * 5)], "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL string")
+    arriving.write.parquet(str(tmp_path / "arriving"))
+    arriving = spark.read.parquet(str(tmp_path / "arriving"))
+    many = score.score_many(arriving, scorers, keep=("COLUMN_ID",))
+    alone = [(*r, s.name) for s in scorers for r in score.score(arriving, s, keep=("COLUMN_ID",)).collect()]
+    got = {(r[0], r[2]): r[1] for r in many.collect()}
+    assert len(got) == len(alone) > 40 and got == pytest.approx({(i, n): v for i, v, n in alone})
+    leaves = many._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n")
+    assert leaves.count("COLUMN_ID") == 1  # one relation holds the rows; the other is the table of values
+    near = score.Scorer("near", T, scorers[0].manifest, [], models.fit_one(models.Candidate("n", "k_nearest_neighbors_regressor", {"n_neighbors": 2}), known, ["COLUMN_NUMERICAL"], "COLUMN_TARGET", "COLUMN_ID"))
+    both = score.score_many(arriving, [scorers[0], near], keep=("COLUMN_ID",))
+    assert {r["model_name"]: r["count"] for r in both.groupBy("model_name").count().collect()} == {"log": 15, "near": 15}
+
+
 def test_lookups(spark):
     sizes = {n: len(t) for n, t in lookup.LOOKUPS.items()}
     assert sizes == {"naics": 45, "export_country": 6, "hazmat": 3, "states": 51, "mode": 20, "sctg": 42}
