@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import lookup_join
+from ..functions.skew import heavy_keys, lookup_join
 from ..sources.workspace import materialize
 
 ORIGIN, DESTINATION = "ORIGIN_STATE", "DESTINATION_STATE"
@@ -19,10 +19,12 @@ def interstate(df: DataFrame, origin: str = ORIGIN, destination: str = DESTINATI
 
 @dataclass(frozen=True)
 class Encoding:
-    """Per column a table (column, <column>_FREQ, <column>_MEAN), and the overall train mean."""
+    """Per column a table (column, <column>_FREQ, <column>_MEAN), the overall train mean, and per column the values that
+    had a large share of the train rows, by which a lookup is spread without another pass over the rows."""
 
     tables: dict[str, DataFrame]
     default: float
+    heavy: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def fit_encoding(df: DataFrame, columns, target: str) -> Encoding:
@@ -50,27 +52,27 @@ def fit_encoding(df: DataFrame, columns, target: str) -> Encoding:
         )
         for c in columns
     }
-    return Encoding(tables, overall)
+    return Encoding(tables, overall, {c: heavy_keys(tables[c], [c], f"{c}_FREQ") for c in columns})
 
 
 def frequency_encode(df: DataFrame, encoding: Encoding) -> DataFrame:
     """Add `<column>_FREQ`: train rows with that value, 0 if never seen."""
     for c, table in encoding.tables.items():
-        df = lookup_join(df, table.select(c, f"{c}_FREQ"), [c]).fillna({f"{c}_FREQ": 0})
+        df = lookup_join(df, table.select(c, f"{c}_FREQ"), [c], heavy=encoding.heavy.get(c)).fillna({f"{c}_FREQ": 0})
     return df
 
 
 def mean_encode(df: DataFrame, encoding: Encoding) -> DataFrame:
     """Add `<column>_MEAN`: train mean of the target for that value, the overall mean if never seen."""
     for c, table in encoding.tables.items():
-        df = lookup_join(df, table.select(c, f"{c}_MEAN"), [c]).fillna({f"{c}_MEAN": encoding.default})
+        df = lookup_join(df, table.select(c, f"{c}_MEAN"), [c], heavy=encoding.heavy.get(c)).fillna({f"{c}_MEAN": encoding.default})
     return df
 
 
 def encode(df: DataFrame, encoding: Encoding, drop: bool = True) -> DataFrame:
     """Both encodings with one lookup per column, and the encoded columns dropped."""
     for c, table in encoding.tables.items():
-        df = lookup_join(df, table, [c]).fillna({f"{c}_FREQ": 0, f"{c}_MEAN": encoding.default})
+        df = lookup_join(df, table, [c], heavy=encoding.heavy.get(c)).fillna({f"{c}_FREQ": 0, f"{c}_MEAN": encoding.default})
     return df.drop(*encoding.tables) if drop else df
 
 

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tabmill.functions.ordering import alphabetical_index, order_pieces, running_min_before
 from tabmill.functions.scalar import natural_log, round_half_even
+from tabmill.functions import skew
 from tabmill.functions.skew import lookup_join
-from tabmill.operators import features, transform
+from tabmill.operators import features, transform, validate
 from tabmill.operators.split import split, split_sizes
 from tabmill.schema import COMMODITY_FLOW, SAMPLE, SAMPLE_TRANSFORMER
+from tabmill.streaming import score_stream
 
 
 TEN = [(f"n{i}", "ba"[i in (1, 4, 6, 7, 9)], 12.0 + 0.5 * i * i, 3.0 - i / 7) for i in range(10)]
@@ -261,6 +263,62 @@ def test_lookup_join_beyond_the_broadcast_size(spark):
         assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
 
 
+def test_heavy_keys_of_an_encoding_spread_a_lookup(spark, monkeypatch):
+    """90 % of the rows share a value: known from the fit, so rows are not counted, and several tasks share them."""
+    rows = spark.range(4000, numPartitions=8).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 300)).alias("ORIGIN_STATE"),
+        (F.col("id") % 77).cast("double").alias("v"), F.lit("train").alias("stage"), "id",
+    )
+    encoding = features.fit_encoding(rows, ["ORIGIN_STATE"], "v")
+    heavy = {r["ORIGIN_STATE"]: r["_salts"] for r in encoding.heavy["ORIGIN_STATE"].collect()}
+    assert heavy["hot"] == 900 and len(heavy) <= skew.HEAVY
+    small = sorted(map(str, features.encode(rows, encoding, drop=False).collect()))
+    monkeypatch.setattr(features, "lookup_join", lambda *a, **k: lookup_join(*a, broadcast_rows=5, **k))
+    counted = []
+    monkeypatch.setattr(skew, "rows_up_to", lambda df, limit: counted.append(df) or 10**9)
+    salted = features.encode(rows, encoding, drop=False)
+    assert len(counted) == 1 and sorted(map(str, salted.collect())) == small  # the table of values alone was counted
+    assert plan_text(salted).count("Aggregate") == 0
+    monkeypatch.setattr(skew, "rows_up_to", lambda df, limit: 10**9)
+    for key, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(key, value)  # the tables are tiny, the plan shall be that of large ones
+    try:
+        sizes = features.encode(rows, encoding, drop=False).where("ORIGIN_STATE = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 1500
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salts_do_not_depend_on_the_order_of_rows(spark):
+    df = spark.range(500).select("id", F.create_map(F.lit("a"), "id").alias("m"), (F.col("id") % 7).cast("string").alias("k"))
+    one, other = (
+        {r["id"]: r["s"] for r in d.select("id", skew.row_salt(d, F.lit(13)).alias("s")).collect()}
+        for d in (df.coalesce(1).sortWithinPartitions("id"), df.coalesce(1).sortWithinPartitions(F.desc("k")))
+    )
+    assert one == other and set(one.values()) == set(range(13))
+
+
+def test_a_wide_domain_is_looked_up_on_a_stream(spark, tmp_path):
+    """A quarter of a million values: as in a batch, and the stream is not counted."""
+    table = spark.range(250_000).select(F.concat(F.lit("v"), "id").alias("value"))
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 50 != 7, F.concat(F.lit("v"), F.col("id") * 167 % 300_000)).alias("COLUMN_CATEGORICAL"))
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    manifest = validate.Manifest((validate.CategoricalInput("COLUMN_CATEGORICAL", table=table),))
+    stream = score_stream.read_stream(spark, str(tmp_path / "in"), rows.schema)
+    steps = {"accept": lambda df: validate.accept(df, manifest, keep=("id",)), "quarantine": lambda df: validate.quarantine(df, manifest)}
+    for name, step in steps.items():
+        out = str(tmp_path / name)
+        score_stream.project_stream(stream, step, out, str(tmp_path / f"state-{name}")).awaitTermination()
+        found, want = spark.read.parquet(out), step(rows)
+        assert sorted(map(str, found.select(want.columns).collect())) == sorted(map(str, want.collect()))
+        assert 300 < found.count() < 2700
+
+
 def test_running_min_across_pieces(spark):
     import random
 
