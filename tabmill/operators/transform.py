@@ -8,6 +8,7 @@ written to a table, read back, replayed on other data and inverted on the target
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -23,8 +24,10 @@ from ..sources.workspace import materialize
 
 REPLACE, APPEND, APPEND_AND_REMOVE = "REPLACE", "APPEND", "APPEND_AND_REMOVE"
 
-# Up to this many categories get a 0/1 column each, more go into one sparse vector.
+# Up to this many categories get a 0/1 column each, more go into one sparse vector, unless a step says `columns` or `vector`.
 MAX_WIDTH = 200
+MOST_COLUMNS = 5_000  # a step that says `columns` raises beyond
+FORMS = ("auto", "columns", "vector")
 
 # Step type -> (name in appended columns, prefix of step ids), both fixed values.
 STEP_NAMES = {
@@ -65,6 +68,7 @@ class Step:
     column: str
     method: str
     is_target: bool
+    form: str = field(default="auto", compare=False)  # of one-hot encoding
 
     @property
     def name(self) -> str:
@@ -128,11 +132,14 @@ def parse_steps(specs: list[dict], schema: RoleSchema) -> list[Step]:
             # where the target is a feature too, steps work on the feature and the label stays raw
             is_target = column == schema.target and not schema.target_is_feature
             method = spec.get("condition", "append_and_remove" if kind == "one_hot_encoding" else "replace").upper()
+            form = spec.get("form", "auto")
+            if form not in FORMS or form != "auto" and kind != "one_hot_encoding":
+                raise ValueError(f"unknown form {form!r} of {kind}")
             if kind == "one_hot_encoding":
                 method = APPEND_AND_REMOVE
             if method not in (REPLACE, APPEND, APPEND_AND_REMOVE):
                 raise ValueError(f"unknown condition {method!r}")
-            step = Step(ordinal, kind, column, method, is_target)
+            step = Step(ordinal, kind, column, method, is_target, form)
             if is_target and method != REPLACE:
                 raise ValueError(f"{column} is the target, not a feature: only replace is possible")
             if is_target and not step.has_inverse:
@@ -177,7 +184,11 @@ def _fit_one_hot(train: DataFrame, steps: dict[int, Step], max_width: int) -> di
     long = train.select(F.explode(cells).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
     values = materialize(long.distinct(), "values")
     width = {r["column"]: r["count"] for r in values.groupBy("column").count().collect()}
-    small = [c for c in columns if width.get(c, 0) <= max_width]
+    forms = {s.column: s.form for s in steps.values()}
+    small = [c for c in columns if forms[c] == "columns" or forms[c] == "auto" and width.get(c, 0) <= max_width]
+    for c in small:
+        if width.get(c, 0) > max(MOST_COLUMNS, max_width):
+            raise ValueError(f"{c} has {width[c]} categories, {MOST_COLUMNS} may get a column each; use the form 'vector'")
     listed: dict[str, list[str]] = {c: [] for c in small}
     for row in values.where(F.col("column").isin(*small)).collect() if small else []:
         listed[row["column"]].append(row["value"])
@@ -189,7 +200,7 @@ def _fit_one_hot(train: DataFrame, steps: dict[int, Step], max_width: int) -> di
     return {
         i: FittedStep(s, categories=tuple(sorted(listed[s.column])))
         if s.column in listed
-        else FittedStep(s, {"width": float(width[s.column])}, domain=large[s.column])
+        else FittedStep(s, {"width": float(width.get(s.column, 0))}, domain=large[s.column])
         for i, s in steps.items()
     }
 
@@ -237,7 +248,22 @@ def fit(
 
 
 def one_hot_columns(step: FittedStep) -> list[str]:
-    return [f"{step.step.column}_{value}" for value in step.categories]
+    """`<column>_<value>` for each category. Names that could not be told apart, or read as a path, end in a checksum.
+
+    Column names are not case-sensitive, so of `a` and `A` the second gets one, as does a value with a point or backtick.
+    """
+    names: list[str] = []
+    taken: set[str] = set()
+    for value in step.categories:
+        name = plain = f"{step.step.column}_{value}"
+        if name.lower() in taken or "." in value or "`" in value:
+            plain = plain.replace(".", "_").replace("`", "_")
+            name = f"{plain}_{zlib.crc32(value.encode()):08x}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def apply_steps(df: DataFrame, steps: list[FittedStep], only: str | None = None) -> DataFrame:
@@ -258,7 +284,10 @@ def apply_steps(df: DataFrame, steps: list[FittedStep], only: str | None = None)
             wide.append(s)
         elif step.type == "one_hot_encoding":
             del out[step.column]
+            there = {c.lower() for c in out}
             for value, name in zip(s.categories, one_hot_columns(s)):
+                if name.lower() in there:
+                    raise ValueError(f"{s.step.id} would overwrite the column {name}")
                 out[name] = F.when(x.cast("string") == F.lit(value), 1).otherwise(0)
         elif step.method == REPLACE:
             out[step.column] = s.forward(x)
@@ -266,6 +295,8 @@ def apply_steps(df: DataFrame, steps: list[FittedStep], only: str | None = None)
             out[f"{step.column}_{step.name}"] = s.forward(x)
     df = df.select(*[expr.alias(name) for name, expr in out.items()])
     for s in wide:
+        if f"{s.step.column}_vector".lower() in {c.lower() for c in df.columns}:
+            raise ValueError(f"{s.step.id} would overwrite the column {s.step.column}_vector")
         df = _sparse_one_hot(df, s)
     return df
 

@@ -8,7 +8,7 @@ from tabmill.functions.ordering import alphabetical_index, order_pieces, running
 from tabmill.functions.scalar import natural_log, round_half_even
 from tabmill.functions import skew
 from tabmill.functions.skew import lookup_join
-from tabmill.operators import features, transform, validate
+from tabmill.operators import features, models, transform, validate
 from tabmill.operators.split import split, split_sizes
 from tabmill.schema import COMMODITY_FLOW, SAMPLE, SAMPLE_TRANSFORMER
 from tabmill.streaming import score_stream
@@ -141,6 +141,37 @@ def test_wide_one_hot_equals_narrow(spark):
     assert a == b and sum(b["x"]) == 0
 
 
+@pytest.mark.parametrize("form", ["columns", "vector"])
+def test_the_form_of_one_hot_inputs_does_not_depend_on_their_number(spark, form):
+    kinds = []
+    for n in (199, 200, 201):
+        df = spark.range(2 * n).select(F.col("id").cast("string").alias("COLUMN_ID"), (F.col("id") % n).cast("string").alias("COLUMN_CATEGORICAL"), F.lit(1.0).alias("COLUMN_NUMERICAL"), F.lit(1.0).alias("COLUMN_TARGET"))
+        out = run(df, [{**step("one_hot_encoding", "column_categorical"), "form": form}])
+        kinds.append({t for c, t in out.dtypes if c.startswith("COLUMN_CATEGORICAL")})
+        if form == "columns":
+            assert len(out.columns) == n + 3
+    assert kinds[0] == kinds[1] == kinds[2] and len(kinds[0]) == 1
+    with pytest.raises(ValueError):
+        transform.parse_steps([{**step("one_hot_encoding", "column_categorical"), "form": "wide"}], SAMPLE_TRANSFORMER)
+
+
+def test_categories_whose_names_clash_train_a_model(spark):
+    values = ["a", "A", "U.S.", "U_S_", "x`y", "", "é", "a b"]
+    rows = [(str(i), values[i % 8], 1.0, float(i % 8), "train") for i in range(160)]
+    df = spark.createDataFrame(rows, "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double, COLUMN_TARGET double, stage string")
+    fitted = transform.fit(df, [step("one_hot_encoding", "column_categorical")], SAMPLE_TRANSFORMER)
+    names = transform.one_hot_columns(fitted[0])
+    assert len({n.lower() for n in names}) == 8 and not any("." in n or "`" in n for n in names)
+    assert {"COLUMN_CATEGORICAL_A", "COLUMN_CATEGORICAL_é", "COLUMN_CATEGORICAL_a b"} < set(names)
+    out = transform.apply_steps(df, fitted)
+    features = transform.transformed_features(SAMPLE_TRANSFORMER, df.columns, fitted)
+    assert set(names) < set(features)
+    model = models.fit_one(models.Candidate("m", "decision_tree_regressor", {"max_depth": 8}), out, features, "COLUMN_TARGET", "COLUMN_ID")
+    assert all(r["prediction"] == pytest.approx(r["COLUMN_TARGET"]) for r in model.transform(out).select("prediction", "COLUMN_TARGET").collect())
+    with pytest.raises(ValueError, match="overwrite"):
+        transform.apply_steps(df.withColumn("column_categorical_A", F.lit(1)), fitted)
+
+
 def test_append(ten):
     out = run(ten, [step("log_transformation", "column_numerical", condition="append")])
     assert out.columns[-1] == "COLUMN_NUMERICAL_log" and "COLUMN_NUMERICAL" in out.columns
