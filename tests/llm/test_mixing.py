@@ -91,8 +91,9 @@ def test_no_python_in_the_plan(spark):
 
 def test_weights_that_meet_no_row_are_named(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
+    levels = {"domain": F.expr(registry.DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
     with pytest.warns(UserWarning) as told:
-        registry.op10_mixing(spark, sf)
+        mixing.select(docs, levels, 0.5, 2, {("d0",): 3, ("d1",): 2, ("d0", "en"): 5, ("d1", "de"): 4, ("d0", "en", "src0"): 2}, 17)
     assert [str(t.message) for t in told if "no row" in str(t.message)] == ["weights of paths that no row has: [('d0',), ('d0', 'en'), ('d0', 'en', 'src0')]"]
     odd = spark.createDataFrame([(1, "a b", None), (2, "c", "x")], "doc_id bigint, text string, source string")
     with pytest.warns(UserWarning, match=re.escape("[('y',), ('x', 'x'), ()]")):
@@ -115,5 +116,5 @@ def test_every_weight_of_the_query_meets_a_row(spark):
     assert {len(path) for path in registry.MIX_WEIGHTS} == {1, 2, 3}
     for sf in ("sf0.001", "sf0.01"):
         with warnings.catch_warnings():
-            warnings.simplefilter("error")
+            warnings.filterwarnings("error", message="weights of paths")
             registry.op10_mixing(spark, f"/root/testdata/{sf}")
