@@ -7,57 +7,73 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import materialize
 from .selection import interval_of, sample_splitters
 
+ROWS_PER_PIECE = 1_000_000
+FAN = 1_024  # pieces that one window runs over
 
-def order_pieces(df: DataFrame, order: list[str], fanout: int = 64) -> Column:
-    """Interval number along the order columns, with about as many rows in each interval.
 
-    The intervals cut through groups, so even a group with most of the rows is spread over them.
+def range_pieces(df: DataFrame, order: list[str], rows_per_piece: int = ROWS_PER_PIECE) -> tuple[DataFrame, int]:
+    """The rows with `_piece`, the number of their interval along the order columns, written; and how many there are.
+
+    The number of intervals follows from the rows. They cut through groups, so even a group with most of the rows is
+    spread over them. Bounds come from a sample of 100 rows per interval, which keeps an interval below twice
+    `rows_per_piece` unless rows are equal in all order columns.
     """
-    kinds = dict(df.dtypes)
-    # timestamps as texts that sort alike, which survive the way to the driver in any time zone
-    parts = [
-        F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kinds[c].startswith("timestamp") else F.col(c) for c in order
-    ]
-    key = F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
-    picked = df.select(key.alias("k"), F.rand(7).alias("r")).orderBy("r").limit(fanout * 4).collect()
-    keys = sorted({tuple(row["k"]) for row in picked}, key=lambda k: [(v is not None, v) for v in k])
-    step = max(1, math.ceil(len(keys) / fanout))
-    schema = df.select(key.alias("k")).schema["k"].dataType
-    splitters = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(k, schema.fields)]) for k in keys[step - 1 :: step]
-    ]
-    return interval_of(key, splitters)
+    pieces = max(1, math.ceil(df.count() / rows_per_piece))
+    cut = df.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id())
+    return materialize(cut, "pieces"), pieces
+
+
+def _carried(lows: DataFrame, pieces: int, fan: int) -> DataFrame:
+    """(_group, _piece, _low) with `_carry`, the minimum of the earlier pieces of the group.
+
+    Of more pieces than `fan`, each `fan` are reduced to one first, and so on: no window holds more than `fan` rows.
+    """
+    if pieces <= fan:
+        along = Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        return lows.withColumn("_carry", F.min("_low").over(along))
+    branch = F.struct("_group", F.floor(F.col("_piece") / fan).alias("_piece"))
+    leaves = lows.withColumn("_branch", branch)
+    above = leaves.groupBy("_branch").agg(F.min("_low").alias("_low")).select("_branch.*", "_low")
+    above = _carried(above, math.ceil(pieces / fan), fan).select(
+        F.struct("_group", "_piece").alias("_branch"), F.col("_carry").alias("_above")
+    )
+    along = Window.partitionBy("_branch").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    inside = leaves.withColumn("_inside", F.min("_low").over(along)).join(above, "_branch")
+    return inside.select("_group", "_piece", "_low", F.least("_inside", "_above").alias("_carry"))
 
 
 def running_min_before(
-    df: DataFrame, group: list[str], order: list[str], value: str, out: str, piece: Column | None = None
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    value: str,
+    out: str,
+    piece: Column | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
+    fan: int = FAN,
 ) -> DataFrame:
-    """Minimum of the earlier rows of the group, null for the first, plus `group_<out>` over all rows.
+    """Minimum of the earlier rows of the group, null for the first, plus `group_<out>` over all rows. Null is a group.
 
     `piece` cuts each group along its order (for instance a day for a timestamp) and must not
-    decrease along it; without it the cuts are sampled. Pieces are reduced to one row each before the
-    running minimum is carried across them, and the row-level window only runs inside a piece.
+    decrease along it; without it the rows are cut into as many pieces as they ask for. Pieces are reduced to one row
+    each before the running minimum is carried across them, and the row-level window only runs inside a piece.
     """
-    if piece is None:
-        piece = order_pieces(df, order)
-    cut = df.withColumn("_piece", piece)
-    pieces = cut.groupBy(*group, "_piece").agg(F.min(value).alias("_low"))
-    along = Window.partitionBy(*group).orderBy("_piece")
-    carried = pieces.select(
-        *group,
-        "_piece",
-        F.min("_low").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        F.min("_low").over(Window.partitionBy(*group)).alias(f"group_{out}"),
-    )
-    inside = Window.partitionBy(*group, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    keys = [*group, "_piece"]
+    # own pieces are as many as the caller makes them
+    cut, pieces = range_pieces(df, order, rows_per_piece) if piece is None else (df.withColumn("_piece", piece), 0)
+    # inside a struct nulls are equal to each other
+    cut = cut.withColumn("_cell", F.struct(F.struct(*group).alias("_group"), F.col("_piece")))
+    lows = cut.groupBy("_cell").agg(F.min(value).alias("_low")).select("_cell.*", "_low")
+    whole = lows.groupBy("_group").agg(F.min("_low").alias(f"group_{out}"))
+    carried = _carried(lows, pieces, fan).join(whole, "_group")
+    carried = carried.select(F.struct("_group", "_piece").alias("_cell"), "_carry", f"group_{out}")
+    inside = Window.partitionBy("_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         cut.withColumn("_inside", F.min(value).over(inside))
-        .join(carried, keys)
+        .join(carried, "_cell")
         .withColumn(out, F.least("_inside", "_carry"))
-        .drop("_piece", "_inside", "_carry")
         .select(*df.columns, out, f"group_{out}")
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .hashing import keyed_hash, row_text
@@ -18,6 +18,8 @@ from .scalar import skip_nan
 
 # Up to this many rows a plain ORDER BY .. LIMIT stays cheap for the one task that merges it.
 SMALL = 10_000
+FINISH = 40_000  # values of a bracket of ranks that are collected
+MERGERS = 64  # groups of tasks whose sketches are merged first
 HEX_DIGITS = 4  # 65 536 counts per pass
 
 
@@ -224,99 +226,109 @@ def first_rows(df: DataFrame, key: str, n: int, small: int = SMALL) -> DataFrame
     return rows_of(df, _tied_by_content(df, lower, tied, n - bound.below, n))
 
 
-def exact_quantiles(
-    df: DataFrame, columns, probabilities, sizes: dict | None = None, finish: int = SMALL, accuracy: int = 10_000
-) -> dict:
+def _merged(data: DataFrame, partial: dict[str, Column], merge: dict) -> Row:
+    """Aggregates by group of tasks, then over the MERGERS groups, so that no task merges the sketches of all tasks."""
+    parts = data.groupBy("_task").agg(*[column.alias(name) for name, column in partial.items()])
+    return parts.agg(*[merge[name](F.col(name)).alias(name) for name in partial]).first()
+
+
+def _quantiles_of(sketches: Column, ranks: list[float]) -> Column:
+    """(n, marks) of merged sketches; no marks where nothing was seen."""
+    whole = F.kll_merge_agg_double(sketches)
+    n = F.kll_sketch_get_n_double(whole)
+    marks = F.kll_sketch_get_quantile_double(whole, F.array(*map(F.lit, ranks)))
+    return F.struct(n.alias("n"), F.when(n > 0, marks).alias("marks"))
+
+
+def exact_quantiles(df: DataFrame, columns, probabilities, finish: int = FINISH, accuracy: int = 16_384) -> dict:
     """Interpolated quantiles {(column, p): value}, exact at any size.
 
-    A bounded sketch brackets each rank, one aggregate counts the bracket, and the pass repeats
-    inside the bracket until few enough values are left to be sorted. All columns share each pass.
-    `sizes` are the counts of values, if known.
+    The first pass fills a KLL sketch per column (`accuracy` is its k), which gives two marks around each rank. The second
+    counts what lies below, at and between the marks, and collects the values between them if the sketch's error lets
+    expect at most `finish`; otherwise it sketches them anew, and the next pass does the same between two marks of that
+    sketch. With the defaults two passes are enough for 20 million rows and three for 7 billion; another takes a factor of
+    350. A rank outside its marks, which the sketch allows now and then, is looked for in the rest: marks never change
+    the result.
     """
-    values = {c: skip_nan(F.col(c).cast("double")) for c in columns}
-    if sizes is None:
-        row = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-        sizes = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-
-    def ranks(c, p):
-        at = p * (sizes[c] - 1)
-        return math.floor(at) + 1, math.ceil(at) + 1
-
-    # order statistics needed: (column, rank from 1)
-    wanted = {(c, r) for c in columns if sizes[c] for p in probabilities for r in ranks(c, p)}
-    # where each one lies: values in [lo, hi], the rows below lo and the rows inside
-    scope = {t: (-math.inf, math.inf, 0, sizes[t[0]]) for t in wanted}
+    columns = list(columns)
+    data = df.select(
+        F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_task"),
+        *[skip_nan(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)],
+    )
+    # 2.296 / k^0.9021 is the published rank error of the sketch, met by 99 in 100
+    margin = 1.5 * 2.296 / accuracy**0.9021
+    grid = max(8, math.ceil(1 / margin))
+    steps = [k / grid for k in range(grid + 1)]
+    around = [min(1.0, max(0.0, p + side * margin)) for p in probabilities for side in (-1, 1)]
+    sketched = {f"x{i}": F.kll_sketch_agg_double(f"x{i}", accuracy) for i in range(len(columns))}
+    first = _merged(data, sketched, {name: lambda s: _quantiles_of(s, around) for name in sketched})
+    # order statistics needed, (column, rank from 1): where each lies (values in [lo, hi], values below lo, values inside),
+    # two marks that should enclose it, and how many values to expect between them
+    todo = {}
+    for i in range(len(columns)):
+        n, marks = first[f"x{i}"]
+        for j, p in enumerate(probabilities if n else ()):
+            for r in _ranks(p, n):
+                todo.setdefault((i, r), ((-math.inf, math.inf, 0, n), tuple(marks[2 * j : 2 * j + 2]), math.ceil(4 * margin * n)))
     found: dict = {}
-    while scope:
-        # targets in the same interval share its aggregates
-        groups: dict[tuple, list] = {}
-        for t in sorted(scope):
-            groups.setdefault((t[0], *scope[t]), []).append(t)
-        inside = {
-            g: F.when((values[g[0]] >= F.lit(g[1])) & (values[g[0]] <= F.lit(g[2])), values[g[0]]) for g in groups
-        }
-        ready = [g for g in groups if g[4] <= finish]
-        if ready:
-            row = df.agg(*[F.sort_array(F.collect_list(inside[g])).alias(f"v{i}") for i, g in enumerate(ready)]).first()
-            for i, g in enumerate(ready):
-                for t in groups[g]:
-                    found[t] = row[f"v{i}"][t[1] - g[3] - 1]
-                    del scope[t]
-            continue
-        # neighbouring ranks fall into one bracket
-        brackets: list[tuple] = []
-        for g, targets in groups.items():
-            last = None
-            for t in targets:
-                p = (t[1] - g[3]) / g[4]
-                if last is None or p - last > 1 / accuracy:
-                    brackets.append((g, [max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy)], [t]))
-                    last = p
-                else:
-                    brackets[-1][2].append(t)
-        row = df.agg(
-            *[F.percentile_approx(inside[g], list(around), accuracy).alias(f"m{i}") for i, (g, around, _) in enumerate(brackets)]
-        ).first()
-        marks = [row[f"m{i}"] for i in range(len(brackets))]
-        counters = []
-        for i, (g, _, _) in enumerate(brackets):
-            lo, hi = F.lit(marks[i][0]), F.lit(marks[i][1])
-            for name, test in (
-                ("below", inside[g] < lo),
-                ("at_lo", inside[g] == lo),
-                ("between", (inside[g] > lo) & (inside[g] < hi)),
-                ("at_hi", inside[g] == hi),
-            ):
-                counters.append(F.count(F.when(test, 1)).alias(f"{name}{i}"))
-        row = df.agg(*counters).first()
-        for i, (g, _, targets) in enumerate(brackets):
-            _, lo, hi, start, rows = g
-            low, high = marks[i]
-            pieces = [
-                (row[f"below{i}"], (lo, math.nextafter(low, -math.inf))),
-                (row[f"at_lo{i}"], (low, low)),
-                (row[f"between{i}"], (math.nextafter(low, math.inf), math.nextafter(high, -math.inf))),
-                (row[f"at_hi{i}"] if high > low else 0, (high, high)),
-            ]
-            pieces.append((rows - sum(n for n, _ in pieces), (math.nextafter(high, math.inf), hi)))
-            for t in targets:
-                below = start
-                for n, (first, last) in pieces:
-                    if t[1] <= below + n:
-                        break
-                    below += n
-                if first == last:
-                    found[t] = first
-                    del scope[t]
+    while todo:
+        # ranks with the same marks share their aggregates
+        brackets = {(t[0], scope, marks): bound for t, (scope, marks, bound) in todo.items()}
+        partial, merge, short = {}, {}, {}
+        for j, ((i, (lo, hi, _, _), (low, high)), bound) in enumerate(brackets.items()):
+            x = F.col(f"x{i}")
+            scoped = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            between = scoped & (x > F.lit(low)) & (x < F.lit(high))
+            tests = {"below": scoped & (x < F.lit(low)), "at_low": scoped & (x == F.lit(low)), "between": between, "at_high": scoped & (x == F.lit(high))}
+            for name, test in tests.items():
+                partial[f"{name}{j}"], merge[f"{name}{j}"] = F.count(F.when(test, 1)), F.sum
+            if bound <= finish:
+                short[i] = short[i] | between if i in short else between
+            else:
+                partial[f"sketch{j}"] = F.kll_sketch_agg_double(F.when(between, x), accuracy)
+                merge[f"sketch{j}"] = lambda s: _quantiles_of(s, steps)
+        for i, inside in short.items():
+            partial[f"values{i}"] = F.collect_list(F.when(inside, F.col(f"x{i}")))
+            merge[f"values{i}"] = lambda lists: F.sort_array(F.flatten(F.collect_list(lists)))
+        row = _merged(data, partial, merge)
+        for j, (bracket, bound) in enumerate(brackets.items()):
+            i, (lo, hi, start, size), (low, high) = bracket
+            counts = [row[f"below{j}"], row[f"at_low{j}"], row[f"between{j}"], row[f"at_high{j}"] if high > low else 0]
+            counts.append(size - sum(counts))
+            values = [v for v in row[f"values{i}"] if low < v < high] if bound <= finish else None
+            for t in [t for t, (scope, marks, _) in todo.items() if (t[0], scope, marks) == bracket]:
+                below, at = start, 0
+                while t[1] > below + counts[at]:
+                    below += counts[at]
+                    at += 1
+                if at in (1, 3):
+                    found[t] = low if at == 1 else high
+                    del todo[t]
+                elif at == 2 and values is not None:
+                    found[t] = values[t[1] - below - 1]
+                    del todo[t]
+                elif at == 2:
+                    inside = (math.nextafter(low, math.inf), math.nextafter(high, -math.inf), below, counts[2])
+                    place = (t[1] - below - 0.5) / counts[2]
+                    ends = max(0, math.floor((place - margin) * grid)), min(grid, math.ceil((place + margin) * grid))
+                    marks = row[f"sketch{j}"]["marks"]
+                    todo[t] = (inside, (marks[ends[0]], marks[ends[1]]), math.ceil(6 * margin * counts[2]))
                 else:
-                    scope[t] = (first, last, below, n)
+                    rest = (lo, math.nextafter(low, -math.inf)) if at == 0 else (math.nextafter(high, math.inf), hi)
+                    todo[t] = ((*rest, below, counts[at]), rest, counts[at])
     out = {}
-    for c in columns:
+    for i, c in enumerate(columns):
+        n = first[f"x{i}"]["n"]
         for p in probabilities:
-            if not sizes[c]:
-                out[c, p] = None
-                continue
-            at = p * (sizes[c] - 1)
-            low, high = (found[c, r] for r in ranks(c, p))
-            out[c, p] = low + (high - low) * (at - math.floor(at))
+            out[c, p] = None
+            if n:
+                low, high = (found[i, r] for r in _ranks(p, n))
+                place = p * (n - 1)
+                # equal ends, infinite ones too, need no interpolation
+                out[c, p] = low if low == high else low + (high - low) * (place - math.floor(place))
     return out
+
+
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    """Ranks, from 1, of the two values that a quantile of n values lies between."""
+    return math.floor(p * (n - 1)) + 1, math.ceil(p * (n - 1)) + 1

@@ -74,3 +74,14 @@ def lookup_join(
     salted = df.join(frequent, keys, "left")
     salted = salted.withColumn("_salt", row_salt(df, F.when(no_key, F.lit(4096)).otherwise(salts))).drop("_salts")
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The rows over all cores, for work that reads them several times, if one task holds more than two cores' share.
+
+    A table of many partitions of like size stays as it is. Rows are counted per task, without reading their columns.
+    """
+    sizes = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if total and most > 2 * total / cores else df

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import math
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -14,10 +16,11 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workspace import materialize, new_path
+from ..functions.skew import dealt_out
+from ..sources.workspace import materialize
 from .evaluate import best_model, known_metrics, metrics_by_stage
 from .knn import Predicting, build_index
 from .knn_hashed import build_hashed_index
@@ -162,21 +165,67 @@ def estimator(candidate: Candidate, label: str, prediction: str, n_inputs: int,
     raise ValueError(f"{kind} is not an MLlib estimator")
 
 
-def cut_small_nodes(spark: SparkSession, model: DecisionTreeRegressionModel, smallest: int) -> DecisionTreeRegressionModel:
+def node_spans(tree: DecisionTreeRegressionModel) -> list[tuple[int, int]]:
+    """First and last leaf of every node, a node before those below it, from the printed tree.
+
+    Leaves are numbered in the order of print, as the model's `leafCol` numbers them.
+    """
+    lines = [line.split(None, 1)[0] for line in tree.toDebugString.splitlines()[1:] if line.strip()]
+    spans, above, leaf = [], [], 0
+    for word in lines:
+        if word == "If":
+            above.append([len(spans), 2])
+            spans.append((leaf, leaf))
+        elif word == "Predict:":
+            spans.append((leaf, leaf))
+            # a node ends with the last leaf of its second branch
+            while above:
+                above[-1][1] -= 1
+                if above[-1][1]:
+                    break
+                node, _ = above.pop()
+                spans[node] = (spans[node][0], leaf)
+            leaf += 1
+    return spans
+
+
+@dataclass
+class CutTree:
+    """A tree whose leaves predict what the node predicts that they were cut to."""
+
+    tree: DecisionTreeRegressionModel
+    values: list[float]  # by leaf of the tree
+    numNodes: int
+    prediction: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        leaf, plain = f"_{self.prediction}_leaf", f"_{self.prediction}_whole"
+        found = self.tree.copy().setLeafCol(leaf).setPredictionCol(plain).transform(df)
+        return found.withColumn(self.prediction, F.lit(self.values)[F.col(f"`{leaf}`").cast("int")]).drop(leaf, plain)
+
+
+def cut_small_nodes(tree: DecisionTreeRegressionModel, rows: DataFrame, label: str, smallest: int) -> CutTree:
     """Turn every node with fewer train rows into a leaf: the tree that `min_samples_split` would have grown.
 
-    A split does not depend on the splits below it, so cutting afterwards gives the same tree. It is
-    done on the node table of MLlib's own model format.
+    A split does not depend on the splits below it, so cutting afterwards gives the same tree. One aggregate over the
+    train rows tells rows and sum of labels of each leaf, and so of each node.
     """
-    grown, cut = new_path(spark, "tree"), new_path(spark, "tree-cut")
-    model.write().save(grown)
-    too_small = F.col("rawCount") < smallest
-    nodes = spark.read.parquet(f"{grown}/data")
-    for child in ("leftChild", "rightChild"):
-        nodes = nodes.withColumn(child, F.when(too_small, F.lit(-1)).otherwise(F.col(child)))
-    nodes.write.parquet(f"{cut}/data")
-    spark.read.text(f"{grown}/metadata").write.text(f"{cut}/metadata")
-    return DecisionTreeRegressionModel.load(cut)
+    leaf, plain = "_leaf", "_whole"
+    placed = tree.copy().setLeafCol(leaf).setPredictionCol(plain).transform(rows)
+    seen = {int(r[leaf]): (r["n"], r["s"]) for r in placed.groupBy(leaf).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("s")).collect()}
+    spans = node_spans(tree)
+    n_leaves = spans[0][1] + 1
+    counts = [0, *itertools.accumulate(seen[i][0] if i in seen else 0 for i in range(n_leaves))]
+    values = [0.0] * n_leaves
+    done = nodes = 0  # leaves that have their value; nodes come before those below them
+    for first, last in spans:
+        nodes += first >= done
+        n = counts[last + 1] - counts[first]
+        if first >= done and (n < smallest or first == last):
+            mean = (math.fsum(seen[i][1] for i in range(first, last + 1) if i in seen) / n) if n else 0.0
+            values[first : last + 1] = [mean] * (last + 1 - first)
+            done = last + 1
+    return CutTree(tree, values, nodes, tree.getPredictionCol())
 
 
 @dataclass
@@ -203,8 +252,8 @@ class BoostedTrees:
 class Boosting:
     """Least-squares boosting: starts from the mean and fits each tree to what is left of the label.
 
-    The residuals are a column that is written to the shared folder every few rounds, so that neither plans nor lost
-    executors make the rounds before run again.
+    The residuals are a column that is kept for the round that reads it several times, and written to the shared folder
+    every few rounds, so that neither plans nor lost executors make all the rounds before run again.
     """
 
     columns: dict
@@ -229,9 +278,12 @@ class Boosting:
             seen = left if self.subsamplingRate >= 1 else left.sample(self.subsamplingRate, self.seed + i)
             trees.append(tree.fit(seen))
             if i + 1 < self.maxIter:
+                before = left
                 left = trees[-1].transform(left).select(inputs, (F.col("_left") - self.stepSize * F.col("_step")).alias("_left"))
-                if (i + 1) % KEEP_ROUNDS == 0:
-                    left = materialize(left, "residuals")
+                left = materialize(left, "residuals") if (i + 1) % KEEP_ROUNDS == 0 else left.persist(StorageLevel.MEMORY_AND_DISK)
+                left.count()
+                before.unpersist()
+        left.unpersist()
         return BoostedTrees(start, self.stepSize, trees, self.columns["predictionCol"])
 
 
@@ -239,7 +291,7 @@ def _fit_mllib(candidate: Candidate, chosen, rows: DataFrame):
     model = chosen.fit(rows)
     hp = candidate.hyperparameters
     if candidate.model_type == "decision_tree_regressor" and hp.get("min_samples_split", 2) > 2 * hp.get("min_samples_leaf", 1):
-        return cut_small_nodes(rows.sparkSession, model, hp["min_samples_split"])
+        return cut_small_nodes(model, rows, chosen.getLabelCol(), hp["min_samples_split"])
     return model
 
 
@@ -286,7 +338,7 @@ def fit_one(candidate: Candidate, train: DataFrame, features: list[str], label:
     if isinstance(chosen, LinearRegression) and chosen.getSolver() == "normal":
         # a single pass, nothing to keep
         return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = dealt_out(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
     finally:
@@ -344,13 +396,27 @@ def train_grid(
     unsupported: str = "raise",
     parallelism: int = 4,
     per_pass: int = 16,
+    timer=None,
 ) -> GridResult:
     """Fit every candidate on train, measure on train and valid, and the winner alone on test.
 
     Linear candidates share one pass over the train rows; trees are fitted a few at a time; neighbours share one search.
-    Candidates with options that MLlib cannot express raise, or are skipped and reported.
+    Candidates with options that MLlib cannot express raise, or are skipped and reported. With a `timer`, a function of a
+    stage and a time in seconds, every stage is measured in a pass of its own and its time is told.
     """
     metrics = known_metrics(metrics)
+    spent = {"train": 0.0, "valid": 0.0, "test": 0.0}
+
+    def measured(scored: DataFrame, columns: dict[str, str], stages) -> list[tuple]:
+        if timer is None:
+            return [tuple(r) for r in metrics_by_stage(scored, label, columns, metrics).collect()]
+        found = []
+        for stage in stages:
+            since = time.time()
+            found += metrics_by_stage(scored.where(F.col("stage") == stage), label, columns, metrics).collect()
+            spent[stage] += time.time() - since
+        return [tuple(r) for r in found]
+
     if primary not in metrics:
         raise ValueError("the primary metric must be one of the metrics")
     if objective not in ("best_model", "first_model"):
@@ -390,8 +456,7 @@ def train_grid(
                 scored = seen
                 for c in part:
                     scored = models[c.model_id].model.transform(scored)
-                table = metrics_by_stage(scored, label, {c.model_id: c.model_id for c in part}, metrics)
-                collected += [tuple(r) for r in table.collect()]
+                collected += measured(scored, {c.model_id: c.model_id for c in part}, ("train", "valid"))
         # one search per distance and kind of index serves every k and weighting of the grid
         kinds = {(knn_setting(c)[2], knn_builder(c)): None for c in nearest}
         for p, build in kinds:
@@ -399,8 +464,7 @@ def train_grid(
             index = build(train, features, label, key, max(knn_setting(c)[0] for c in group), p)
             settings = {c.model_id: knn_setting(c)[:2] for c in group}
             scored = index.predict(seen.select("stage", label, *features), settings)
-            table = metrics_by_stage(scored, label, {c.model_id: c.model_id for c in group}, metrics)
-            collected += [tuple(r) for r in table.collect()]
+            collected += measured(scored, {c.model_id: c.model_id for c in group}, ("train", "valid"))
             for c in group:
                 models[c.model_id] = FittedModel(c, features, c.model_id, index)
         columns = "model_id string, stage string, metric string, value double"
@@ -409,8 +473,9 @@ def train_grid(
         else:
             best = models[best_model(spark.createDataFrame(collected, columns), primary).first()["model_id"]]
         test = df.where(F.col("stage") == "test")
-        final = metrics_by_stage(best.transform(test), label, {best.candidate.model_id: best.prediction}, metrics)
-        collected += [tuple(r) for r in final.collect()]
+        collected += measured(best.transform(test), {best.candidate.model_id: best.prediction}, ("test",))
+        for stage, seconds in spent.items() if timer else ():
+            timer(f"validation.{stage}", seconds)
         return GridResult(models, spark.createDataFrame(collected, columns), best, skipped)
     finally:
         vectors.unpersist()

@@ -10,6 +10,7 @@ from ..functions.hashing import hex_to_long, row_text
 from ..functions.scalar import skip_nan
 from ..functions.selection import exact_quantiles
 from ..schema import RoleSchema
+from ..sources.workspace import new_path
 
 MANIFEST = T.ArrayType(
     T.StructType(
@@ -25,7 +26,7 @@ MANIFEST = T.ArrayType(
     )
 )
 
-# A column with more values than this keeps them in the long table, not in the JSON manifest.
+# A column with more values than this keeps them in a table, not in the JSON manifest, and in several maps.
 MANIFEST_VALUES = 10_000
 
 
@@ -72,25 +73,32 @@ def manifest_categorical(df: DataFrame, schema: RoleSchema) -> DataFrame:
     return cells(df, columns).distinct().select(F.col("column").alias("name"), "value")
 
 
-def manifest_json(numeric: DataFrame, values: DataFrame, max_values: int = MANIFEST_VALUES) -> DataFrame:
-    """The manifest as one JSON text; larger domains are refused here and stay in the long table."""
-    sizes = values.groupBy("name").count().where(F.col("count") > max_values).limit(10).collect()
-    if sizes:
-        raise ValueError(f"too many values for a JSON manifest: {[tuple(r) for r in sizes]}")
+def manifest_json(
+    numeric: DataFrame, values: DataFrame, max_values: int = MANIFEST_VALUES, folder: str | None = None
+) -> DataFrame:
+    """The manifest as one JSON text.
+
+    A domain of more than `max_values` values is written as a table (`value`) below `folder`, by default one in the
+    shared folder, and its `values_path` stands for the list.
+    """
+    spark = values.sparkSession
+    large = values.groupBy("name").count().where(F.col("count") > max_values).select("name")
+    wide = [r["name"] for r in large.collect()]
+    if wide:
+        folder = folder or new_path(spark, "values")
+        for name in wide:
+            values.where(F.col("name") == name).select("value").write.mode("overwrite").parquet(f"{folder}/{name}")
+        values = values.where(~F.col("name").isin(wide))
     lists = values.groupBy("name").agg(F.sort_array(F.collect_list("value")).alias("available_values"))
     none = F.lit(None)
-    entries = numeric.select(
-        "name", "type", "min", "max", none.cast("array<string>").alias("available_values")
-    ).unionByName(
-        lists.select(
-            "name",
-            F.lit("categorical").alias("type"),
-            none.cast("double").alias("min"),
-            none.cast("double").alias("max"),
-            "available_values",
-        )
+    entries = numeric.select("name", "type", "min", "max").unionByName(
+        lists.select("name", F.lit("categorical").alias("type"), "available_values"), allowMissingColumns=True
     )
-    entry = F.struct("name", "type", "min", "max", "available_values")
+    entries = entries.withColumn("values_path", none.cast("string"))
+    if wide:
+        stored = spark.createDataFrame([(n, "categorical", f"{folder}/{n}") for n in wide], "name string, type string, values_path string")
+        entries = entries.unionByName(stored, allowMissingColumns=True)
+    entry = F.struct("name", "type", "min", "max", "available_values", "values_path")
     return entries.agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("manifest"))
 
 
@@ -100,12 +108,12 @@ def manifest_rows(df: DataFrame, json_column: str = "manifest") -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per column; the quartiles are exact."""
+    """count, mean, sample std, min, quartiles and max per column, in three passes up to 20 million rows; all are exact."""
     columns = list(columns)
     base = _one_row_per_column(
         df, columns, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     ).collect()
-    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75), {r["column"]: r["count"] for r in base})
+    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
     rows = [
         (c := r["column"], r["count"], r["mean"], r["std"], r["min"], q[c, 0.25], q[c, 0.5], q[c, 0.75], r["max"]) for r in base
     ]
@@ -144,12 +152,17 @@ def profile_categorical(df: DataFrame, columns) -> DataFrame:
 
 
 def frequency_map(profile: DataFrame, max_values: int = MANIFEST_VALUES) -> DataFrame:
-    """(column, freq map) from the long profile, for small domains only."""
-    wide = profile.where(F.col("n_unique") > max_values).select("column").distinct().limit(10).collect()
-    if wide:
-        raise ValueError(f"too many values for a map: {[r[0] for r in wide]}")
-    return profile.groupBy("column").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "freq")))).alias("freq")
+    """(column, freq map) from the long profile.
+
+    A column with more than `max_values` values has several rows, each with the map of about half that many values, dealt
+    by hash; no value is in two of them.
+    """
+    maps = F.when(F.col("n_unique") <= max_values, 1).otherwise(F.ceil(2 * F.col("n_unique") / max_values))
+    part = F.pmod(F.xxhash64("column", "value"), maps)
+    return (
+        profile.groupBy("column", part.alias("_part"))
+        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "freq")))).alias("freq"))
+        .select("column", "freq")
     )
 
 
@@ -162,9 +175,14 @@ def dataset_meta(df: DataFrame) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Digest that does not depend on row order or partitioning: row count and sum of 32-bit row hashes."""
-    row_hash = hex_to_long(F.substring(F.md5(row_text(df)), 1, 8))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash.cast("decimal(38,0)")).alias("digest"))
+    """Digest that does not depend on row order or partitioning: row count and sum of 32-bit row hashes.
+
+    The halves of the hashes are summed as bigint, which holds for 2^47 rows.
+    """
+    hashes = df.select(hex_to_long(F.substring(F.md5(row_text(df)), 1, 8)).alias("h"))
+    high, low = F.sum(F.shiftright("h", 16)), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFF)))
+    digest = high.cast("decimal(25,0)") * F.lit(65536).cast("decimal(5,0)") + low.cast("decimal(25,0)")
+    return hashes.agg(F.count(F.lit(1)).alias("n_rows"), digest.cast("decimal(38,0)").alias("digest"))
 
 
 def duplicate_content(df: DataFrame, key: str, content: str) -> DataFrame:

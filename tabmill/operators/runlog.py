@@ -206,10 +206,10 @@ def nominate(score: float, previous: float | None) -> tuple[str, str | None]:
 
 
 def run_cards(runs: DataFrame, tags: DataFrame, properties: DataFrame, metrics: DataFrame) -> DataFrame:
-    """(parent_id, part, key, text, number): properties overlaid by metrics, of each parent with a best child and of that child."""
-    text = latest(properties).select("run_id", "key", F.struct(F.lit(0).alias("layer"), F.col("value").alias("text"), F.lit(None).cast("double").alias("number")).alias("cell"))
-    number = latest(metrics).select("run_id", "key", F.struct(F.lit(1).alias("layer"), F.lit(None).cast("string").alias("text"), F.col("value").alias("number")).alias("cell"))
-    cells = text.unionByName(number).groupBy("run_id", "key").agg(F.max("cell").alias("cell"))
+    """(parent_id, part, key, text, number): properties overlaid by metrics, of each parent with a best child and of that child.
+
+    Entries of other runs are left out before anything is aggregated.
+    """
     pairs = tagged_best(runs, tags).select(
         "parent_id",
         F.inline(
@@ -219,7 +219,16 @@ def run_cards(runs: DataFrame, tags: DataFrame, properties: DataFrame, metrics:
             )
         ),
     )
-    return cells.join(pairs, "run_id").select("parent_id", "part", "key", "cell.text", "cell.number")
+    wanted = pairs.select("run_id")
+
+    def cells(entries: DataFrame, layer: int, text: Column, number: Column) -> DataFrame:
+        cell = F.struct(F.lit(layer).alias("layer"), text.cast("string").alias("text"), number.cast("double").alias("number"))
+        return latest(entries.join(wanted, "run_id", "left_semi")).select("run_id", "key", cell.alias("cell"))
+
+    none = F.lit(None)
+    both = cells(properties, 0, F.col("value"), none).unionByName(cells(metrics, 1, none, F.col("value")))
+    top = both.groupBy("run_id", "key").agg(F.max("cell").alias("cell"))
+    return top.join(pairs, "run_id").select("parent_id", "part", "key", "cell.text", "cell.number")
 
 
 def latest_per_base_stage(runs: DataFrame, stage: str = "production") -> DataFrame:

@@ -18,7 +18,7 @@ from .evaluate import errors
 from .knn import Predicting, load_index, save_index
 from .knn_hashed import HashedIndex, load_hashed_index, save_hashed_index
 from .linear_grid import LinearModel
-from .models import INPUTS, BoostedTrees, Candidate, FittedModel
+from .models import INPUTS, BoostedTrees, Candidate, CutTree, FittedModel
 from .transform import FittedStep, apply_steps, invert_target, load_steps, save_steps
 from .validate import CategoricalInput, Manifest, NumericInput, accept, describe_inputs, judge, quarantine, some_value, typed_input
 
@@ -153,13 +153,14 @@ def save_scorer(scorer: Scorer, path: str) -> None:
     save_steps(spark, scorer.steps, f"{path}/steps")
     model = scorer.model.model
     boosted = model if isinstance(model, BoostedTrees) else None
+    cut = model if isinstance(model, CutTree) else None
     index = None
     if isinstance(model, Predicting):
         save = save_hashed_index if isinstance(model, HashedIndex) else save_index
         index = save(model, f"{path}/neighbours")
     elif not isinstance(model, LinearModel):
         assembler = VectorAssembler(inputCols=scorer.model.features, outputCol=INPUTS, handleInvalid="error")
-        PipelineModel([assembler, *(boosted.trees if boosted else [model])]).write().overwrite().save(f"{path}/model")
+        PipelineModel([assembler, *(boosted.trees if boosted else [cut.tree if cut else model])]).write().overwrite().save(f"{path}/model")
     inputs = describe_inputs(scorer.manifest)
     for i in scorer.manifest.inputs:
         if isinstance(i, CategoricalInput) and i.table is not None:
@@ -175,6 +176,7 @@ def save_scorer(scorer: Scorer, path: str) -> None:
         "model_type": scorer.model.candidate.model_type,
         "hyperparameters": scorer.model.candidate.hyperparameters,
         "boosting": [boosted.start, boosted.rate] if boosted else None,
+        "cut": [cut.values, cut.numNodes] if cut else None,
         "neighbours": index,
         "linear": [model.coefficients, model.intercept] if isinstance(model, LinearModel) else None,
     }
@@ -201,6 +203,8 @@ def load_scorer(spark: SparkSession, path: str) -> Scorer:
         stages = PipelineModel.load(f"{path}/model").stages[1:]
         boosting = card.get("boosting")
         model = BoostedTrees(*boosting, stages, card["prediction"]) if boosting else stages[-1]
+        if card.get("cut"):
+            model = CutTree(model, *card["cut"], card["prediction"])
     return Scorer(
         card["name"],
         schema_named(card["schema"]),

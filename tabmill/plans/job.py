@@ -6,6 +6,7 @@ import json
 import time
 import uuid
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,17 +84,45 @@ def cleaned(df: DataFrame, config: dict) -> DataFrame:
     return clean(df, schema, spec.get("call", []) if spec else [], carry_id=True)
 
 
-def prepare(df: DataFrame, config: dict, fit_mode: str = "chained", exact: bool = False) -> Prepared:
+class Stopwatch:
+    """Notes times in the log. Stages fuse into one plan, which has one time; `apart` writes every stage as a table, so
+    that it has its own."""
+
+    def __init__(self, log: Recorder, run_id: str, apart: bool):
+        self.log, self.run_id, self.apart = log, run_id, apart
+
+    def note(self, key: str, seconds: float) -> None:
+        self.log.metric(self.run_id, f"time_ms.{key}", seconds * 1000)
+
+    def stage(self, df: DataFrame, key: str) -> DataFrame:
+        if not self.apart:
+            return df
+        since = time.time()
+        out = materialize(df, key)
+        self.note(key, time.time() - since)
+        return out
+
+
+def prepare(
+    df: DataFrame, config: dict, fit_mode: str = "chained", exact: bool = False, watch: Stopwatch | None = None
+) -> Prepared:
     """Split the cleaned rows, fit on train, transform all.
 
-    The split rows are written once: manifest, fit, sizes and training all read them.
+    The split rows are written once: manifest, fit, sizes and training all read them. A `watch` that takes stages apart
+    has each declared transformation written on its own.
     """
     spec, schema = step_of(config, "data_transformer"), reference(config)
     if exact:
         df = materialize(df, "cleaned")
     parts = stored_splits(split(df, schema, exact=exact))
     steps = fit(parts, spec.get("call", []) if spec else [], schema, fit_mode)
-    rows = apply_steps(parts, steps)
+    if watch and watch.apart:
+        rows = parts
+        for _, group in groupby(steps, lambda s: s.step.ordinal):
+            group = list(group)
+            rows = watch.stage(apply_steps(rows, group), f"transforming.{group[0].step.name}")
+    else:
+        rows = apply_steps(parts, steps)
     return Prepared(parts, rows, schema, steps, transformed_features(schema, df.columns, steps), schema.label)
 
 
@@ -115,11 +144,16 @@ def run_scenario(
     fit_mode: str = "chained",
     exact: bool = False,
     unsupported: str = "raise",
+    timers: str = "job",
 ) -> JobResult:
     """Run a declared job. With `log_path`, its run, sizes, timings, metrics and status are appended there.
 
-    `unsupported` tells what happens to candidates with options that MLlib cannot express: raise or skip.
+    `unsupported` tells what happens to candidates with options that MLlib cannot express: raise or skip. `timers` are of
+    the "job" as it runs best, where loading, cleaning and transforming are one plan, or of its "stages", which are then
+    run one by one: loading, cleaning, transforming.{name} per declared transformation, validation.{stage}.
     """
+    if timers not in ("job", "stages"):
+        raise ValueError(f"timers are of the job or of its stages, not {timers!r}")
     check_config(config)
     started = time.time()
     schema = reference(config)
@@ -131,21 +165,24 @@ def run_scenario(
     log.prop(run_id, "name.intent", config["name"])
     log.prop(run_id, "name.description", config.get("description", ""))
 
+    watch = Stopwatch(log, run_id, timers == "stages")
+
     def timed(key: str, since: float) -> None:
-        log.metric(run_id, f"time_ms.{key}", (time.time() - since) * 1000)
+        watch.note(key, time.time() - since)
 
     raw = load(spark, config, table)
     seen, loaded = audited(raw, f"load-{run_id}")
+    seen = watch.stage(seen, "loading")
     log.prop(run_id, "size.load.column", len(raw.columns))
     log.prop(run_id, "name.dataset", step_of(config, "data_io")["properties"].get("file", ""))
 
-    rows = cleaned(seen, config)
+    rows = watch.stage(cleaned(seen, config), "cleaning")
     chosen = [c for c in rows.columns if c != schema.primary_id]
     prepared = grid = scorer = None
     post_tests: list[dict] = []
     since = time.time()
     if step_of(config, "data_transformer"):
-        prepared = prepare(rows, config, fit_mode, exact)
+        prepared = prepare(rows, config, fit_mode, exact, watch)
         timed("transforming.all", since)
         manifest = build_manifest(prepared.parts.select(*chosen), schema)
         sizes = {r["stage"]: r["n_rows"] for r in stage_sizes(prepared.parts).collect()}
@@ -154,8 +191,9 @@ def run_scenario(
             log.prop(run_id, f"size.split.{stage}.column", len(prepared.features))
         cleaned_rows = sum(sizes.values())
     else:
-        cleaned_rows = materialize(rows, "cleaned").count()
-        timed("cleaning", since)
+        cleaned_rows = (rows if watch.apart else materialize(rows, "cleaned")).count()
+        if not watch.apart:
+            timed("cleaning", since)
     # reading and cleaning ran within the first action above
     log.prop(run_id, "size.load.row", loaded.get["rows"])
     log.prop(run_id, "size.clean.row", cleaned_rows)
@@ -181,6 +219,7 @@ def run_scenario(
             options.get("parameter_grid", {}).get("type", "exhaustive"),
             options.get("objective", "best_model"),
             options.get("unsupported", unsupported),
+            timer=watch.note if watch.apart else None,
         )
         for model_id, reason in grid.skipped.items():
             log.prop(run_id, f"skipped.{model_id}", reason)
@@ -197,6 +236,7 @@ def run_scenario(
         source = load(spark, {"instructions": [{**step_of(config, "data_io"), "call": []}]}, table)
         for call in post["call"]:
             n = call.get("n_samples", 1000)
+            since = time.time()
             result = post_test(
                 source,
                 scorer,
@@ -205,6 +245,7 @@ def run_scenario(
                 call.get("metrics", ["mse", "rmse"]),
                 call.get("seed", 42),
             ).first()
+            timed("validation.post_test", since)
             log.prop(run_id, "size.post_test.row", n)
             log.prop(run_id, "name.post_test.intent", call.get("intent", ""))
             for metric in call.get("metrics", ["mse", "rmse"]):

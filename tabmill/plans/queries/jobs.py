@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...operators import score
+from ...operators import profile, score
+from ...sources.runlog_store import read
 from ...sources.tables import save_csv
 from ...sources.workspace import new_path
 from .. import job
@@ -107,9 +108,30 @@ def job_sweep(spark, sf_dir):
     return out.select("intent", "model", "key", "value")
 
 
-QUERIES = {f.__name__: f for f in (job_prepare_scenario, job_post_test, job_sweep, job_publish_reload_score)}
+def job_stage_timers(spark, sf_dir):
+    """The timers that a job leaves in its log when its stages are run one by one, with the rows that it read."""
+    log = new_path(spark, "timers-log")
+    table = shipments(spark, sf_dir, *_TEXT)
+    post = {"intent": "error on raw values", "n_samples": 50, "metrics": ["mae"], "seed": 42}
+    config = scenario("timed", ("shipment_weight", "shipment_value", "naics"), (LOG_BOTH, HOT_NAICS), (LINE,), post=post)
+    done = job.run_scenario(spark, config, log, table, timers="stages")
+    sizes = read(spark, log, "properties").where((F.col("run_id") == done.run_id) & (F.col("key") == "size.load.row"))
+    return (
+        profile.stage_timings(read(spark, log, "metrics"))
+        .select("key", "runs", (F.col("mean_ms") > 0).alias("timed"), F.lit(int(sizes.first()["value"])).cast("bigint").alias("rows_read"))
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (job_prepare_scenario, job_post_test, job_sweep, job_publish_reload_score, job_stage_timers)
+}
 
 ORACLE = {
+    "job_stage_timers": f"""with {sql.SHIP}, keys(key) as (values ('time_ms.loading'), ('time_ms.cleaning'), ('time_ms.transforming.log'),
+          ('time_ms.transforming.one_hot_encoding'), ('time_ms.transforming.all'), ('time_ms.train'), ('time_ms.validation.train'),
+          ('time_ms.validation.valid'), ('time_ms.validation.test'), ('time_ms.validation.post_test'), ('time_ms.all'))
+        select key, cast(1 as bigint) as runs, true as timed, (select count(*) from ship) as rows_read from keys""",
     "job_prepare_scenario": f"""with {sql.STAGED} select stage, count(*) as n_rows, round(avg(ln(SHIPMENT_WEIGHT)), 4) as mean_log_weight,
         round(avg(ln(SHIPMENT_VALUE)), 4) as mean_log_value, count(*) filter (NAICS = 'ECONOMY') as first_category,
         cast(1 + (select count(distinct NAICS) from staged where stage = 'train') as bigint) as n_features from staged group by stage""",

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabmill.functions.skew import dealt_out
 from tabmill.operators import evaluate, knn, knn_hashed, linear_grid, lookup, models, profile, score, validate
 from tabmill.operators.transform import fit
 from tabmill.schema import COMMODITY_FLOW as S
@@ -111,6 +112,31 @@ def test_min_samples_split_cuts_small_nodes(spark, linear):
     assert all(r["n"] < 60 for r in same.collect() if r["leaves"] > 1)
 
 
+def test_spans_of_a_printed_tree(spark, linear):
+    train = linear.where("stage = 'train'")
+    full = models.fit_one(models.Candidate("m", "decision_tree_regressor", {"max_depth": 5, "random_state": 1}), train, ["x", "z"], "y", "id")
+    spans = models.node_spans(full.model)
+    leaves = [first for first, last in spans if first == last]
+    assert len(spans) == full.model.numNodes and leaves == list(range((full.model.numNodes + 1) // 2)) and spans[0] == (0, len(leaves) - 1)
+
+
+def test_cut_tree_of_extreme_settings(spark, linear):
+    train = linear.where("stage = 'train'")
+    root = models.fit_one(models.Candidate("m", "decision_tree_regressor", {"max_depth": 3, "min_samples_split": 10**9}), train, ["x", "z"], "y", "id")
+    assert root.model.numNodes == 1
+    (only,) = {r["prediction"] for r in root.transform(linear).collect()}
+    assert only == pytest.approx(train.agg(F.avg("y")).first()[0])
+
+
+def test_rows_in_one_task_are_dealt_out(spark):
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(1000).repartition(1)
+    spread = dealt_out(one).groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) == cores and sum(r["count"] for r in spread) == 1000
+    even = spark.range(0, 1000, 1, 2 * cores)
+    assert dealt_out(even) is even and dealt_out(even.limit(0)).count() == 0
+
+
 def test_skipped_candidates_are_reported(linear):
     calls = [
         {"model_type": "decision_tree_regressor", "hyperparameters": {"criterion": ["friedman_mse", "absolute_error"], "max_depth": [2]}},
@@ -480,8 +506,8 @@ def test_profiles(spark):
     assert tuple(profile.describe_categorical(df, ["c"]).first()) == ("c", 3, 2, "a", 2)
     prof = profile.profile_categorical(df, ["c"])
     assert profile.frequency_map(prof).first()["freq"] == {"a": 2, "b": 1}
-    with pytest.raises(ValueError):
-        profile.frequency_map(prof, max_values=1)
+    halves = profile.frequency_map(prof, max_values=1).collect()
+    assert {r["column"] for r in halves} == {"c"} and sorted(i for r in halves for i in r["freq"].items()) == [("a", 2), ("b", 1)]
     a = profile.fingerprint(df).first()
     assert a == profile.fingerprint(df.repartition(5).orderBy(F.desc("id"))).first()
     assert a != profile.fingerprint(df.where("id <> '1'")).first()
@@ -495,5 +521,30 @@ def test_manifest_json(spark):
     rows = profile.manifest_rows(stored).collect()
     again = validate.manifest_from_rows(rows)
     assert set(again.inputs) == set(validate.build_manifest(df, T).inputs)
-    with pytest.raises(ValueError):
-        profile.manifest_json(profile.manifest_numeric(df, T), profile.manifest_categorical(df, T), max_values=1)
+    # a larger domain is a table, and the manifest read back holds its values too
+    stored = profile.manifest_json(profile.manifest_numeric(df, T), profile.manifest_categorical(df, T), max_values=1)
+    again = validate.manifest_from_rows(profile.manifest_rows(stored).collect())
+    assert [i.name for i in again.inputs if isinstance(i, validate.NumericInput)] == ["COLUMN_NUMERICAL"]
+    (wide,) = [i for i in again.inputs if isinstance(i, validate.CategoricalInput)]
+    assert wide.values is None and sorted(r["value"] for r in wide.table.collect()) == ["a", "b"]
+    arriving = spark.createDataFrame([("1", "a", 1.0), ("2", "c", 1.0)], "COLUMN_ID string, COLUMN_CATEGORICAL string, COLUMN_NUMERICAL double")
+    assert [r["COLUMN_ID"] for r in validate.accept(arriving, again, keep=("COLUMN_ID",)).collect()] == ["1"]
+
+
+def test_wide_domains_keep_every_value(spark):
+    df = spark.range(12_000).select(F.concat(F.lit("v"), F.col("id") % 11_000).alias("COLUMN_CATEGORICAL"), F.col("id").cast("double").alias("COLUMN_NUMERICAL"))
+    maps = profile.frequency_map(profile.profile_categorical(df, ["COLUMN_CATEGORICAL"])).collect()
+    assert len(maps) > 1 and max(len(r["freq"]) for r in maps) <= profile.MANIFEST_VALUES
+    assert sum(len(r["freq"]) for r in maps) == 11_000 and sum(n for r in maps for n in r["freq"].values()) == 12_000
+    stored = profile.manifest_json(profile.manifest_numeric(df, T), profile.manifest_categorical(df, T))
+    (wide,) = [r for r in profile.manifest_rows(stored).collect() if r["type"] == "categorical"]
+    assert wide["available_values"] is None and spark.read.parquet(wide["values_path"]).distinct().count() == 11_000
+
+
+def test_quantiles_of_odd_columns(spark):
+    rows = [(float("inf"), None, 1.0), (float("-inf"), None, 1.0), (2.0, None, 1.0), (float("nan"), None, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    out = {r["column"]: r for r in profile.describe_numeric(df, ["a", "b", "c"]).collect()}
+    assert (out["a"]["q50"], out["b"]["q50"], out["b"]["count"]) == (2.0, None, 0)
+    assert (out["c"]["q25"], out["c"]["q75"], out["c"]["count"]) == (1.0, 1.0, 4)
+    assert {r["q50"] for r in profile.describe_numeric(df.limit(0), ["a", "c"]).collect()} == {None}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabmill.functions.ordering import alphabetical_index, order_pieces, running_min_before
+from tabmill.functions.ordering import alphabetical_index, range_pieces, running_min_before
 from tabmill.functions.scalar import natural_log, round_half_even
 from tabmill.functions import skew
 from tabmill.functions.skew import lookup_join
@@ -365,12 +365,27 @@ def test_running_min_across_pieces(spark):
             assert r["group_before"] == min(v for g, _, v in rows if g == r["g"])
 
 
-def test_sampled_pieces_cut_through_a_hot_group(spark):
-    df = spark.range(4000).select(F.floor(F.col("id") / 3000).alias("g"), F.timestamp_seconds(F.floor(F.col("id") / 2)).alias("t"), "id")
-    pieced = df.withColumn("piece", order_pieces(df, ["t", "id"], fanout=16))
-    sizes = [r["count"] for r in pieced.groupBy("g", "piece").count().collect()]
-    assert len(sizes) >= 12 and max(sizes) < 1500
-    ordered = [r["piece"] for r in pieced.orderBy("t", "id").collect()]
+def test_running_min_over_levels_of_pieces(spark):
+    """Some hundred pieces under windows of four rows, with a null group and null values."""
+    rows = [(None if i % 4 == 1 else "hot", i, None if i % 7 == 3 else float((i * 7919) % 1009)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, t int, v double").repartition(3)
+    out = running_min_before(df, ["g"], ["t"], "v", "before", rows_per_piece=17, fan=4).collect()
+    assert len(out) == 2000
+    low = {}
+    for r in sorted(out, key=lambda r: r["t"]):
+        assert r["before"] == low.get(r["g"])
+        if r["v"] is not None:
+            low[r["g"]] = min(r["v"], low.get(r["g"], r["v"]))
+    assert all(r["group_before"] == low[r["g"]] for r in out)
+
+
+@pytest.mark.parametrize("n", [500, 50_000])
+def test_pieces_are_bounded_at_any_size_and_cut_through_a_hot_group(spark, n):
+    df = spark.range(n).select(F.floor(F.col("id") * 4 / (3 * n)).alias("g"), F.timestamp_seconds(F.floor(F.col("id") / 2)).alias("t"), "id")
+    pieced, pieces = range_pieces(df.repartition(4), ["t", "id"], rows_per_piece=100)
+    sizes = [r["count"] for r in pieced.groupBy("_piece").count().collect()]
+    assert pieces == n // 100 and sum(sizes) == n and max(sizes) <= 200
+    ordered = [r["_piece"] for r in pieced.orderBy("t", "id").collect()]
     assert ordered == sorted(ordered)
 
 

@@ -1,6 +1,6 @@
 """Run declared jobs with spark-submit or python.
 
-    python tools/run_job.py --log PATH [--fit-mode raw] [--exact-split] [--skip-unsupported] config.json [config.json ...]
+    python tools/run_job.py --log PATH [--fit-mode raw] [--exact-split] [--skip-unsupported] [--time-stages] config.json [config.json ...]
 
 Several configurations go into the same log and are compared at the end.
 """
@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     parser.add_argument("--fit-mode", choices=("chained", "raw"), default="chained")
     parser.add_argument("--exact-split", action="store_true")
     parser.add_argument("--skip-unsupported", action="store_true", help="go on without models MLlib cannot express")
+    parser.add_argument("--time-stages", action="store_true", help="run stage by stage, so that each has a time of its own")
     args = parser.parse_args(argv)
     configs = []
     for path in args.configs:
@@ -33,7 +34,10 @@ def main(argv=None) -> None:
             configs.append(json.load(f))
     spark = SparkSession.builder.appName("tabmill-job").getOrCreate()
     unsupported = "skip" if args.skip_unsupported else "raise"
-    out = job.run_sweep(spark, configs, args.log, fit_mode=args.fit_mode, exact=args.exact_split, unsupported=unsupported)
+    timers = "stages" if args.time_stages else "job"
+    out = job.run_sweep(
+        spark, configs, args.log, fit_mode=args.fit_mode, exact=args.exact_split, unsupported=unsupported, timers=timers
+    )
     out.orderBy("key", "value", "intent").show(1000, truncate=False)
 
 
