@@ -1,28 +1,34 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
-Candidates are dealt into shards. A shard keeps, for each component, its vectors sorted by that component, and reads such
-lists in step, from the end that adds most to the query's score. What has been read of a vector gives a lower bound of its
-score (unread components at their least), and with what the lists can still hold an upper bound. Reading stops when no
-vector that was not seen, and no seen one outside the best k, can still reach the k-th lower bound, ties included. The
+Candidates are dealt into shards, and a shard by id into runs, each longer than the one before. A run keeps, for each
+component, its vectors sorted by that component, and reads such lists in step for all queries of a block: from the largest
+for positive weights, from the smallest for negative ones. What has been read of a vector gives a lower bound of its score
+(unread components at their least), and with what the lists can still hold an upper bound. The bounds of many queries are
+one product of their weights and the prefixes read so far. A query stops reading when few vectors can still reach its bar,
+ties included: one more than the k-th score of the earlier runs, whose ids are smaller, or else the k-th lower bound. The
 exact scores of those left are then summed up from their own components. The shards' results, k per query, are merged.
 
-Vectors are whole numbers, so scores are exact.
+Vectors are whole numbers, so scores are exact; they have to fit 64 bits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD = 1000  # candidates read by one task at a time
+SHARD = 8000  # candidates read by one task at a time
 BLOCK = 2000  # queries answered by one task at a time
-STEP = 16  # entries read of each list between two looks at the bounds
+RUN, LONGEST = 256, 2048  # candidates of a shard's first run, and of its longest ones
+STEP = 16  # entries read of each list between two looks at the bounds, an eighth of the list at least
+BATCH, PAIRS = 256, 1 << 14  # queries whose bounds, pairs whose scores are computed at once
 
 
 class Lists:
-    """The sorted lists of a shard's vectors (rows of whole numbers), read by score."""
+    """The sorted lists of a run of vectors (rows of whole numbers), read by score."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
@@ -30,54 +36,108 @@ class Lists:
         self.order = np.argsort(self.vectors, axis=0, kind="stable")  # by component, smallest first
         self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
 
-    def top(self, query: np.ndarray, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k vectors with the highest inner products, ties to smaller ids."""
-        n, dims = self.vectors.shape
-        up = query < 0  # read from the smallest where the weight is negative
-        if not n or not dims:
-            left = np.flatnonzero(self.ids != without)[:k]
-            return self.ids[left], np.zeros(len(left), np.int64)
-        order = np.where(up, self.order, self.order[::-1])
+    def _read(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """After each step: entries read of each list, those entries by vector, which are unread, the last read, the least.
+
+        Each component has two lists, from the largest and from the smallest.
+        """
+        order = np.concatenate([self.order[::-1], self.order], axis=1)
         # in floating point: sums of whole numbers below 2^53 stay exact
-        value = np.where(up, self.sorted, self.sorted[::-1]) * query.astype(np.float64)
-        least = value[-1]
-        lower = np.full(n, least.sum())
-        unread = np.ones((n, dims))
-        others = self.ids != without
-        enough = others.sum() > k
-        bar, at = -np.inf, 0
-        upper = np.full(n, np.inf)
+        value = np.concatenate([self.sorted[::-1], self.sorted], axis=1).astype(np.float64)
+        known, unread, lists = np.zeros(value.shape), np.ones(value.shape, bool), np.arange(value.shape[1])
+        n = len(value)
         step = max(STEP, n // 8)
-        while at < n:
+        for at in range(0, n, step):
+            rows = order[at : at + step]
+            known[rows, lists] = value[at : at + step]
+            unread[rows, lists] = False
             stop = min(n, at + step)
-            rows = order[at:stop]
-            unread[rows, np.arange(dims)] = 0
-            lower += np.bincount(rows.ravel(), (value[at:stop] - least).ravel(), n)
-            frontier = value[stop - 1]  # the most that what is not yet read of a list can add
-            at = stop
-            upper = lower + unread @ (frontier - least)
-            if enough:
-                bar = np.partition(lower[others], -k)[-k]
-                # a vector that was never seen stays below the sum of the frontiers
-                if frontier.sum() < bar and np.count_nonzero(upper >= bar) <= max(4 * k, n // 16):
-                    break
-        left = np.flatnonzero((upper >= bar) & others)
-        scores = self.vectors[left] @ query
-        chosen = np.lexsort((self.ids[left], -scores))[:k]
-        return self.ids[left][chosen], scores[chosen]
+            yield stop, known, unread, value[stop - 1], value[-1]
+
+    def contenders(self, queries: np.ndarray, k: int, bars: np.ndarray, without: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Queries, vectors (rows of either) and exact scores of pairs, among them each query's k best that reach its bar.
+
+        A bar of -inf is none yet. Also how many entries of each list every query read. `without` has an id for each query
+        that is no candidate of it.
+        """
+        n, dims = self.vectors.shape
+        weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(np.float64)
+        most = np.abs(queries.astype(np.float64)) @ np.abs(self.vectors.astype(np.float64)).max(axis=0, initial=0)
+        slack = np.where(most < 2.0**53, 0, most * (16 * dims + 32) * 2.0**-53)  # such sums are rounded
+        first, behind = (np.zeros(len(queries), int) if without is None else np.searchsorted(self.ids, without, side) for side in ("left", "right"))
+
+        def bounds(of: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+            out = weights[of] @ prefixes.T
+            for i in np.flatnonzero(first[of] < behind[of]):
+                out[i, first[of[i]] : behind[of[i]]] = -np.inf
+            return out
+
+        left, depth, pairs = np.arange(len(queries)), np.zeros(len(queries), np.int64), [(np.zeros(0, int),) * 2]
+        for stop, known, unread, frontier, least in self._read():
+            new = bars == -np.inf
+            # while vectors that were never seen can come halfway to the bar, a look at all bounds hardly pays
+            ripe = left[new[left] | (weights[left] @ frontier < bars[left] - np.abs(bars[left]) / 2) | (stop == n)]
+            highest = np.where(unread, frontier, known) if len(ripe) else None
+            lowest = np.where(unread, least, known) if new[ripe].any() else None
+            for of in (ripe[i : i + BATCH] for i in range(0, len(ripe), BATCH)):
+                upper, bar = bounds(of, highest), bars[of]
+                rise = np.flatnonzero(new[of] | (stop == n))
+                if k <= n and len(rise):
+                    lower = upper[rise] if stop == n else bounds(of[rise], lowest)
+                    bar[rise] = np.maximum(bar[rise], np.partition(lower, n - k, axis=1)[:, n - k])
+                can = upper >= np.maximum(bar - slack[of], np.finfo(float).min)[:, None]
+                settled = (np.count_nonzero(can, axis=1) <= max(4 * k, n // 16)) | (stop == n)
+                depth[of[settled]] = stop
+                query, row = np.nonzero(can[settled])
+                pairs.append((of[settled][query], row))
+            left = left[depth[left] == 0]
+            if not len(left):
+                break
+        query, row = (np.concatenate(x) for x in zip(*pairs))
+        parts = (slice(i, i + PAIRS) for i in range(0, len(query), PAIRS))
+        scores = [np.einsum("ij,ij->i", queries[query[x]], self.vectors[row[x]]) for x in parts]
+        return query, row, np.concatenate([np.zeros(0, np.int64), *scores]), depth
+
+    def top(self, query: np.ndarray, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k vectors with the highest inner products, ties to smaller ids."""
+        _, row, scores, _ = self.contenders(query[None, :], k, np.full(1, -np.inf), None if without is None else np.array([without]))
+        chosen = np.lexsort((self.ids[row], -scores))[:k]
+        return self.ids[row][chosen], scores[chosen]
+
+
+def search(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Rows of `queries`, ids and scores of their k best `vectors`, best first, and the share of list entries that was read."""
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
+    none = np.iinfo(np.int64).min
+    best, kth = [np.zeros(0, np.int64)] * 3, np.full(len(queries), none)
+    at, size, read = 0, RUN, 0
+    while at < len(ids):
+        lists = Lists(ids[at : at + size], vectors[at : at + size])
+        query, row, score, depth = lists.contenders(queries, k, np.where(kth == none, -np.inf, kth + 1.0), without)
+        enough = score > kth[query]  # of equal scores, those of earlier runs have the smaller ids
+        query, found, score = (np.concatenate(x) for x in zip(best, (query[enough], lists.ids[row[enough]], score[enough])))
+        order = np.lexsort((found, -score, query))
+        query, found, score = query[order], found[order], score[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        best = [x[rank < k] for x in (query, found, score)]
+        kth[query[rank == k - 1]] = score[rank == k - 1]
+        at, size, read = at + size, min(2 * size, LONGEST), read + int(depth.sum())
+    return *best, read / max(1, len(ids) * len(queries))
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    return table.column("vector").combine_chunks().flatten().to_numpy().astype(np.int64, copy=False).reshape(table.num_rows, -1)
 
 
 def _search(k: int):
     def run(queries, shard):
-        ids = shard.column("id").to_numpy()
-        matrix = lambda t: np.array(t.column("vector").to_pylist(), np.int64).reshape(t.num_rows, -1)
-        out: list[tuple] = []
+        found = [np.zeros(0, np.int64)] * 3
         if shard.num_rows and queries.num_rows:
-            lists = Lists(ids, matrix(shard))
-            for q, vector in zip(queries.column("id").to_pylist(), matrix(queries)):
-                out += [(q, int(i), int(s)) for i, s in zip(*lists.top(vector, k, q))]
-        columns = list(zip(*out)) if out else [()] * 3
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)})
+            asked = queries.column("id").to_numpy()
+            query, ids, scores, _ = search(shard.column("id").to_numpy(), _matrix(shard), _matrix(queries), k, asked)
+            found = [asked[query], ids, scores]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), found)})
 
     return run
 
@@ -89,10 +149,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, shard: int = S
     length are compared. A query's own id is no candidate. Equal scores go to the smaller id, fewer candidates give fewer
     rows, empty tables none. Ids should be unique: repeated rows are taken as one.
     """
-    fit = lambda df: df.where("id is not null and vector is not null").select("id", "vector", F.size("vector").alias("dims")).distinct()
+    fit = lambda df: df.where("id is not null and vector is not null").select("id", "vector", F.size("vector").alias("dims"))
     candidates, queries = fit(candidates), fit(queries)
     count = lambda df, size: -(-(df.count() or 1) // size)
-    shards, blocks = count(candidates, shard), count(queries, block)
+    shards, blocks = count(candidates, shard), count(queries, block)  # repeated rows included
+    candidates, queries = candidates.distinct(), queries.distinct()
     part = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n))
     copies = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     c = candidates.withColumns({"s": part(1, shards)}).withColumn("b", copies(blocks))

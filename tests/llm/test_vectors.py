@@ -1,6 +1,8 @@
 import math
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,54 @@ def test_lists_equal_brute_force():
             assert [(-int(s), int(i)) for i, s in zip(got_ids, got)] == want
 
 
+def _brute(ids, x, queries, k, without):
+    exact = x.astype(object)
+    for row, (q, own) in enumerate(zip(queries.astype(object), without)):
+        yield from ((row, i, -s) for s, i in sorted((-int(s), int(i)) for i, s in zip(ids, exact @ q) if i != own)[:k])
+
+
+def test_search_over_runs_equals_brute_force(monkeypatch):
+    monkeypatch.setattr(top_k, "RUN", 20)
+    monkeypatch.setattr(top_k, "LONGEST", 100)
+    monkeypatch.setattr(top_k, "BATCH", 7)
+    monkeypatch.setattr(top_k, "PAIRS", 11)
+    rng = np.random.default_rng(2)
+    # many ties; few candidates; no component; sums that floating point rounds, with scores that differ by one
+    for n, dims, spread, copies in ((700, 6, 3, 3), (700, 12, 500, 1), (9, 4, 5, 1), (90, 0, 1, 1), (500, 3, 10**9, 1), (500, 3, 10**9, 2)):
+        ids, x = rng.permutation(5 * n)[:n], rng.integers(-spread, spread + 1, (n, dims))
+        ids[1:3], x[::copies] = ids[0], x[0] if copies > 1 else x
+        if spread == 10**9:
+            x += rng.integers(-1, 2, x.shape)
+        queries, without = x[:40], np.where(np.arange(n) % 4, ids, -1)[:40]
+        query, found, score, read = top_k.search(ids, x, queries, 10, without)
+        assert list(zip(query.tolist(), found.tolist(), score.tolist())) == list(_brute(ids, x, queries, 10, without))
+        assert 0 <= read <= 1
+
+
+def test_lists_are_left_early():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-900, 900, (40, 32))[rng.integers(0, 40, 6000)] + rng.integers(-60, 61, (6000, 32))
+    ids = rng.permutation(6000)
+    query, found, score, read = top_k.search(ids, x, x[:60], 10, ids[:60])
+    assert list(zip(query.tolist(), found.tolist(), score.tolist())) == list(_brute(ids, x, x[:60], 10, ids[:60]))
+    assert read < 0.5
+
+
+def test_a_block_of_queries_costs_less_than_each_alone():
+    rng = np.random.default_rng(4)
+    x = rng.integers(-500, 500, (1000, 64))
+    table = lambda rows: pa.table({"id": pa.array(rows), "vector": pa.array(x[rows].tolist(), pa.list_(pa.int64()))})
+    shard, block, lists = table(np.arange(1000)), table(np.arange(400)), top_k.Lists(np.arange(1000), x)
+
+    def seconds(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    together = min(seconds(lambda: top_k._search(10)(block, shard)) for _ in range(3))
+    assert together < seconds(lambda: [lists.top(x[i], 10, i) for i in range(400)]) / 3
+
+
 def test_top_k_over_shards_and_odd_rows(spark):
     rows = [(i, [i % 7 - 3, i * 5 % 11 - 5, i % 3]) for i in range(90)] + [(200, None), (None, [1, 2, 3]), (201, [1, 2]), (202, [])]
     df = spark.createDataFrame(rows, "id bigint, vector array<bigint>").withColumn("dims", F.lit("x"))
