@@ -9,7 +9,8 @@ and in bytes (`SAMPLE_BYTES`). The sample is cut into folds: a text's word and n
 its own would give its label away; one fold is not trained on, but decides when to stop and calibrates the scores. Every
 round picks the windows that score highest, so clean texts give the hard windows.
 
-Scoring is a scan. Inputs are computed once per different word of a slice of text; all windows of a slice run in blocks.
+Scoring is a scan. Inputs are computed once per different word of a slice of text, in blocks; all windows of a
+slice run in blocks.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ GRAMS = (4, 6, 8, 10)  # bytes, marks at the ends of a word included
 ODDS = 2 + len(GRAMS)  # inputs that are rates of words and n-grams
 FOLDS = 5
 ROUNDS, EPOCHS, BATCH = 3, 2, 128
-BLOCK = 2048
+BLOCK = 2048  # windows, or words, at once
+BLOCK_BYTES = 1 << 16  # of different words whose n-grams are computed at once; a longer word is a block of its own
+SLICE_BYTES = 2 << 20  # of text scored at once; inputs of its different words and its windows take many times as much
 RATE = 0.01
 GATE = 0.25  # slope of the gates
 
@@ -51,26 +54,39 @@ class Inputs:
     def __init__(self, column: pa.Array):
         words = Words(column, lower=True)
         self.count, self.first = words.count, words.first
-        _, at, self.word = np.unique(words.hash, return_index=True, return_inverse=True)
+        _, at, word = np.unique(words.hash, return_index=True, return_inverse=True)
+        self.word = word.astype(np.int32)
         start, end = words.start[at], words.end[at]
-        signs = _SIGNS[words.data]
-        plain = np.r_[0, np.cumsum(~signs)]  # bytes that are no signs
-        bare = plain[end] > plain[start]
-        after = np.flatnonzero(~signs)
-        if len(after):  # from the first to the last byte that is no sign
-            start[bare], end[bare] = after[plain[start[bare]]], after[plain[end[bare]] - 1] + 1
+        self.row, self.sizes = np.zeros(len(at), np.int32), np.zeros((len(at), len(GRAMS)), np.int32)
+        grams, upto, a = [np.zeros(0, np.int32)], np.cumsum(end - start), 0
+        while a < len(at):  # what is computed on the way takes some hundred bytes per byte of a word
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] + BLOCK_BYTES)))
+            self.row[a:b], some, self.sizes[a:b] = self._rows(words.data, start[a:b], end[a:b])
+            grams.append(some)
+            a = b
+        self.gram = np.concatenate(grams)
+        self.gram_first = np.r_[0, np.cumsum(self.sizes.sum(1, dtype=np.int64))]
+
+    @staticmethod
+    def _rows(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of some words: rows of the word table, rows of the n-gram table by word and size, and how many of each size."""
+        length = end - start
+        begin = np.cumsum(length) - length
+        at = np.arange(length.sum()) + np.repeat(start - begin, length)
+        signs = _SIGNS[data[at]]
+        low, high = np.minimum.reduceat(np.where(signs, len(data), at), begin), np.maximum.reduceat(np.where(signs, -1, at), begin)
+        bare = high >= 0  # from the first to the last byte that is no sign
+        start, end = np.where(bare, low, start), np.where(bare, high + 1, end)
         length = end - start
         # each word with marks around it, so that n-grams know its ends and there is always one of each size
         wide = np.maximum(length + 3, max(GRAMS))
         ends = np.cumsum(wide)
         begin = ends - wide
-        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(begin, wide)
+        inside = np.arange(ends[-1]) - np.repeat(begin, wide)
         letters = np.zeros(len(inside), np.uint64)
         real = (inside > 1) & (inside <= np.repeat(length, wide) + 1)
-        letters[real] = words.data[(np.repeat(start, wide) + inside - 2)[real]]
-        whole = mix(letters + (inside.astype(np.uint64) << np.uint64(8)))
-        whole = np.add.reduceat(whole, begin) if len(wide) else whole
-        self.row = (mix(whole) % np.uint64(WORD_ROWS)).astype(np.int64)
+        letters[real] = data[(np.repeat(start, wide) + inside - 2)[real]]
+        whole = np.add.reduceat(mix(letters + (inside.astype(np.uint64) << np.uint64(8))), begin)
         left = np.repeat(ends, wide) - np.arange(len(inside))
         owner = np.repeat(np.arange(len(wide)), wide)
         rows, owners, kinds = [], [], []
@@ -80,32 +96,43 @@ class Inputs:
             for j in range(size):
                 code = code * np.uint64(257) + letters[j : j + n]
             good = left[:n] >= size
-            rows.append((mix(code[good]) % np.uint64(GRAM_ROWS)).astype(np.int64))
+            rows.append((mix(code[good]) % np.uint64(GRAM_ROWS)).astype(np.int32))
             owners.append(owner[:n][good])
             kinds.append(np.full(len(owners[-1]), kind))
         rows, owners, kinds = np.concatenate(rows), np.concatenate(owners), np.concatenate(kinds)
-        order = np.lexsort((kinds, owners))
-        self.gram = rows[order]
-        self.gram_first = np.searchsorted(owners[order], np.arange(len(wide) + 1))
-        self.sizes = np.bincount(owners * len(GRAMS) + kinds, minlength=len(wide) * len(GRAMS)).reshape(-1, len(GRAMS))
+        sizes = np.bincount(owners * len(GRAMS) + kinds, minlength=len(wide) * len(GRAMS)).reshape(-1, len(GRAMS))
+        return mix(whole) % np.uint64(WORD_ROWS), rows[np.lexsort((kinds, owners))], sizes
+
+    def grams(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-gram rows of some words, and their bounds per word."""
+        size = np.diff(self.gram_first)[chosen]
+        first = np.concatenate([[0], np.cumsum(size)])
+        return self.gram[np.arange(first[-1]) - np.repeat(first[:-1] - self.gram_first[chosen], size)], first
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Words (by number, -1 behind the end) of every window, and the text of each; an empty text has one empty window."""
         per = np.maximum(0, -(-(self.count - WINDOW) // STRIDE)) + 1
         text = np.repeat(np.arange(len(per)), per)
         at = (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)) * STRIDE + self.first[text]
-        index = at[:, None] + np.arange(WINDOW)
+        index = at.astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
         behind = index >= self.first[1:][text][:, None]
         if not len(self.word):
-            return np.full(index.shape, -1), text
-        return np.where(behind, -1, self.word[np.minimum(index, len(self.word) - 1)]), text
+            return np.full(index.shape, -1, np.int32), text
+        return np.where(behind, np.int32(-1), self.word[np.minimum(index, len(self.word) - 1)]), text
 
 
-def _seen(rows: np.ndarray, texts: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
-    """In how many texts of either label (0, 1) each row of a table occurs."""
-    pairs = np.unique(rows * max(len(labels), 1) + texts)
-    row, label = pairs // max(len(labels), 1), labels[pairs % max(len(labels), 1)]
-    return np.stack([np.bincount(row[label == k], minlength=size) for k in (0, 1)])
+def _seen(inputs: Inputs, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts of either label (0, 1) each row of the word table and of the n-gram table occurs."""
+    words, grams = np.zeros((2, WORD_ROWS), np.int64), np.zeros((2, GRAM_ROWS), np.int64)
+    for i, label in enumerate(labels.tolist()):  # text by text: all pairs of a text and an n-gram would be a hundred times the texts
+        word = np.unique(inputs.word[inputs.first[i] : inputs.first[i + 1]])
+        some, many = np.zeros(WORD_ROWS, bool), np.zeros(GRAM_ROWS, bool)
+        some[inputs.row[word]] = True
+        for a in range(0, len(word), BLOCK):
+            many[inputs.grams(word[a : a + BLOCK])[0]] = True
+        words[label] += some
+        grams[label] += many
+    return words, grams
 
 
 def _log_odds(seen: np.ndarray, ones: int, zeros: int) -> np.ndarray:
@@ -137,21 +164,19 @@ class Network:
         if chosen is None:
             row, gram, first, sizes = inputs.row, inputs.gram, inputs.gram_first, inputs.sizes
         else:
-            row, size, sizes = inputs.row[chosen], np.diff(inputs.gram_first)[chosen], inputs.sizes[chosen]
-            first = np.concatenate([[0], np.cumsum(size)])
-            gram = inputs.gram[np.arange(first[-1]) - np.repeat(first[:-1] - inputs.gram_first[chosen], size)]
+            row, sizes = inputs.row[chosen], inputs.sizes[chosen]
+            gram, first = inputs.grams(chosen)
         x = np.zeros((len(row), 2 * EMBED + ODDS), np.float32)
-        if len(row):
-            size = np.diff(first)[:, None]
-            x[:, :EMBED] = self.w["words"][row]
-            for a in range(0, len(row), 1 << 14):  # bounded memory
-                b = min(a + (1 << 14), len(row))
-                x[a:b, EMBED:-ODDS] = np.add.reduceat(self.w["grams"][gram[first[a] : first[b]]], first[a:b] - first[a], axis=0) / size[a:b]
-            odds = self.gram_odds[gram]
-            x[:, -ODDS] = self.word_odds[row]
-            kinds = np.cumsum(sizes.ravel()) - sizes.ravel()
-            x[:, 1 - ODDS : -1] = np.maximum.reduceat(odds, kinds).reshape(-1, len(GRAMS))
-            x[:, -1] = np.add.reduceat(odds, first[:-1]) / size[:, 0]
+        for a in range(0, len(row), BLOCK):  # bounded memory
+            b = min(a + BLOCK, len(row))
+            some, begin, size = gram[first[a] : first[b]], first[a:b] - first[a], np.diff(first[a : b + 1])[:, None]
+            x[a:b, :EMBED] = self.w["words"][row[a:b]]
+            x[a:b, EMBED:-ODDS] = np.add.reduceat(self.w["grams"][some], begin, axis=0) / size
+            odds = self.gram_odds[some]
+            x[a:b, -ODDS] = self.word_odds[row[a:b]]
+            kinds = np.cumsum(sizes[a:b].ravel()) - sizes[a:b].ravel()
+            x[a:b, 1 - ODDS : -1] = np.maximum.reduceat(odds, kinds).reshape(-1, len(GRAMS))
+            x[a:b, -1] = np.add.reduceat(odds, begin) / size[:, 0]
         return x, row, gram, first
 
     def feeds(self, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -269,12 +294,7 @@ class _Part:
         self.y = labels
         self.inputs = inputs = Inputs(pa.array(texts, pa.string()))
         self.windows, self.text = inputs.windows()
-        owner = np.repeat(np.arange(len(labels)), inputs.count)
-        seen = np.unique(inputs.word * len(labels) + owner) if len(labels) else owner
-        word, text = seen // max(len(labels), 1), seen % max(len(labels), 1)
-        size = np.diff(inputs.gram_first)[word]
-        grams = inputs.gram[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - inputs.gram_first[word], size)]
-        self.counts = _seen(inputs.row[word], text, labels, WORD_ROWS), _seen(grams, np.repeat(text, size), labels, GRAM_ROWS)
+        self.counts = _seen(inputs, labels)
         self.odds: tuple = ()
 
     def highest(self, logit: np.ndarray) -> np.ndarray:
@@ -410,7 +430,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
 def _scored(model, keep: list[str]):
     def run(batches):
         net = model.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             text = batch.column("text")
             score = np.full(batch.num_rows, net) if isinstance(net, float) else net.scores(text)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score, pa.float64())], [*keep, "toxicity"])

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -225,3 +226,39 @@ def test_the_sample_is_bounded_by_bytes(spark):
     scores = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
     assert all((s >= 0.5) == (i % 2 == 1) for i, s in scores.items())
     assert toxicity.fit(docs, labels, sample_bytes=1) == 0.0
+
+
+def test_learning_and_scoring_take_bounded_memory():
+    rng = np.random.default_rng(4)
+    vocabulary = [f"{i:x}word{i * 7919 % 99991}" for i in range(60_000)]
+    texts = [" ".join(rng.choice(vocabulary, 4_000)) for _ in range(40)]
+    size, net, labels = sum(map(len, texts)), toxicity.Network(), np.arange(len(texts)) % 2
+    batch = pa.RecordBatch.from_pydict({"text": texts * 3})
+    model = type("Broadcast", (), {"value": net})
+    peaks = []
+    for work in (lambda: toxicity._Part(texts, labels), lambda: [b.num_rows for b in toxicity._scored(model, [])(iter([batch]))]):
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 64 * size, [p / size for p in peaks]
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_blocks_of_words_do_not_change_their_inputs(block, monkeypatch):
+    texts = ["a bb (ccc) dd...", None, "", "!! bb x" + "y" * 40 + " ccc a", "é, bb !! A"]
+    labels = np.array([1, 0, 1, 0, 1])
+    whole, x = toxicity._Part(texts, labels), toxicity.Network(5).features(toxicity.Inputs(pa.array(texts)))[0]
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", block)
+    part = toxicity._Part(texts, labels)
+    for name in ("row", "gram", "gram_first", "sizes", "word"):
+        assert np.array_equal(getattr(part.inputs, name), getattr(whole.inputs, name))
+    assert np.array_equal(toxicity.Network(5).features(part.inputs)[0], x)
+    # in how many texts each row occurs, text by text
+    words, grams = np.zeros_like(whole.counts[0]), np.zeros_like(whole.counts[1])
+    for text, label in zip(texts, labels):
+        own = toxicity.Inputs(pa.array([text], pa.string()))
+        words[label, np.unique(own.row)] += 1
+        grams[label, np.unique(own.gram)] += 1
+    assert np.array_equal(part.counts[0], words) and np.array_equal(part.counts[1], grams)
