@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hashing import Words, mix, slices
+from .hashing import Words, mix, release, slices
 
 SAMPLE = 2000  # labelled texts of either label that are learned from
 SAMPLE_BYTES = 8 << 20  # of either label; a text with which the sample would be larger is not learned from
@@ -398,6 +398,7 @@ def _trained(share: float):
         sample = sample.sort_by([("toxic", "ascending"), ("key", "ascending"), ("doc_id", "ascending")])
         labels = sample.column("toxic").to_pylist()
         net = train(sample.column("text").to_pylist(), labels, share) if len(set(labels)) == 2 else float(labels[0])
+        release()
         return pa.table({"model": pa.array([pickle.dumps(net)], pa.binary())})
 
     return run
@@ -434,6 +435,7 @@ def _scored(model, keep: list[str]):
             text = batch.column("text")
             score = np.full(batch.num_rows, net) if isinstance(net, float) else net.scores(text)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score, pa.float64())], [*keep, "toxicity"])
+        release()
 
     return run
 
