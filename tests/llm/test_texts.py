@@ -47,6 +47,29 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_take_few_tasks(spark):
+    """A small graph takes few tasks, however many partitions there are."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    pairs = [(10 * i + j, 10 * i) for i in range(300) for j in range(1, 8)] + [(10 * i + 7, 10 * i + 12) for i in range(0, 300, 3)]
+    links = spark.createDataFrame(pairs, "a bigint, b bigint").coalesce(1)
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("components", "")
+        found = graph.components(links).collect()
+        jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("components")]
+        tasks = sum(s.numCompletedTasks for s in map(tracker.getStageInfo, {k for j in jobs for k in j.stageIds}) if s)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 2400
+    assert {(r["id"], r["component"]) for r in found if r["id"] < 30} == {(10 * i + j, 20 if i == 2 else 0) for i in range(3) for j in range(8)}
+    assert tasks < 800, tasks
+
+
 ODD = ["á ́b", " x y ", "x\x1cy\x85z", "<|endoftext|> a<|startoftext|>", "it's we'RE '  s", "가 ᆨ", "İI ﬁ", "", "é" * 300 + " x", "Σς ΑΣ", "ª º µ ÿ Ÿ ǅ"]
 
 
