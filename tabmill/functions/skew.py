@@ -85,12 +85,18 @@ def lookup_join(
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
+def rows_of_tasks(df: DataFrame) -> tuple[int, int]:
+    """Rows of the largest task and of all, without reading their columns."""
+    sizes = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return most or 0, total or 0
+
+
+def dealt_out(df: DataFrame, rows: tuple[int, int] | None = None) -> DataFrame:
     """The rows over all cores, for work that reads them several times, if one task holds more than two cores' share.
 
-    A table of many partitions of like size stays as it is. Rows are counted per task, without reading their columns.
+    A table of many partitions of like size stays as it is. `rows` is what `rows_of_tasks` gives, if it is known.
     """
-    sizes = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
-    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    most, total = rows or rows_of_tasks(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if total and most > 2 * total / cores else df

@@ -19,8 +19,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import dealt_out
-from ..sources.workspace import materialize
+from ..functions.skew import dealt_out, rows_of_tasks
+from ..sources.workspace import in_parts, materialize
 from .evaluate import best_model, known_metrics, metrics_by_stage
 from .knn import Predicting, build_index
 from .knn_hashed import build_hashed_index
@@ -29,6 +29,8 @@ from .linear_grid import MAX_INPUTS, LinearModel, moments, solve_all
 INPUTS = "model_inputs"
 DEEPEST = 30  # levels of a tree, and how many it may have if nothing is said
 KEEP_ROUNDS = 8  # boosting rounds between two writes of the residuals
+HELD_VALUES = 16_000_000  # inputs of all rows that executors hold for a fit; more are read from the shared folder
+TASK_VALUES = 8_000_000  # and of a task's rows then, each with ten more: Spark ML holds them as objects
 
 # Model types and option names of the job files.
 MODEL_TYPES = (
@@ -248,12 +250,23 @@ class BoostedTrees:
         return out.withColumn(self.prediction, total).drop(*names)
 
 
+def _held(vectors: DataFrame, n: int) -> bool:
+    """Whether executors hold this many rows of vectors from one pass to the next."""
+    return n == 0 or n * n_inputs(vectors) <= HELD_VALUES
+
+
+def _written(vectors: DataFrame, name: str, n: int) -> DataFrame:
+    """Rows of vectors that are too many to be held, read from the shared folder by tasks of bounded size."""
+    return in_parts(vectors, name, n, max(1, TASK_VALUES // (n_inputs(vectors) + 10)))
+
+
 @dataclass
 class Boosting:
     """Least-squares boosting: starts from the mean and fits each tree to what is left of the label.
 
     The residuals are a column that is kept for the round that reads it several times, and written to the shared folder
-    every few rounds, so that neither plans nor lost executors make all the rounds before run again.
+    every few rounds, so that neither plans nor lost executors make all the rounds before run again. Those of more than
+    HELD_VALUES inputs are not kept: a pass takes the trees since the last write off again, and holds a batch at a time.
     """
 
     columns: dict
@@ -267,7 +280,8 @@ class Boosting:
 
     def fit(self, rows: DataFrame) -> BoostedTrees:
         label, inputs = self.columns["labelCol"], self.columns["featuresCol"]
-        start = rows.agg(F.avg(label)).first()[0]
+        start, n = rows.agg(F.avg(label), F.count(F.lit(1))).first()
+        held = _held(rows, n)
         left = rows.select(inputs, (F.col(label) - F.lit(start)).alias("_left"))
         trees: list[DecisionTreeRegressionModel] = []
         for i in range(self.maxIter):
@@ -280,8 +294,11 @@ class Boosting:
             if i + 1 < self.maxIter:
                 before = left
                 left = trees[-1].transform(left).select(inputs, (F.col("_left") - self.stepSize * F.col("_step")).alias("_left"))
-                left = materialize(left, "residuals") if (i + 1) % KEEP_ROUNDS == 0 else left.persist(StorageLevel.MEMORY_AND_DISK)
-                left.count()
+                if (i + 1) % KEEP_ROUNDS == 0:
+                    left = materialize(left, "residuals") if held else _written(left, "residuals", n)
+                elif held:
+                    left = left.persist(StorageLevel.MEMORY_AND_DISK)
+                    left.count()
                 before.unpersist()
         left.unpersist()
         return BoostedTrees(start, self.stepSize, trees, self.columns["predictionCol"])
@@ -338,7 +355,12 @@ def fit_one(candidate: Candidate, train: DataFrame, features: list[str], label:
     if isinstance(chosen, LinearRegression) and chosen.getSolver() == "normal":
         # a single pass, nothing to keep
         return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
-    vectors = dealt_out(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows_of_tasks(vectors)
+    vectors = dealt_out(vectors, rows)
+    if not _held(vectors, rows[1]):
+        # kept by executors in large partitions, vectors and what Spark ML makes of them fill the heap
+        return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, _written(vectors, "vectors", rows[1])))
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return FittedModel(candidate, features, prediction, _fit_mllib(candidate, chosen, vectors))
     finally:

@@ -27,6 +27,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def in_parts(df, name: str, rows: int, part: int):
+    """`materialize` for a table of that many rows which is read back in tasks of about `part` rows, at least.
+
+    Spark packs files by their bytes, and millions of narrow rows weigh little. How finely is a setting of the session, so
+    the table is read by one of its own.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.option("maxRecordsPerFile", part).parquet(path)
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.minPartitionNum", max(1, -(-rows // part)))
+    return reader.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, name: str):
     """Write a table to the shared folder and read it back, which cuts the lineage."""
     spark = df.sparkSession
